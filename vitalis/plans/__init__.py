@@ -4,6 +4,7 @@ from importlib import import_module
 
 QUERY_MODULES = [
     "core_queries",
+    "learning_queries",
 ]
 
 
