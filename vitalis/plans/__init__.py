@@ -5,6 +5,7 @@ from importlib import import_module
 QUERY_MODULES = [
     "core_queries",
     "learning_queries",
+    "survey_queries",
 ]
 
 
