@@ -6,6 +6,7 @@ QUERY_MODULES = [
     "core_queries",
     "learning_queries",
     "survey_queries",
+    "vector_queries",
 ]
 
 
