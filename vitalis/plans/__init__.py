@@ -7,6 +7,7 @@ QUERY_MODULES = [
     "learning_queries",
     "survey_queries",
     "vector_queries",
+    "text_queries",
 ]
 
 

@@ -59,3 +59,14 @@ def durable(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame, bytes_per_task: int = 32 << 20) -> DataFrame:
+    """Give a small input one slice per core before costly per-row work.
+
+    A small table is often a single file, which one task would read and process alone. Large
+    inputs already come in many splits and pass through without a shuffle.
+    """
+    tasks = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(tasks) if size < tasks * bytes_per_task else df
