@@ -1,9 +1,23 @@
-"""Student t probabilities for single test statistics (no SciPy needed)."""
+"""Correlation as an aggregate, and Student t probabilities for single test statistics."""
 
 from __future__ import annotations
 
 import math
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
+
+def pearson(x: Column | str, y: Column | str) -> Column:
+    """Correlation over the pairs that are complete; null where either side does not vary.
+
+    The built-in aggregate divides by zero on a constant column, an error under ANSI rules.
+    """
+    x, y = (F.col(c) if isinstance(c, str) else c for c in (x, y))
+    both = x.isNotNull() & y.isNotNull()
+    x, y = F.when(both, x.cast("double")), F.when(both, y.cast("double"))
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
+
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
     """Continued fraction of the incomplete beta function, evaluated from the front."""

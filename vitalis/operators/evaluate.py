@@ -136,13 +136,13 @@ def regression_metrics(df: DataFrame, y: str, p: str, k: int) -> DataFrame:
         F.avg(F.abs(error)).alias("mae"),
         F.var_pop(F.when(error.isNotNull(), F.col(y))).alias("_spread"),
     )
-    r2 = 1 - F.col("mse") / F.col("_spread")
+    r2 = 1 - F.try_divide(F.col("mse"), F.col("_spread"))
     return sums.select(
         "n",
         F.round(F.sqrt("mse"), 3).alias("rmse"),
         "mse",
         "mae",
         r2.alias("r2"),
-        (1 - (1 - r2) * (F.col("n") - 1) / (F.col("n") - k - 1)).alias("adjusted_r2"),
+        (1 - F.try_divide((1 - r2) * (F.col("n") - 1), F.col("n") - k - 1)).alias("adjusted_r2"),
         (1 - F.col("mse")).alias("one_minus_loss"),
     )

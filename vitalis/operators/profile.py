@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalis.functions.stats import pearson
 from vitalis.operators.project import numeric_columns
 from vitalis.plans import ranks
 
@@ -118,7 +119,7 @@ def corr_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     columns = list(columns)
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     row = df.agg(
-        *[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
+        *[pearson(_present(df, a), _present(df, b)).alias(f"r{i}") for i, (a, b) in enumerate(pairs)]
     )
     cells = []
     for i, (a, b) in enumerate(pairs):
@@ -215,14 +216,14 @@ def trend_line(df: DataFrame, x: str, y: str) -> DataFrame:
         F.regr_sxx(F.col(y), F.col(x)).alias("sxx"),
         F.regr_syy(F.col(y), F.col(x)).alias("syy"),
     )
-    sigma2 = (1 - F.col("r2")) * F.col("syy") / (F.col("n") - 2)
+    sigma2 = F.try_divide((1 - F.col("r2")) * F.col("syy"), F.col("n") - 2)
     return fit.select(
         "n",
         "slope",
         "intercept",
         "r2",
-        F.sqrt(sigma2 / F.col("sxx")).alias("slope_se"),
-        F.sqrt(sigma2 * (1 / F.col("n") + F.col("mean_x") ** 2 / F.col("sxx"))).alias("intercept_se"),
+        F.sqrt(F.try_divide(sigma2, F.col("sxx"))).alias("slope_se"),
+        F.sqrt(sigma2 * (F.try_divide(F.lit(1.0), F.col("n")) + F.try_divide(F.col("mean_x") ** 2, F.col("sxx")))).alias("intercept_se"),
     )
 
 

@@ -8,6 +8,7 @@ QUERY_MODULES = [
     "survey_queries",
     "vector_queries",
     "text_queries",
+    "signal_queries",
 ]
 
 

@@ -118,7 +118,7 @@ select user_id, user_id % 10 as subject,
        case user_id % 3 when 0 then 'bike' when 1 then 'run' else 'walk' end as activity,
        row_number() over (partition by user_id order by ts, event_id) - 1 as seq,
        count(*) over (partition by user_id) as n_samples, ts, event_id, value as accx,
-       hour(ts) + minute(ts) / 60.0 as accy, cast(second(ts) as double) as accz
+       hour(ts) + minute(ts) / 60.0::double as accy, cast(second(ts) as double) as accz
 from events
 """
 
