@@ -9,6 +9,7 @@ QUERY_MODULES = [
     "vector_queries",
     "text_queries",
     "signal_queries",
+    "model_queries",
 ]
 
 

@@ -152,7 +152,7 @@ def window_feature_invariants(spark, d):
     with e as (select user_id, time_bucket(interval '1 hour', ts) as ws, value, hour(ts) + minute(ts) / 60.0::double as y from events),
     closed as (select max(ts) - interval '10 minutes' as mark from events)
     select user_id, cast(epoch(ws) as bigint) as window_start, count(*) as n, round(avg(value), 6) as mean_x,
-           round(stddev_pop(value), 6) as std_x, round(var_pop(value) * count(*), 4) as energy_x
+           round(stddev_pop(value), 6) as std_x, round(var_pop(value) * count(*), 6) as energy_x
     from e, closed where ws + interval '1 hour' <= mark group by user_id, ws
     """,
 )
@@ -169,7 +169,7 @@ def stream_window_features(spark, d):
     features.run_to_table(made, path, scratch_path(spark, "features-state"))
     out = spark.read.schema(made.schema).parquet(path)
     lines = out.select("user_id", F.unix_timestamp("window_start").alias("window_start"), "n", "mean_x", "std_x", "energy_x")
-    return rounded(rounded(lines, 6, "mean_x", "std_x"), 4, "energy_x")
+    return rounded(lines, 6, "mean_x", "std_x", "energy_x")
 
 
 @query(
