@@ -7,7 +7,9 @@ make them. Inputs of iterative fits should be persisted or written first.
 from __future__ import annotations
 
 import itertools
+from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
@@ -28,7 +30,6 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.operators.evaluate import confusion, sum_folds
 from vitalis.operators.splits import balanced_weights, logo_frames
 
 
@@ -186,29 +187,46 @@ def grid_search(
     return fitted.bestModel, df.sparkSession.createDataFrame(rows, "params string, accuracy double")
 
 
-def loso_confusion(df: DataFrame, group: str, n_labels: int, fit: Callable[[DataFrame], Model]) -> DataFrame:
+def _fold_cells(train: DataFrame, test: DataFrame, fit: Callable[[DataFrame], Model]) -> list[tuple[int, int, int]]:
+    """(truth, pred, n) of one fold: at most labels x labels cells, whatever the number of rows."""
+    pairs = fit(train).transform(test).groupBy(F.col("label").cast("int"), F.col("prediction").cast("int")).count()
+    return [tuple(r) for r in pairs.collect()]
+
+
+def _loso_cells(
+    df: DataFrame, group: str, fits: Sequence[Callable[[DataFrame], Model]], parallelism: int
+) -> list[Counter]:
+    """Summed (truth, pred) counts per model under leave-one-group-out; folds are fitted side by side."""
+    folds = [(train, test) for _, train, test in logo_frames(df, group)]
+    jobs = [(i, train, test) for i in range(len(fits)) for train, test in folds]
+    sums = [Counter() for _ in fits]
+    with ThreadPoolExecutor(parallelism) as pool:
+        for (i, _, _), cells in zip(jobs, pool.map(lambda job: _fold_cells(job[1], job[2], fits[job[0]]), jobs)):
+            for truth, pred, n in cells:
+                sums[i][truth, pred] += n
+    return sums
+
+
+def loso_confusion(
+    df: DataFrame, group: str, n_labels: int, fit: Callable[[DataFrame], Model], parallelism: int = 4
+) -> DataFrame:
     """Leave one group out, fit on the rest, predict it; the confusion matrix summed over the groups."""
-    scored = None
-    for held_out, train, test in logo_frames(df, group):
-        part = fit(train).transform(test).select(
-            F.lit(str(held_out)).alias("fold"), F.col("label").cast("int").alias("truth"), F.col("prediction").cast("int").alias("pred")
-        )
-        scored = part if scored is None else scored.unionByName(part)
-    return sum_folds(confusion(scored, "truth", "pred", list(range(n_labels)), by=["fold"]))
+    (cells,) = _loso_cells(df, group, [fit], parallelism)
+    rows = [(t, p, cells[t, p]) for t in range(n_labels) for p in range(n_labels)]
+    return df.sparkSession.createDataFrame(rows, "truth int, pred int, n bigint")
 
 
 def loso_tune(
-    df: DataFrame, group: str, n_labels: int, trees: Sequence[int], depths: Sequence[int], seed: int = 42
+    df: DataFrame, group: str, trees: Sequence[int], depths: Sequence[int], seed: int = 42, parallelism: int = 4
 ) -> DataFrame:
     """Accuracy of balanced forests for each (trees, depth) under leave-one-group-out."""
-    table = None
-    for n, depth in itertools.product(trees, depths):
-        matrix = loso_confusion(df, group, n_labels, lambda part, n=n, depth=depth: fit_forest(part, n, depth, True, seed))
-        line = matrix.agg(
-            (F.sum(F.when(F.col("truth") == F.col("pred"), F.col("n")).otherwise(0)) / F.sum("n")).alias("accuracy")
-        ).select(F.lit(n).alias("n_estimators"), F.lit(depth).alias("max_tree_depth"), "accuracy")
-        table = line if table is None else table.unionByName(line)
-    return table
+    grid = list(itertools.product(trees, depths))
+    fits = [lambda part, n=n, depth=depth: fit_forest(part, n, depth, True, seed) for n, depth in grid]
+    rows = [
+        (n, depth, sum(v for (t, p), v in cells.items() if t == p) / sum(cells.values()))
+        for (n, depth), cells in zip(grid, _loso_cells(df, group, fits, parallelism))
+    ]
+    return df.sparkSession.createDataFrame(rows, "n_estimators int, max_tree_depth int, accuracy double")
 
 
 def importances(model: Model, names: Sequence[str], df: DataFrame) -> DataFrame:

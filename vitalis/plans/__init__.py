@@ -10,6 +10,7 @@ QUERY_MODULES = [
     "text_queries",
     "signal_queries",
     "model_queries",
+    "source_queries",
 ]
 
 

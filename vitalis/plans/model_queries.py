@@ -158,7 +158,7 @@ def feature_importance(spark, d):
 def loso_accuracy_table(spark, d):
     """Two forests, each fitted once per left-out subject."""
     rows = _window_rows(spark, d)
-    return rounded(models.loso_tune(rows, "subject", 3, trees=[2], depths=[2, 4]), 6, "accuracy")
+    return rounded(models.loso_tune(rows, "subject", trees=[2], depths=[2, 4]), 6, "accuracy")
 
 
 @query("training_history", "select true as never_rises, true as starts_at_zero from lineitem having count(*) > 0")
