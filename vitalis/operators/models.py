@@ -208,7 +208,7 @@ def _loso_cells(
 
 
 def loso_confusion(
-    df: DataFrame, group: str, n_labels: int, fit: Callable[[DataFrame], Model], parallelism: int = 4
+    df: DataFrame, group: str, n_labels: int, fit: Callable[[DataFrame], Model], parallelism: int = 8
 ) -> DataFrame:
     """Leave one group out, fit on the rest, predict it; the confusion matrix summed over the groups."""
     (cells,) = _loso_cells(df, group, [fit], parallelism)
@@ -217,7 +217,7 @@ def loso_confusion(
 
 
 def loso_tune(
-    df: DataFrame, group: str, trees: Sequence[int], depths: Sequence[int], seed: int = 42, parallelism: int = 4
+    df: DataFrame, group: str, trees: Sequence[int], depths: Sequence[int], seed: int = 42, parallelism: int = 8
 ) -> DataFrame:
     """Accuracy of balanced forests for each (trees, depth) under leave-one-group-out."""
     grid = list(itertools.product(trees, depths))

@@ -76,7 +76,7 @@ def src_entity_files(spark, d):
 @query(
     "read_splits",
     """
-    select split, count(*) as n, sum(doc_id) as key_sum from (select doc_id, case when cast(concat('0x', substr(md5(concat_ws('|', doc_id, 'parts')), 1, 8))
+    select split, count(*) as n, cast(sum(doc_id) as bigint) as key_sum from (select doc_id, case when cast(concat('0x', substr(md5(concat_ws('|', doc_id, 'parts')), 1, 8))
       as bigint) % 10000 < 8000 then 'train' else 'test' end as split from documents) group by split
     """,
 )
@@ -87,9 +87,7 @@ def read_splits(spark, d):
     docs = split(table(spark, d, "documents"), ["doc_id"], {"train": 0.8, "test": 0.2}, "parts")
     docs.write.partitionBy("split").parquet(path)
     read = tables.read_splits(spark, {name: f"{path}/split={name}" for name in ("train", "test")})
-    return read.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").cast("decimal(38,0)").alias("key_sum")).withColumn(
-        "key_sum", F.col("key_sum").cast("bigint")
-    )
+    return read.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("key_sum"))
 
 
 _NAMES = [f"f{i:02d}" for i in range(64)]

@@ -314,7 +314,7 @@ def _search_sql(k: int) -> str:
     s as (select query_id, doc_id, sum(qw.weight * w.weight) as score from qw join w using (term) group by 1, 2),
     p as (select query_id, doc_id, coalesce(score, 0) as score from (select distinct query_id from qw)
           join (select distinct doc_id from w) on true left join s using (query_id, doc_id)),
-    hits as (select query_id, doc_id as id, score, row_number() over (partition by query_id order by round(score, 5) desc, doc_id) as rank
+    hits as (select query_id, doc_id as id, score, row_number() over (partition by query_id order by round(score, 9) desc, doc_id) as rank
              from p qualify rank <= {k})"""
 
 
@@ -323,7 +323,7 @@ def _search_sql(k: int) -> str:
     f"with {_search_sql(10)} select query_id, id, cast(rank as integer) as rank, round(score, 4) as score from hits",
 )
 def search_text(spark, d):
-    hits = retrieval.search_text(_questions(spark, d), _texts(spark, d), _model(spark, d), 10, digits=5)
+    hits = retrieval.search_text(_questions(spark, d), _texts(spark, d), _model(spark, d), 10)
     return rounded(hits, 4, "score")
 
 
@@ -338,7 +338,7 @@ def _context_sql() -> str:
 @query("rag_context", f"with {_context_sql()} select query_id, n_hits, length(context) as n_chars, md5(context) as digest from r")
 def rag_context(spark, d):
     questions, texts = _questions(spark, d), _texts(spark, d)
-    hits = retrieval.search_text(questions, texts, _model(spark, d), 4, digits=5)
+    hits = retrieval.search_text(questions, texts, _model(spark, d), 4)
     found = retrieval.contexts(questions, hits, texts)
     return found.select(
         "query_id", "n_hits", F.length("context").cast("bigint").alias("n_chars"), F.md5("context").alias("digest")
@@ -355,7 +355,7 @@ def rag_context(spark, d):
 )
 def rag_prompt(spark, d):
     questions, texts = _questions(spark, d), _texts(spark, d)
-    hits = retrieval.search_text(questions, texts, _model(spark, d), 4, digits=5)
+    hits = retrieval.search_text(questions, texts, _model(spark, d), 4)
     ready = retrieval.prompts(retrieval.contexts(questions, hits, texts), TEMPLATE)
     return ready.select("query_id", "answer", F.md5("prompt").alias("prompt_digest"))
 
