@@ -20,8 +20,8 @@ def checksum(vector: str):
     "vector_add",
     """
     select concat('id', vec_id) as id, concat('topic ', label) as document, cast(label as varchar) as topic,
-           round(list_sum([x * i for x, i in cast(embedding as double[])]) / sqrt(list_sum([x * x for x in cast(embedding as double[])])), 3) as checksum
-    from embeddings
+           round(list_sum([cast(cast(x / n as float) as double) * i for x, i in e]), 3) as checksum
+    from (select *, cast(embedding as double[]) as e, sqrt(list_sum([x * x for x in cast(embedding as double[])])) as n from embeddings)
     """,
 )
 def vector_add(spark, d):
