@@ -71,17 +71,24 @@ def edge_sentences(column: Column | str) -> Column:
 
 
 def ngrams(tokens: Column | str, lengths: Sequence[int]) -> Column:
-    """All n-grams of a token array for the given lengths, words joined by a blank."""
+    """All n-grams of a token array for the given lengths, words joined by a blank.
+
+    A null token is a gap: no n-gram reaches over it.
+    """
 
     def up_to(t: Column, n: int) -> list[Column]:
         found = [t]
         for length in range(2, n + 1):  # each gram is the shorter gram at its place and the word after it
             count = F.greatest(F.size(t) - (length - 1), F.lit(0))
             heads, tails = F.slice(found[-1], F.lit(1), count), F.slice(t, F.lit(length), count)
-            found.append(F.zip_with(heads, tails, lambda a, b: F.concat_ws(" ", a, b)))
+            found.append(F.zip_with(heads, tails, lambda a, b: F.concat(a, F.lit(" "), b)))
         return found
 
-    return let(_col(tokens), lambda t: F.concat(*[up_to(t, max(lengths))[n - 1] for n in lengths]))
+    def of(t: Column) -> Column:
+        grams = up_to(t, max(lengths))
+        return F.array_compact(F.concat(*[grams[n - 1] for n in lengths]))
+
+    return let(_col(tokens), of)
 
 
 def noun_base(token: Column) -> Column:

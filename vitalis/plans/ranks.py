@@ -9,7 +9,7 @@ table is therefore spread over as many tasks as there are ranges.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 HEX_DIGITS = 3  # 16**3 ranges of the md5 order
 RANGES = 256  # ranges of a numeric order
+MAX_TARGETS = 10_000  # ranges that may travel to all tasks
 
 
 def hash_key(key: Sequence[str], seed: str) -> Column:
@@ -43,9 +44,15 @@ def _offsets(df: DataFrame, group: list[str], ranges: list[str], weight: Column)
     )
 
 
-def _join_offsets(df: DataFrame, offsets: DataFrame, group: list[str], ranges: list[str]) -> DataFrame:
+def _join_offsets(
+    df: DataFrame,
+    offsets: DataFrame,
+    group: list[str],
+    ranges: list[str],
+    carry: Sequence[str] = ("_before", "group_total"),
+) -> DataFrame:
     on = [*ranges, *group]
-    renamed = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in on], "_before", "group_total")
+    renamed = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in on], *carry)
     cond = F.lit(True)
     for c in ranges:
         cond = cond & (F.col(c) == F.col(f"_o_{c}"))
@@ -147,52 +154,61 @@ def ordered_rank(
     )
 
 
-def cumulative(
+def _long_values(df: DataFrame, group: list[str], columns: list[str], weight: Column | None, ranges: int) -> DataFrame:
+    """(group, metric, value, its range, weight) of all present values."""
+    cuts = range_cuts(df, columns, ranges)
+    cut = df.withColumn("_weight", weight if weight is not None else F.lit(1).cast("bigint"))
+    for i, c in enumerate(columns):
+        cut = add_range(cut, c, cuts[c], f"_range{i}")
+    cells = [
+        F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value"), F.col(f"_range{i}").alias("_r"))
+        for i, c in enumerate(columns)
+    ]
+    long = cut.select(*group, "_weight", F.inline(F.array(*cells)))
+    return long.filter(F.col("value").isNotNull() & ~F.isnan("value"))
+
+
+def first_reaching(
     df: DataFrame,
     group: Sequence[str],
     columns: Sequence[str],
+    thresholds: Mapping[str, Callable[[Column], Column]],
     weight: Column | None = None,
     ranges: int = RANGES,
 ) -> DataFrame:
-    """Long table (group, metric, value, weight, running, total) over the distinct values.
+    """Per (group, metric) and threshold the first value whose running weight reaches it.
 
-    ``running`` is the weight of all rows of the group with a value up to this one. Nulls and
-    NaN are left out. Rows collapse to distinct values before anything is sorted.
+    ``thresholds`` maps an output name to a function of the group's total weight. The weights of
+    the ranges say which of them hold an answer; only the rows of those few ranges are shuffled,
+    and they collapse to distinct values before they are sorted.
     """
     group, columns = list(group), list(columns)
-    cuts = range_cuts(df, columns, ranges)
-    cut = df.withColumn("_weight", weight if weight is not None else F.lit(1).cast("bigint"))
-    for i, c in enumerate(columns):
-        cut = add_range(cut, c, cuts[c], f"_range{i}")
-    long = cut.select(
-        *group,
-        "_weight",
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(c).alias("metric"),
-                        F.col(c).cast("double").alias("value"),
-                        F.col(f"_range{i}").alias("_r"),
-                    )
-                    for i, c in enumerate(columns)
-                ]
-            )
-        ),
-    ).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    values = long.groupBy(*group, "metric", "_r", "value").agg(F.sum("_weight").alias("weight"))
-    offsets = _offsets(values, [*group, "metric"], ["_r"], F.col("weight"))
-    inside = (
-        Window.partitionBy(*group, "metric", "_r")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    long = _long_values(df, group, columns, weight, ranges)
+    by = [*group, "metric"]
+    sums = long.groupBy(*by, "_r").agg(F.sum("_weight").alias("_w"))
+    whole = Window.partitionBy(*by)
+    earlier = whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
+    placed = sums.withColumns(
+        {"_before": F.coalesce(F.sum("_w").over(earlier), F.lit(0)), "_total": F.sum("_w").over(whole)}
     )
-    running = values.withColumn("_n", F.sum("weight").over(inside))
-    return (
-        _join_offsets(running, offsets, [*group, "metric"], ["_r"])
-        .withColumn("running", F.col("_before") + F.col("_n"))
-        .withColumnRenamed("group_total", "total")
-        .drop("_r", "_n", "_before")
+    holds = F.lit(False)
+    for reach in thresholds.values():
+        t = reach(F.col("_total"))
+        holds = holds | ((F.col("_before") < t) & (t <= F.col("_before") + F.col("_w")))
+    targets = placed.filter(holds).drop("_w")
+    few = targets.limit(MAX_TARGETS + 1).collect()
+    if len(few) <= MAX_TARGETS:  # a checked size: the targets travel and all other rows stay where they are
+        targets = F.broadcast(df.sparkSession.createDataFrame(few, targets.schema))
+    values = _join_offsets(long, targets, by, ["_r"], carry=["_before", "_total"])
+    values = values.groupBy(*by, "_r", "value", "_before", "_total").agg(F.sum("_weight").alias("_w"))
+    inside = Window.partitionBy(*by, "_r").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    running = values.withColumn("_running", F.col("_before") + F.sum("_w").over(inside))
+    return running.groupBy(*by).agg(
+        F.max("_total").alias("total"),
+        *[
+            F.min(F.when(F.col("_running") >= reach(F.col("_total")), F.col("value"))).alias(name)
+            for name, reach in thresholds.items()
+        ],
     )
 
 
@@ -205,24 +221,22 @@ def exact_quantiles(
     ranges: int = RANGES,
 ) -> DataFrame:
     """Linearly interpolated quantiles per (group, metric), one column per probability."""
-    steps = cumulative(df, group, columns, ranges=ranges)
-    picks = []
+
+    def position(p: float, total: Column) -> Column:
+        return F.lit(float(p)) * (total - 1)
+
+    thresholds = {}
     for p, name in zip(probabilities, names):
-        pos = F.lit(float(p)) * (F.col("total") - 1)
-        picks += [
-            F.min(F.when(F.col("running") > F.floor(pos), F.col("value"))).alias(f"_lo_{name}"),
-            F.min(F.when(F.col("running") > F.ceil(pos), F.col("value"))).alias(f"_hi_{name}"),
-            F.max(pos - F.floor(pos)).alias(f"_fr_{name}"),
-        ]
-    found = steps.groupBy(*group, "metric").agg(*picks)
-    return found.select(
-        *group,
-        "metric",
-        *[
-            (F.col(f"_lo_{n}") + (F.col(f"_hi_{n}") - F.col(f"_lo_{n}")) * F.col(f"_fr_{n}")).alias(n)
-            for n in names
-        ],
-    )
+        thresholds[f"_lo_{name}"] = lambda total, p=p: F.floor(position(p, total)) + 1
+        thresholds[f"_hi_{name}"] = lambda total, p=p: F.ceil(position(p, total)) + 1
+    found = first_reaching(df, group, columns, thresholds, ranges=ranges)
+
+    def between(p: float, name: str) -> Column:
+        share = position(p, F.col("total")) - F.floor(position(p, F.col("total")))
+        lo, hi = F.col(f"_lo_{name}"), F.col(f"_hi_{name}")
+        return (lo + (hi - lo) * share).alias(name)
+
+    return found.select(*group, "metric", *[between(p, n) for p, n in zip(probabilities, names)])
 
 
 def weighted_quantiles(
@@ -235,13 +249,8 @@ def weighted_quantiles(
     ranges: int = RANGES,
 ) -> DataFrame:
     """Per group the first value whose running weight reaches ``p`` times the total weight."""
-    steps = cumulative(df, group, [column], weight=weight, ranges=ranges)
-    return steps.groupBy(*group).agg(
-        *[
-            F.min(F.when(F.col("running") >= F.lit(float(p)) * F.col("total"), F.col("value"))).alias(n)
-            for p, n in zip(probabilities, names)
-        ]
-    )
+    thresholds = {n: (lambda total, p=p: F.lit(float(p)) * total) for p, n in zip(probabilities, names)}
+    return first_reaching(df, group, [column], thresholds, weight, ranges).drop("metric", "total")
 
 
 def name_rank(df: DataFrame, column: str, out: str = "position") -> DataFrame:
