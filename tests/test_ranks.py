@@ -21,6 +21,13 @@ def hot(spark):
     return spark.createDataFrame(pdf).cache()
 
 
+@pytest.fixture(params=["travelling", "shuffled"], autouse=True)
+def join_way(request, monkeypatch):
+    """Both ways of bringing offsets to the rows: broadcast below the measured bound, shuffle above it."""
+    if request.param == "shuffled":
+        monkeypatch.setattr(ranks, "travelling", lambda df: df)
+
+
 def test_hash_rank_equals_window(hot):
     ranked = ranks.hash_rank(hot, ["g"], ["id"], "s")
     w = Window.partitionBy("g").orderBy(ranks.hash_key(["id"], "s"), "id")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vitalis.plans import ranks
+from vitalis.session import travelling
 
 
 def numeric_columns(df: DataFrame) -> list[str]:
@@ -35,10 +36,10 @@ def filter_group_size(df: DataFrame, key: str, min_exclusive: int) -> DataFrame:
     """Rows of groups with more than ``min_exclusive`` rows.
 
     Counts are aggregated before the shuffle and come back by a semi join, so a large group
-    is never gathered.
+    is never gathered; a short list of keys travels to the rows instead.
     """
     keep = df.groupBy(key).count().filter(F.col("count") > min_exclusive).select(key)
-    return df.join(keep, key, "left_semi")
+    return df.join(travelling(keep), key, "left_semi")
 
 
 def head_by(df: DataFrame, order: Sequence[Column | str], n: int) -> DataFrame:

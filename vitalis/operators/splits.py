@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitalis.plans import ranks
+from vitalis.session import travelling
 
 BUCKETS = 10000
 
@@ -85,9 +86,6 @@ def logo_frames(df: DataFrame, group: str, max_groups: int = 1000) -> Iterator[t
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
     """Weight N / (K * n_c) per row, so that all classes weigh the same."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c"))
+    counts = travelling(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c")))
     totals = counts.agg(F.struct(F.sum("_n_c").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
-    weights = counts.select(
-        F.col(label), (totals["n"] / (totals["k"] * F.col("_n_c"))).alias(out)
-    )
-    return df.join(weights, label)
+    return df.join(counts, label).withColumn(out, totals["n"] / (totals["k"] * F.col("_n_c"))).drop("_n_c")

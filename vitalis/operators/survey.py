@@ -47,11 +47,6 @@ class SurveyDesign:
     def in_domain(self) -> Column:
         return F.lit(True) if self.within is None else F.coalesce(self.within, F.lit(False))
 
-    def strata_sizes(self) -> DataFrame:
-        """PSUs per stratum of the whole design."""
-        units = self.df.select(F.col(self.strata).alias("_h"), F.col(self.psu).alias("_c")).distinct()
-        return units.groupBy("_h").agg(F.count(F.lit(1)).alias("_n_h"))
-
     def summary(self) -> DataFrame:
         """One line per stratum: PSUs, rows, weight."""
         return self.df.groupBy(F.col(self.strata).alias("stratum")).agg(
@@ -68,18 +63,25 @@ class SurveyDesign:
 
 
 def _psu_sums(design: SurveyDesign, sums: Mapping[str, Column], by: Sequence[str] = ()) -> DataFrame:
-    """One line per (by, stratum, PSU) with the given sums."""
-    return design.df.groupBy(
-        *by, F.col(design.strata).alias("_h"), F.col(design.psu).alias("_c")
-    ).agg(*[F.sum(c).alias(name) for name, c in sums.items()])
+    """One line per (by, stratum, PSU) with the given sums, written once: the only scan of the rows.
+
+    No row is filtered out before, so every unit of the design has a line.
+    """
+    units = design.df.groupBy(*by, F.col(design.strata).alias("_h"), F.col(design.psu).alias("_c"))
+    return durable(units.agg(*[F.sum(c).alias(name) for name, c in sums.items()]))
+
 
+def _strata_sizes(totals: DataFrame) -> DataFrame:
+    units = totals.select("_h", "_c").distinct()
+    return units.groupBy("_h").agg(F.count(F.lit(1)).alias("_n_h"))
 
-def _variances(design: SurveyDesign, totals: DataFrame, scores: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+
+def _variances(sizes: DataFrame, scored: DataFrame, scores: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Variance per score (same column names) and per ``by`` from the PSU totals."""
-    per_stratum = totals.groupBy(*by, "_h").agg(
+    per_stratum = scored.groupBy(*by, "_h").agg(
         *[F.sum(s).alias(f"_s_{s}") for s in scores], *[F.sum(F.col(s) * F.col(s)).alias(f"_q_{s}") for s in scores]
     )
-    sized = per_stratum.join(design.strata_sizes(), "_h")
+    sized = per_stratum.join(sizes, "_h")
     n = F.when(F.col("_n_h") > 1, F.col("_n_h")).otherwise(
         F.raise_error(F.lit("a stratum with a single primary unit has no variance estimate")).cast("bigint")
     )
@@ -89,19 +91,32 @@ def _variances(design: SurveyDesign, totals: DataFrame, scores: Sequence[str], b
     return sized.groupBy(*by).agg(*parts) if by else sized.agg(*parts)
 
 
-def _mean_totals(totals: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """Add the estimate and the linearised score of each PSU, from its sums of w and w*y."""
+def _means(totals: DataFrame, sizes: DataFrame, by: Sequence[str], na_rm: bool) -> DataFrame:
+    """Estimate and standard error per ``by`` from the PSU sums _w, _wy, _na (missing) and _in (in the domain)."""
     group = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    return totals.withColumns(
-        {"_sum_w": F.sum("_w").over(group), "_sum_wy": F.sum("_wy").over(group), "_missing": F.sum("_na").over(group)}
-    ).withColumns(
-        {
-            "estimate": F.col("_sum_wy") / F.nullif("_sum_w", F.lit(0.0)),
-            "score": (F.col("_wy") - F.col("_sum_wy") / F.nullif("_sum_w", F.lit(0.0)) * F.col("_w")) / F.nullif("_sum_w", F.lit(0.0)),
-        }
+    weight = F.nullif("_sum_w", F.lit(0.0))
+    scored = (
+        totals.withColumns(
+            {"_sum_w": F.sum("_w").over(group), "_sum_wy": F.sum("_wy").over(group), "_missing": F.sum("_na").over(group)}
+        )
+        .withColumn("estimate", F.col("_sum_wy") / weight)
+        .withColumn("score", (F.col("_wy") - F.col("estimate") * F.col("_w")) / weight)
+    )
+    means = scored.groupBy(*by).agg(
+        F.max("estimate").alias("estimate"), F.max("_missing").alias("_missing"), F.sum("_in").alias("_in")
+    )
+    spread = _variances(sizes, scored, ["score"], by)
+    joined = means.join(spread, list(by)) if by else means.withColumn("score", spread.scalar())
+    known = F.lit(True) if na_rm else F.col("_missing") == 0
+    return joined.filter(F.col("_in") > 0).select(
+        *by, F.when(known, F.col("estimate")).alias("estimate"), F.when(known, F.sqrt("score")).alias("se")
     )
 
 
+def _without_null_groups(totals: DataFrame, by: Sequence[str]) -> DataFrame:
+    return totals.dropna(subset=list(by)) if by else totals
+
+
 def svy_by(design: SurveyDesign, y: Column | str, by: Sequence[str] = (), na_rm: bool = False) -> DataFrame:
     """Weighted mean and its standard error, overall or per group; rows with a null group are left out.
 
@@ -120,18 +135,7 @@ def svy_by(design: SurveyDesign, y: Column | str, by: Sequence[str] = (), na_rm:
         },
         by,
     )
-    for g in by:
-        totals = totals.filter(F.col(g).isNotNull())
-    scored = _mean_totals(totals, by)
-    means = scored.groupBy(*by).agg(
-        F.max("estimate").alias("estimate"), F.max("_missing").alias("_missing"), F.sum("_in").alias("_in")
-    )
-    spread = _variances(design, scored, ["score"], by)
-    joined = means.join(spread, list(by)) if by else means.withColumn("score", spread.scalar())
-    known = F.lit(True) if na_rm else F.col("_missing") == 0
-    return joined.filter(F.col("_in") > 0).select(
-        *by, F.when(known, F.col("estimate")).alias("estimate"), F.when(known, F.sqrt("score")).alias("se")
-    )
+    return _means(_without_null_groups(totals, by), _strata_sizes(totals), by, na_rm)
 
 
 def svy_mean(design: SurveyDesign, y: Column | str, na_rm: bool = True) -> DataFrame:
@@ -141,13 +145,24 @@ def svy_mean(design: SurveyDesign, y: Column | str, na_rm: bool = True) -> DataF
 def svy_prop(
     design: SurveyDesign, column: str, levels: Sequence, by: Sequence[str] = (), na_rm: bool = True
 ) -> DataFrame:
-    """Weighted share of each level with its standard error, overall or per group."""
-    shares = design.df.withColumn(
-        "_level", F.explode(F.array(*[F.lit(v) for v in levels]))
-    )
-    spread = replace(design, df=shares)
-    indicator = (F.col(column) == F.col("_level")).cast("double")
-    return svy_by(spread, indicator, [*by, "_level"], na_rm).withColumnRenamed("_level", "level")
+    """Weighted share of each level with its standard error, overall or per group.
+
+    The rows are not multiplied by the levels: the weight of every level is summed per PSU, and
+    only those sums become one line per level.
+    """
+    used = design.in_domain & F.col(column).isNotNull()
+    w = F.col(design.weight)
+    sums = {
+        "_w": F.when(used, w).otherwise(0.0),
+        "_na": F.when(design.in_domain & F.col(column).isNull(), 1).otherwise(0),
+        "_in": F.when(design.in_domain, 1).otherwise(0),
+    }
+    for i, v in enumerate(levels):
+        sums[f"_l{i}"] = F.when(used & (F.col(column) == F.lit(v)), w).otherwise(0.0)
+    totals = _psu_sums(design, sums, by)
+    lines = F.array(*[F.struct(F.lit(v).alias("level"), F.col(f"_l{i}").alias("_wy")) for i, v in enumerate(levels)])
+    long = _without_null_groups(totals, by).select(*by, "_h", "_c", "_w", "_na", "_in", F.inline(lines))
+    return _means(long, _strata_sizes(totals), [*by, "level"], na_rm)
 
 
 def _degrees(totals: DataFrame) -> int:
@@ -167,13 +182,13 @@ def svy_ttest(design: SurveyDesign, y: str, group: str, levels: Sequence, confid
         side = used & (F.col(group) == F.lit(v))
         sums[f"_w{i}"] = F.when(side, w).otherwise(0.0)
         sums[f"_wy{i}"] = F.when(side, w * value).otherwise(0.0)
-    totals = durable(_psu_sums(design, sums))
+    totals = _psu_sums(design, sums)
     w0, wy0, w1, wy1 = totals.agg(F.sum("_w0"), F.sum("_wy0"), F.sum("_w1"), F.sum("_wy1")).first()
     m0, m1 = wy0 / w0, wy1 / w1
     scored = totals.withColumn(
         "score", (F.col("_wy1") - m1 * F.col("_w1")) / w1 - (F.col("_wy0") - m0 * F.col("_w0")) / w0
     )
-    se = _variances(design, scored, ["score"]).first()[0] ** 0.5
+    se = _variances(_strata_sizes(totals), scored, ["score"]).first()[0] ** 0.5
     df = _degrees(totals) - 1
     t = (m1 - m0) / se
     reach = t_quantile(0.5 + confidence / 2, df) * se
@@ -223,7 +238,7 @@ def svy_glm(design: SurveyDesign, y: str, terms: Sequence[Term], max_terms: int
     sums = {f"a{i}_{j}": weight * safe(columns[i] * columns[j]) for i, j in pairs}
     sums |= {f"b{i}": weight * safe(columns[i] * value) for i in range(p)}
     sums["_n"] = F.when(used, 1).otherwise(0)
-    totals = durable(_psu_sums(design, sums))
+    totals = _psu_sums(design, sums)
     whole = totals.agg(*[F.sum(c).alias(c) for c in sums]).first()
     normal = np.zeros((p, p))
     for i, j in pairs:
@@ -241,7 +256,7 @@ def svy_glm(design: SurveyDesign, y: str, terms: Sequence[Term], max_terms: int
     influence = [
         sum((F.col(f"s{i}") * float(inverse[k, i]) for i in range(p)), F.lit(0.0)).alias(f"u{k}") for k in range(p)
     ]
-    spread = _variances(design, scored.select("_h", "_c", *influence), [f"u{k}" for k in range(p)]).first()
+    spread = _variances(_strata_sizes(totals), scored.select("_h", "_c", *influence), [f"u{k}" for k in range(p)]).first()
     df = _degrees(totals) + 1 - p
     rows = []
     for k, name in enumerate(names):

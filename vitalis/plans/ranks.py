@@ -16,9 +16,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalis.session import travelling
+
 HEX_DIGITS = 3  # 16**3 ranges of the md5 order
 RANGES = 256  # ranges of a numeric order
-MAX_TARGETS = 10_000  # ranges that may travel to all tasks
 
 
 def hash_key(key: Sequence[str], seed: str) -> Column:
@@ -52,7 +53,7 @@ def _join_offsets(
     carry: Sequence[str] = ("_before", "group_total"),
 ) -> DataFrame:
     on = [*ranges, *group]
-    renamed = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in on], *carry)
+    renamed = travelling(offsets.select(*[F.col(c).alias(f"_o_{c}") for c in on], *carry))
     cond = F.lit(True)
     for c in ranges:
         cond = cond & (F.col(c) == F.col(f"_o_{c}"))
@@ -196,9 +197,7 @@ def first_reaching(
         t = reach(F.col("_total"))
         holds = holds | ((F.col("_before") < t) & (t <= F.col("_before") + F.col("_w")))
     targets = placed.filter(holds).drop("_w")
-    few = targets.limit(MAX_TARGETS + 1).collect()
-    if len(few) <= MAX_TARGETS:  # a checked size: the targets travel and all other rows stay where they are
-        targets = F.broadcast(df.sparkSession.createDataFrame(few, targets.schema))
+    # the few targets travel, and all other rows stay where they are
     values = _join_offsets(long, targets, by, ["_r"], carry=["_before", "_total"])
     values = values.groupBy(*by, "_r", "value", "_before", "_total").agg(F.sum("_weight").alias("_w"))
     inside = Window.partitionBy(*by, "_r").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _LOCAL_SCRATCH: str | None = None
 
@@ -70,3 +71,15 @@ def spread(df: DataFrame, bytes_per_task: int = 32 << 20) -> DataFrame:
     tasks = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(tasks) if size < tasks * bytes_per_task else df
+
+
+def travelling(small: DataFrame, max_rows: int = 10_000) -> DataFrame:
+    """A frame that is broadcast if it has at most ``max_rows`` rows, else as it came.
+
+    The size is measured, not assumed. Beyond the bound the join is left to a shuffle, where
+    adaptive execution splits skewed keys.
+    """
+    rows = small.limit(max_rows + 1).collect()
+    if len(rows) > max_rows:
+        return small
+    return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
