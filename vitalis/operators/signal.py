@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalis.functions.stats import pearson
+from vitalis.session import keep_apart
 
 # fixed values: filter order and cut-off in Hz, spectrum length, frequency ranges in Hz
 ORDER, CUTOFF_HZ, SPECTRUM_LENGTH = 3, 12.0, 2046
@@ -63,7 +64,8 @@ def window_time_features(df: DataFrame, key: Sequence[str], x: str, y: str) -> D
 def window_arrays(df: DataFrame, key: Sequence[str], seq: str, channels: Sequence[str]) -> DataFrame:
     """One row per window with each channel as an array in sample order."""
     samples = F.array_sort(F.collect_list(F.struct(seq, *channels)))
-    rows = df.groupBy(*key, "window").agg(samples.alias("_s"))
+    narrow = df.select(*key, "window", seq, *channels)
+    rows = keep_apart(narrow, *key, "window").groupBy(*key, "window").agg(samples.alias("_s"))
     return rows.select(*key, "window", *[F.col("_s")[c].alias(c) for c in channels])
 
 

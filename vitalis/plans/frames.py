@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalis.plans.registry import table
+from vitalis.session import spread
 
 FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -58,7 +59,7 @@ LINE_KEY_SQL = (
 
 
 def keyed_lines(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "lineitem").withColumn("row_key", line_key())
+    return spread(table(spark, d, "lineitem")).withColumn("row_key", line_key())
 
 
 def survey_rows(spark: SparkSession, d: str) -> DataFrame:

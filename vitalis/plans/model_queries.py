@@ -85,7 +85,7 @@ def mlp_classifier(spark, d):
     lines = keyed_lines(spark, d).select("row_key", "l_linestatus", "l_discount", "l_tax")
     ready = models.index_labels(models.assemble(lines, ["l_discount", "l_tax"]), "l_linestatus", ["F", "O"])
     parts = durable(splits.split(ready, ["row_key"], {"train": 0.9, "test": 0.1}, "mlp").select("features", "label", "split"))
-    model = models.fit_mlp(parts.filter("split = 'train'"), [2, 10, 10, 2], iterations=20)
+    model = models.fit_mlp(parts.filter("split = 'train'"), [2, 10, 10, 2], iterations=10)
     return _matrix(model, parts.filter("split = 'test'"), 2)
 
 

@@ -10,6 +10,7 @@ from vitalis.operators import retrieval, textprep
 from vitalis.plans.core_queries import rounded
 from vitalis.plans.frames import LABELLED_SQL, LINE_KEY_SQL, keyed_lines, labelled_documents
 from vitalis.plans.registry import query, table
+from vitalis.session import spread
 
 # fixed values: the stop words of the registered TF-IDF queries
 STOP_WORDS = ("the", "and", "of", "to", "in", "is", "it", "that", "for", "on", "are", "was", "with", "as", "at", "by")
@@ -18,6 +19,10 @@ NOUN_EXCEPTIONS = {"children": "child", "feet": "foot", "mice": "mouse", "teeth"
 TEMPLATE = "Answer the question in plain words.\nQuestion: {user_query}\nPassages: {document_context}\nReply:"
 
 
+def _docs(spark, d):
+    return spread(table(spark, d, "documents").select("doc_id", "text"))
+
+
 @query(
     "str_split_path",
     r"""
@@ -39,7 +44,7 @@ _CLEAN_SQL = (
 
 @query("clean_text", f"select doc_id, {_CLEAN_SQL.format(c='text')} as text from documents")
 def clean_text(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.clean_text("text").alias("text"))
+    return _docs(spark, d).select("doc_id", tx.clean_text("text").alias("text"))
 
 
 _SENTENCES_SQL = (
@@ -53,7 +58,7 @@ _SENTENCES_SQL = (
     f"select doc_id, s as position, list[s + 1] as sentence from (select doc_id, list, unnest(range(len(list))) as s from (select doc_id, {_SENTENCES_SQL} as list from documents))",
 )
 def sentence_split(spark, d):
-    split = table(spark, d, "documents").select("doc_id", F.posexplode(tx.sentences("text")).alias("position", "sentence"))
+    split = _docs(spark, d).select("doc_id", F.posexplode(tx.sentences("text")).alias("position", "sentence"))
     return split.withColumn("position", F.col("position").cast("bigint"))
 
 
@@ -65,7 +70,7 @@ _WORDS = r"'[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\f\r]'"
     f"select doc_id, len(w) as n_tokens, array_to_string(w, ' ') as tokens from (select doc_id, regexp_extract_all(text, {_WORDS}) as w from documents)",
 )
 def word_tokenize(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.words("text").alias("w")).select(
+    return _docs(spark, d).select("doc_id", tx.words("text").alias("w")).select(
         "doc_id", F.size("w").cast("bigint").alias("n_tokens"), F.array_join("w", " ").alias("tokens")
     )
 
@@ -78,7 +83,7 @@ def word_tokenize(spark, d):
     """,
 )
 def edge_sentences(spark, d):
-    return table(spark, d, "documents").select(
+    return _docs(spark, d).select(
         "doc_id", F.array_join(tx.edge_sentences(tx.sentences("text")), " ").alias("edges")
     )
 
@@ -101,7 +106,7 @@ _TERMS_SQL = "regexp_extract_all(lower({c}), '[a-z0-9_]{{2,}}')"
 )
 def lemmatize(spark, d):
     lemmas = tx.lemmatize_nouns(tx.terms("text"), NOUN_EXCEPTIONS)
-    return table(spark, d, "documents").select("doc_id", F.array_join(lemmas, " ").alias("lemmas"))
+    return _docs(spark, d).select("doc_id", F.array_join(lemmas, " ").alias("lemmas"))
 
 
 def _lexicon(spark, d):
@@ -166,7 +171,7 @@ def clean_and_lemmatize(spark, d):
     def lemmatized(df):
         return df.withColumn("text", F.array_join(F.transform(tx.terms("text"), tx.noun_base), " "))
 
-    return table(spark, d, "documents").select("doc_id", "text").transform(cleaned).transform(lemmatized)
+    return _docs(spark, d).select("doc_id", "text").transform(cleaned).transform(lemmatized)
 
 
 @query(
@@ -188,7 +193,7 @@ def render_prompt(spark, d):
     "select doc_id, 'summarize: ' || text as prompt from documents",
 )
 def prefix_prompt(spark, d):
-    return table(spark, d, "documents").select("doc_id", tx.render_prompt("summarize: {document}", {"document": "text"}).alias("prompt"))
+    return _docs(spark, d).select("doc_id", tx.render_prompt("summarize: {document}", {"document": "text"}).alias("prompt"))
 
 
 @query(
@@ -474,7 +479,7 @@ def embed_text(spark, d):
     """Equal texts give one vector, and it has unit length (or is zero where a text has no term)."""
     from vitalis.operators.vectors import l2_norm
 
-    made = retrieval.embed(table(spark, d, "documents").select("text"), "text", dim=256)
+    made = retrieval.embed(_docs(spark, d).select("text"), "text", dim=256)
     has_terms = F.size(tx.terms("text")) > 0
     fits = F.abs(l2_norm("embedding") - F.when(has_terms, 1.0).otherwise(0.0)) < 1e-6
     return (

@@ -24,6 +24,7 @@ def build_session(master: str = "local[8]", app: str = "vitalis", **conf: str) -
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
@@ -83,3 +84,13 @@ def travelling(small: DataFrame, max_rows: int = 10_000) -> DataFrame:
     if len(rows) > max_rows:
         return small
     return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
+
+
+def keep_apart(df: DataFrame, *columns: str) -> DataFrame:
+    """Hash-partition by the columns of the next grouping, at full width.
+
+    The grouping needs this shuffle anyway. Naming the width keeps adaptive execution from merging
+    partitions that are small now but feed costly per-row Python work.
+    """
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(width, *columns)
