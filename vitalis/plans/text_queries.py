@@ -177,12 +177,12 @@ def clean_and_lemmatize(spark, d):
 @query(
     "render_prompt",
     """
-    select conv_id, turn, 'Write a medical description of ' || role || ' for disease symptom ' || text || ' within 50 words.' as prompt
+    select conv_id, turn, 'Describe in at most 50 words what a ' || role || ' should know about: ' || text as prompt
     from conversations
     """,
 )
 def render_prompt(spark, d):
-    template = "Write a medical description of {kind} for disease symptom {symptom} within {words} words."
+    template = "Describe in at most {words} words what a {kind} should know about: {symptom}"
     return table(spark, d, "conversations").select(
         "conv_id", "turn", tx.render_prompt(template, {"kind": "role", "symptom": "text", "words": F.lit(50)}).alias("prompt")
     )
