@@ -74,14 +74,14 @@ def spread(df: DataFrame, bytes_per_task: int = 32 << 20) -> DataFrame:
     return df.repartition(tasks) if size < tasks * bytes_per_task else df
 
 
-def travelling(small: DataFrame, max_rows: int = 10_000) -> DataFrame:
-    """A frame that is broadcast if it has at most ``max_rows`` rows, else as it came.
+def travelling(small: DataFrame, max_rows: int = 100_000, max_bytes: int = 32 << 20) -> DataFrame:
+    """A frame that is broadcast if it is small, else as it came.
 
     The size is measured, not assumed. Beyond the bound the join is left to a shuffle, where
     adaptive execution splits skewed keys.
     """
-    rows = small.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
+    rows = small.limit(max_rows + 1).toArrow()
+    if len(rows) > max_rows or rows.nbytes > max_bytes:
         return small
     return F.broadcast(small.sparkSession.createDataFrame(rows, small.schema))
 
