@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import os
 
 import numpy as np
@@ -76,6 +77,12 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.most = most
+        made = json.loads(self.tokenizer.to_str())
+        self.bytes_of: np.ndarray | None = None  # of each id, for byte-level vocabularies
+        if made["normalizer"] is None and made["pre_tokenizer"]["type"] == "ByteLevel":
+            vocab = self.tokenizer.get_vocab()
+            self.bytes_of = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
+            self.bytes_of[list(vocab.values())] = [len(x) for x in vocab]
         self._forget()
 
     @classmethod
@@ -90,13 +97,22 @@ class Encoder:
         self.pool, self.first = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
 
     def _learn(self, new: list[str]) -> None:
+        joined = [x[0] == " " and not (x[1:2].isspace() or x[-1].isspace()) for x in new] if self.bytes_of is not None else []
+        new = [x for x, j in zip(new, joined) if j] + [x for x, j in zip(new, joined) if not j] if joined else new
         ids, counts = [self.pool], []
-        for k in range(0, len(new), 2048):
-            part = new[k : k + 2048]
-            found = self.tokenizer.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
-            ids.append(np.array(found.ids, dtype=np.uint32))
-            of = np.array([-1 if w is None else w for w in found.word_ids], dtype=np.int64)
-            counts.append(np.bincount(of[of >= 0], minlength=len(part)))
+        for first, past, one_by_one in ((0, sum(joined), False), (sum(joined), len(new), True)):
+            for k in range(first, past, 2048):
+                part = new[k : min(past, k + 2048)]
+                if one_by_one:
+                    found = self.tokenizer.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
+                    of = np.array([-1 if w is None else w for w in found.word_ids], dtype=np.int64)
+                    counts.append(np.bincount(of[of >= 0], minlength=len(part)))
+                    ids.append(np.array(found.ids, dtype=np.uint32))
+                else:  # each begins with a space, so nothing is joined across them; the ids' bytes tell them apart
+                    got = self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids
+                    ids.append(np.array(got, dtype=np.uint32))
+                    ends = np.cumsum([len(x.encode()) for x in part])
+                    counts.append(np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids[-1]]), ends, side="right"), prepend=0))
         self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
         self.pool = np.concatenate(ids)
         self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(counts))])
