@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vitalis.llm import packing, repair
+from vitalis.llm import mixing, ordinal, packing, repair
 from vitalis.session import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -32,6 +33,30 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_digests(spark, path)
 
 
+@query("op2_budget_mix")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_documents(spark, sf_dir))
+
+
+LEAST_GOOD = 0.5  # probability of the best grade that a kept document has at least
+
+
+def grade_of_labels() -> Column:
+    """Grades of labelled documents: 0 toxic, 1 poor, 2 good; null without a label."""
+    return F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when((F.col("quality") == 1) & (F.col("toxic") == 0), 2)
+
+
+def graded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> ordinal.Ordinal:
+    return ordinal.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), grade_of_labels(), classes=3)
+
+
+@query("op3_ordinal_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that the classifier selects, with their grade and tail probability."""
+    docs = _documents(spark, sf_dir)
+    return ordinal.grade(docs, graded(spark, docs, sf_dir), at_least=2, least_tail=LEAST_GOOD)
+
+
 @query("op9_bounded_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
