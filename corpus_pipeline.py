@@ -1,11 +1,76 @@
-"""The corpus pipeline: stages that each read all documents the one before kept."""
+"""The corpus pipeline: graded documents, one of each near-duplicate group, pseudonyms, a mix, packs.
 
-STAGES = []
+Every stage reads all that the one before kept. All but the last return the columns of documents.
+"""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from vitalis.llm import mixing, near_duplicates, ordinal, packing, pseudonyms, queries
+from vitalis.llm.common import stage
+
+
+def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are of the best grade with probability 1/2 or more. Nulls count as empty
+    texts; all rows and columns that stay are unchanged."""
+    model = queries.graded(spark, docs, sf_dir)
+    columns = docs.columns
+    graded = docs.withColumn("__place", F.col("doc_id"))
+    chosen = ordinal.grade(graded, model, at_least=2, id_col="__place", keep=columns, least_tail=queries.LEAST_GOOD)
+    return chosen.select(*(F.col(f"`{c}`") for c in columns))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group; of rows that share an id one stays. Rows
+    without id and empty texts stay."""
+    found = near_duplicates.near_duplicates(docs)
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    repeated = stage(repeated, "repeated-ids")
+    gone = found.filter("NOT kept").select("doc_id").unionByName(repeated)
+    single = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    first = docs.join(repeated.join(found.filter("kept"), "doc_id", "left_semi"), "doc_id", "left_semi")
+    return single.unionByName(first.dropDuplicates(["doc_id"]).select(*docs.columns))
+
+
+def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row, its text with personal data permuted; null texts stay null."""
+    return pseudonyms.pseudonymise(docs, queries.PSEUDONYM_KEY)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it. Rows that share an id (null included) are taken
+    equally often; documents without words are in no budget and go."""
+    copies = mixing.mix(docs).groupBy("doc_id").agg(F.max("copies").alias("__copies")).filter("__copies > 0")
+    copies = copies.withColumnRenamed("doc_id", "__doc_id")
+    taken = docs.join(copies, F.col("doc_id").eqNullSafe(F.col("__doc_id")))
+    return taken.select(*(F.col(f"`{c}`") for c in docs.columns), F.explode(F.sequence(F.lit(1), "__copies"))).drop("col")
+
+
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2,048 ids."""
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+STAGES = [
+    ("quality", select_quality),
+    ("near_duplicates", drop_near_duplicates),
+    ("pseudonyms", hide_personal_data),
+    ("mix", mix_sources),
+    ("pack", pack_sequences),
+]
+
+#: SQL can't state the classifier's fit, the hashes and the tokenizer; tests use brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over documents; what one returns is written and read again for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for k, (name, apply) in enumerate(STAGES):
+        docs = apply(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = stage(docs, f"pipeline-{name}")
     return docs

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import mixing, ordinal, packing, repair
+from vitalis.llm import mixing, near_duplicates, ordinal, packing, pseudonyms, repair
 from vitalis.session import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -57,6 +57,20 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.grade(docs, graded(spark, docs, sf_dir), at_least=2, least_tail=LEAST_GOOD)
 
 
+@query("op7_bbit_minhash")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_documents(spark, sf_dir))
+
+
+#: The demonstration key; a deployment passes its own secret.
+PSEUDONYM_KEY = b"vitalis demonstration key"
+
+
+@query("op8_feistel_pseudonyms")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonyms.digests(_documents(spark, sf_dir), PSEUDONYM_KEY)
+
+
 @query("op9_bounded_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
