@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import mixing, near_duplicates, ordinal, packing, pseudonyms, repair
+from vitalis.llm import mixing, near_duplicates, ordinal, packing, pseudonyms, repair, sketches
 from vitalis.session import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -74,3 +74,8 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_bounded_packing")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query("op10_invertible_sketches")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sketches.fingerprints(_documents(spark, sf_dir))
