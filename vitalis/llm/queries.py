@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import mixing, near_duplicates, ordinal, packing, pseudonyms, repair, sketches
+from vitalis.llm import mixing, near_duplicates, ordinal, packing, pseudonyms, repair, repeats, sketches
 from vitalis.session import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -57,6 +57,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.grade(docs, graded(spark, docs, sf_dir), at_least=2, least_tail=LEAST_GOOD)
 
 
+@query("op5_block_anchors")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(_documents(spark, sf_dir), digest=True)
+
+
 @query("op7_bbit_minhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(_documents(spark, sf_dir))
