@@ -41,16 +41,15 @@ def _frequent(left: np.ndarray, right: np.ndarray, least: int, most: int) -> tup
     Each slot of the table stands for one of the pairs that hash to it; another frequent pair of
     the same slot has its turn in a later round.
     """
-    bits = max(10, int(len(left)).bit_length() + 1)
-    slot = (left * np.uint64(0x9E3779B97F4A7C15) + right * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - bits)
-    slot = slot.astype(np.int64)
-    one = np.zeros(1 << bits, dtype=np.int64)
-    one[slot] = np.arange(len(slot))
+    bits = max(10, int(len(left)).bit_length())
+    slot = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)
+    one = np.zeros(1 << bits, dtype=np.int32)
+    one[slot] = np.arange(len(slot), dtype=np.int32)
     own = one[slot]
     same = (left[own] == left) & (right[own] == right)
-    count = np.bincount(own[same], minlength=len(left)) if len(left) else np.zeros(0, dtype=np.int64)
+    count = np.bincount(slot[same], minlength=1 << bits)
     best = np.flatnonzero(count >= least)
-    best = best[np.lexsort((best, -count[best]))][:most]
+    best = one[best[np.argsort(-count[best], kind="stable")][:most]]
     return best, own, same
 
 
@@ -63,7 +62,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = 10, least: int = 8
     stop = int(ids.max()) + 1 if len(ids) else 1
     room = 65_536 - stop - 1
     room = room if room >= 4_096 else 1 << 20
-    symbols = ids.astype(np.uint64)
+    symbols = ids.astype(np.uint32)
     symbols[ends - 1] = stop  # each document has an end id, which the reader knows
     rules: list[np.ndarray] = []
     made, base = 0, stop + 1
@@ -71,20 +70,17 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = 10, least: int = 8
         if made >= room or len(symbols) < 2:
             break
         left, right = symbols[:-1], symbols[1:]
-        free = np.flatnonzero((left != stop) & (right != stop))
-        best, own, same = _frequent(left[free], right[free], least, min(room - made, max(256, room // 4)))
+        best, own, same = _frequent(left, right, least, min(room - made, max(256, room // 4)))
+        best = best[(left[best] != stop) & (right[best] != stop)]
         if not len(best):
             break
-        rule_of = np.full(len(free), -1, dtype=np.int64)
-        rule_of[best] = np.arange(len(best))
-        rule = np.where(same, rule_of[own], -1)
-        flags = np.zeros(len(symbols), dtype=bool)
-        flags[free[rule >= 0]] = True
-        at = _take(flags)
-        number = np.full(len(symbols), -1, dtype=np.int64)
-        number[free] = rule
-        rules.append(np.stack([left[free[best]], right[free[best]]], axis=1))
-        symbols[at] = (base + made + number[at]).astype(np.uint64)
+        rule_of = np.full(len(left), -1, dtype=np.int32)
+        rule_of[best] = np.arange(len(best), dtype=np.int32)
+        rule = rule_of[own]
+        rule[~same] = -1
+        at = _take(rule >= 0)
+        rules.append(np.stack([left[best], right[best]], axis=1))
+        symbols[at] = (base + made + rule[at]).astype(np.uint32)
         keep = np.ones(len(symbols), dtype=bool)
         keep[at + 1] = False
         symbols = symbols[keep]
@@ -164,7 +160,7 @@ class Block:
 
 def write_grammar(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
-    block_tokens: int = 1 << 20,
+    block_tokens: int = 1 << 19,
 ) -> None:
     """Encode all texts and write them as grammar blocks below ``path``, in ascending id order.
 
