@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import mixing, near_duplicates, ordinal, packing, pseudonyms, repair, repeats, sketches
+from vitalis.llm import mixing, near_duplicates, neighbours, ordinal, packing, pseudonyms, repair, repeats, sketches
 from vitalis.session import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -57,6 +57,25 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ordinal.grade(docs, graded(spark, docs, sf_dir), at_least=2, least_tail=LEAST_GOOD)
 
 
+NEAREST_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+    list_reduce(list_transform(list_zip(q.e, c.e), lambda p: p[1] * p[2]), lambda a, b: a + b) AS score
+  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
+@query("op4_block_matrix_join", NEAREST_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    return neighbours.nearest(vectors, F.col("id") % 20 == 0, k=20)
+
+
 @query("op5_block_anchors")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_documents(spark, sf_dir), digest=True)
