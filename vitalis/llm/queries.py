@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm import mixing, near_duplicates, neighbours, ordinal, packing, pseudonyms, repair, repeats, sketches
+from vitalis.llm import mixing, near_duplicates, neighbours, ordinal, packing, pitman_yor, pseudonyms, repair, repeats, sketches
 from vitalis.session import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -81,6 +81,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(_documents(spark, sf_dir), digest=True)
 
 
+@query("op6_pitman_yor")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.score_documents(_documents(spark, sf_dir))
+
+
 @query("op7_bbit_minhash")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.near_duplicates(_documents(spark, sf_dir))

@@ -16,10 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, ragged, stage, text_bytes, width, window_hashes, word_bounds, word_hashes
+from vitalis.llm.common import fresh_columns, ragged, stage, text_bytes, window_hashes, word_bounds, word_hashes
+from vitalis.llm.exchange import groups_for, home_of, ints, read_ints
 
 WINDOW = 50
 BLOCK = WINDOW // 2  # a window holds a whole block wherever blocks begin
@@ -36,16 +37,6 @@ BACK = "dest int, docs binary, places binary, marks binary"
 REF, PROBE = 1, 0
 
 
-def _ints(values: np.ndarray) -> bytes:
-    """Small numbers in 2 bytes each if they all fit, else in 4, after a byte that says so."""
-    kind = "<u2" if not len(values) or values.max() < 65_536 else "<u4"
-    return kind[-1].encode() + values.astype(kind).tobytes()
-
-
-def _read_ints(data: bytes) -> np.ndarray:
-    return np.frombuffer(data, dtype="<u" + data[:1].decode(), offset=1).astype(np.int64)
-
-
 def _send(part: np.ndarray, parts: int, salt: int, kind: int, doc: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray):
     """One row for each group: entries by document and place, documents named once."""
     order = np.argsort(part.astype(np.uint16) if parts < 65_536 else part, kind="stable")
@@ -56,7 +47,7 @@ def _send(part: np.ndarray, parts: int, salt: int, kind: int, doc: np.ndarray, p
         own = slice(bounds[p], bounds[p + 1])
         new = np.flatnonzero(np.r_[True, np.diff(doc[own]) != 0])
         counts = np.diff(np.r_[new, bounds[p + 1] - bounds[p]])
-        row = [doc[own][new].astype("<i8").tobytes(), _ints(counts), _ints(place[own]), low[own].tobytes(), high[own].tobytes()]
+        row = [doc[own][new].astype("<i8").tobytes(), ints(counts), ints(place[own]), low[own].tobytes(), high[own].tobytes()]
         rows += [(int(p), s, kind, *row) for s in ([salt] if kind == PROBE else range(SALTS))]
     if rows:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SENT)], schema=_SENT)
@@ -67,22 +58,15 @@ def _received(table: pa.Table, low: str, high: str) -> tuple[np.ndarray, ...]:
     if not table.num_rows:
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, low), np.zeros(0, high)
     get = {c: table[c].to_pylist() for c in ("docs", "counts", "places", "low", "high")}
-    docs = [np.repeat(np.frombuffer(d, "<i8"), _read_ints(n)) for d, n in zip(get["docs"], get["counts"])]
+    docs = [np.repeat(np.frombuffer(d, "<i8"), read_ints(n)) for d, n in zip(get["docs"], get["counts"])]
     return (
-        np.concatenate(docs), np.concatenate([_read_ints(x) for x in get["places"]]),
+        np.concatenate(docs), np.concatenate([read_ints(x) for x in get["places"]]),
         np.frombuffer(b"".join(get["low"]), low), np.frombuffer(b"".join(get["high"]), high),
     )
 
 
-def _home(doc, n: int):
-    """The group of a document for the way back; the same rule on columns and arrays."""
-    if isinstance(doc, Column):
-        return F.pmod(doc.bitwiseXOR(F.shiftright(doc, 17)), F.lit(n)).cast("int")
-    return np.mod(doc ^ (doc >> 17), n)
-
-
 def _reply(doc: np.ndarray, place: np.ndarray, mark: np.ndarray, homes: int) -> pa.Table:
-    home = _home(doc, homes)
+    home = home_of(doc, homes)
     order = np.lexsort((place, doc, home))
     home, doc, place, mark = home[order], doc[order], place[order], mark[order]
     bounds = np.searchsorted(home, np.arange(homes + 1))
@@ -288,15 +272,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     id neither removes nor loses any. An empty table gives an empty result; other columns don't
     matter.
     """
-    spark = docs.sparkSession
     slim = fresh_columns(docs, id=id_col, text=text_col)
     slim = slim.select(F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     named = slim.filter("id IS NOT NULL")
-    groups = max(width(spark), 4 * docs.rdd.getNumPartitions())
+    groups = groups_for(docs)
     homes = groups | 1
     sent = named.mapInArrow(_probes(groups), SENT)
     hits = stage(sent.groupBy("part", "salt").applyInArrow(_anchors(homes), BACK), "anchors")
-    home = F.coalesce(_home(F.col("id"), homes), F.lit(0))
+    home = F.coalesce(home_of(F.col("id"), homes), F.lit(0))
     by_home = named.withColumn("dest", home).groupBy("dest")
     sent = by_home.cogroup(hits.groupBy("dest")).applyInArrow(_windows(groups), SENT)
     gone = stage(sent.groupBy("part", "salt").applyInArrow(_earlier(homes), BACK), "repeats")
