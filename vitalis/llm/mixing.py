@@ -17,7 +17,7 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, near: int = 1
 
     Every size gives its share of documents first and the largest sizes fill up, until little more
     than ``near`` words are left; a bounded-knapsack table over the documents not yet taken fills
-    the rest. The sum is never above the budget.
+    the rest. The sum is above the budget only where one document more comes nearer to it.
     """
     take = np.zeros(len(sizes), dtype=np.int64)
     whole = int((sizes * counts).sum())
@@ -53,10 +53,14 @@ def fit_budget(sizes: np.ndarray, counts: np.ndarray, budget: int, near: int = 1
         if reach[left]:
             break
     at = int(np.flatnonzero(reach)[-1])
+    gap = left - at
     while at:
         k, amount = items[made_by[at]]
         take[k] += amount
         at -= amount * int(sizes[k])
+    over = np.where((sizes > gap) & (counts > take), sizes, np.iinfo(np.int64).max)
+    if gap and over.min() < 2 * gap:  # one document more comes nearer than none
+        take[over.argmin()] += 1
     return take
 
 

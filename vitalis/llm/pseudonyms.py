@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 ROUNDS = 8
 
@@ -202,7 +203,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", found_col:
     empty; texts without such values come back unchanged; repeated rows stay; an empty table gives
     an empty one.
     """
-    schema = docs.schema.add(found_col, "long") if found_col else docs.schema
+    schema = T.StructType([*docs.schema.fields, *([T.StructField(found_col, T.LongType())] if found_col else [])])
     at = docs.columns.index(text_col)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
