@@ -18,6 +18,7 @@ from vitalis.llm.common import (
     fresh_columns, lower_ascii, mix, ragged, stage, text_bytes, window_hashes, word_bounds, word_hashes,
 )
 from vitalis.llm.components import components
+from vitalis.llm.exchange import groups_for
 
 SHINGLE = 5
 PERCENT = 75  # least similarity
@@ -144,6 +145,101 @@ def _linked(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(first, "a").join(second, "b").select("a", "b", "sa", "sb").mapInArrow(confirm, "a long, b long")
 
 
+def _estimates(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """:func:`estimate` of every row of ``a`` with every row of ``b``."""
+    even = np.uint64(0x5555555555555555)
+    differ = np.zeros((len(a), len(b)), dtype=np.int16)
+    for i in range(a.shape[1]):
+        d = a[:, None, i] ^ b[None, :, i]
+        differ += np.bitwise_count((d | (d >> np.uint64(1))) & even).astype(np.int16)
+    return (0.75 - differ / MINIMA) / 0.75
+
+
+def _common(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Size of the intersection of every set of ``a`` with every set of ``b``."""
+    values = np.concatenate([*a, *b])
+    known, index, seen = np.unique(values, return_inverse=True, return_counts=True)
+    column = np.cumsum(seen > 1) - 1  # what only one set holds is in no intersection
+    sizes = np.array([len(x) for x in (*a, *b)])
+    row, on = np.repeat(np.arange(len(sizes)), sizes), seen[index] > 1
+    row, column = row[on], column[index[on]]
+    out = np.zeros((len(a), len(b)), dtype=np.float32)
+    for low in range(0, int((seen > 1).sum()), _COLUMNS):
+        here = (column >= low) & (column < low + _COLUMNS)
+        part = np.zeros((len(sizes), _COLUMNS), dtype=np.float32)
+        part[row[here], column[here] - low] = 1
+        out += part[: len(a)] @ part[len(a) :].T
+    return out
+
+
+_COLUMNS = 2048  # shingles of one matrix product
+_CELL = 1024  # documents on a side of one
+
+
+def _cell_links(ids: np.ndarray, component: np.ndarray, bits: np.ndarray, sets: list[np.ndarray], side: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join different components of a cell: each joins what earlier ones left apart.
+
+    ``side`` is 0 and 1 for the two blocks that meet, or all 0 where a block meets itself.
+    """
+    left, right = (np.flatnonzero(side == k) for k in ((0, 1) if side.any() else (0, 0)))
+    open_ = (component[left][:, None] != component[right]) & (_estimates(bits[left], bits[right]) >= PERCENT / 100 - MARGIN)
+    left, right = left[open_.any(axis=1)], right[open_.any(axis=0)]
+    if not len(left):
+        return []
+    sizes = np.array([len(x) for x in sets])
+    both = _common([sets[k] for k in left], [sets[k] for k in right])
+    near = 100 * both >= PERCENT * (sizes[left][:, None] + sizes[right] - both)
+    near &= component[left][:, None] != component[right]
+    parent: dict[int, int] = {}
+
+    def root(x: int) -> int:
+        while parent.get(x, x) != x:
+            x = parent[x]
+        return x
+
+    out = []
+    for i, j in zip(*np.nonzero(near)):
+        a, b = root(int(component[left[i]])), root(int(component[right[j]]))
+        if a != b:
+            parent[max(a, b)] = min(a, b)
+            out.append((int(ids[left[i]]), int(ids[right[j]])))
+    return out
+
+
+def _across(placed: DataFrame, sets: DataFrame, groups: int) -> DataFrame:
+    """Links between documents that share a band bucket but not yet a component.
+
+    A bucket's documents meet as blocks of bounded size: estimates from packed bits tell which are
+    worth comparing, their intersections come from matrix products, and only links that join
+    components leave the task, never all pairs.
+    """
+    counts = placed.groupBy("band").agg(F.ceil(F.count("*") / _CELL).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    cut = placed.join(counts, "band").withColumn("own", own).withColumn("other", other).join(sets, "id")
+    low, high = F.least("own", "other"), F.greatest("own", "other")
+    side = ((F.col("own") == high) & (low != high)).cast("int")
+    cut = cut.select("band", low.alias("low"), high.alias("high"), side.alias("side"), "id", "component", "bits", "set")
+    cut = cut.withColumn("group", F.pmod(F.xxhash64("band", "low", "high"), F.lit(groups)))
+
+    def meet(_: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches)).sort_by([("band", "ascending"), ("low", "ascending"), ("high", "ascending")])
+        cell = np.stack([np.asarray(table[c]) for c in ("band", "low", "high")], axis=1)
+        first = np.flatnonzero(np.r_[True, (cell[1:] != cell[:-1]).any(axis=1)])
+        columns = [np.asarray(table[c]) for c in ("id", "component", "side")]
+        bits = np.asarray(table["bits"].combine_chunks().flatten()).view(np.uint64).reshape(len(cell), -1)
+        packed, found = table["set"].combine_chunks(), []
+        for a, b in zip(first, np.r_[first[1:], len(cell)]):
+            ids, component, side = (c[a:b] for c in columns)
+            if (component != component[0]).any():
+                own = [np.frombuffer(packed[k].as_buffer(), dtype=np.uint64) for k in range(a, b)]
+                found += _cell_links(ids, component, bits[a:b], own, side)
+        pairs = np.array(sorted(set(found)), dtype=np.int64).reshape(-1, 2)
+        yield pa.RecordBatch.from_arrays([pa.array(pairs[:, 0]), pa.array(pairs[:, 1])], names=["a", "b"])
+
+    return cut.groupBy("group").applyInArrow(meet, "a long, b long")
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per id: n_shingles, component_id (smallest id that links reach) and kept (it is that id).
 
@@ -179,13 +275,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     placed = placed.withColumn("component", F.coalesce("component", "id"))
     mixed = placed.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     placed = placed.join(mixed.filter("low < high").select("band"), "band").join(signs, "id")
-    placed = stage(placed, "mixed-buckets")
-    x, y = placed.alias("x"), placed.alias("y")
-    apart = (F.col("x.band") == F.col("y.band")) & (F.col("x.component") < F.col("y.component"))
-    across = x.join(y, apart & _near(F.col("x.sign"), F.col("y.sign")))
-    across = across.select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
-    across = across.join(stars, ["a", "b"], "left_anti")
-    more = _linked(stage(across, "cross-pairs"), sets)
+    placed = stage(placed.select("band", "id", "component", "sign.bits"), "mixed-buckets")
+    more = _across(placed, sets, groups_for(docs))
     shared = member.groupBy("id").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low < high")
     repeated = member.join(shared.select("id"), "id", "left_semi").select(F.col("rep").alias("a"), F.col("id").alias("b"))
     whole = components(links.unionByName(more).unionByName(repeated))
