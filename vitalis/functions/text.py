@@ -15,7 +15,7 @@ PUNCTUATION = r"[!-/:-@\[-`{-~]"
 DIGITS = r"[\p{Nd}\x{B2}\x{B3}\x{B9}\x{2070}\x{2074}-\x{2079}\x{2080}-\x{2089}]"
 WORD = r"[\p{L}\p{N}_]+"
 WORD_OR_MARK = r"[\p{L}\p{N}_]+|[^\p{L}\p{N}_ \t\n\f\r]"
-TERM = r"[a-z0-9_]{2,}"
+TERM = r"[\p{L}\p{N}_]{2,}"
 _MARK = "\u0001"
 
 
@@ -55,7 +55,7 @@ def words(column: Column | str) -> Column:
 
 
 def terms(column: Column | str) -> Column:
-    """Lower-case terms of at least two characters."""
+    """Lower-case terms of at least two letters, digits or underscores, of any script."""
     return F.regexp_extract_all(F.lower(_col(column)), F.lit(TERM), F.lit(0))
 
 

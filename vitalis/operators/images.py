@@ -42,7 +42,9 @@ def _shares(old: int, new: int) -> np.ndarray:
 def resize(pixels: np.ndarray, height: int, width: int) -> np.ndarray:
     """Area mean onto a new grid; the aspect is not kept."""
     rows, columns = _shares(pixels.shape[0], height), _shares(pixels.shape[1], width)
-    return np.einsum("ah,hwc,bw->abc", rows, pixels, columns)
+    h, w, c = pixels.shape
+    lines = (rows @ pixels.reshape(h, w * c)).reshape(height, w, c)  # two matrix products, one for each axis
+    return np.matmul(columns, lines)
 
 
 def rotate(pixels: np.ndarray, degrees: float) -> np.ndarray:

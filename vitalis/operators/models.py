@@ -99,8 +99,8 @@ def fit_gbt(
 
 
 def linear_svc(c: float, n: int, **params) -> LinearSVC:
-    """Linear-kernel support vector estimator with penalty ``c`` on ``n`` rows."""
-    return LinearSVC(regParam=1.0 / (c * n), **params)
+    """Linear-kernel support vector estimator with penalty ``c`` on ``n`` rows, on the columns as they are."""
+    return LinearSVC(regParam=1.0 / (c * n), **{"standardization": False, **params})
 
 
 def fit_linear_svc(df: DataFrame, c: float = 1.0, **params) -> Model:
@@ -156,7 +156,7 @@ def fit_forest(df: DataFrame, trees: int = 100, depth: int = 4, balanced: bool =
     forest = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed)
     if not balanced:
         return forest.fit(df)
-    return forest.setWeightCol("_weight").fit(balanced_weights(df, "label", "_weight"))
+    return forest.setWeightCol("_weight").fit(balanced_weights(df.filter("label IS NOT NULL"), "label", "_weight"))
 
 
 def fit_mlp(df: DataFrame, layers: Sequence[int], iterations: int = 100, seed: int = 42) -> Model:

@@ -235,10 +235,13 @@ def scatter_sample(df: DataFrame, columns: Sequence[str], hue: str, n: int, key:
 
 
 def hist2d(df: DataFrame, x: str, y: str, hue: str, bins: int) -> DataFrame:
-    """Counts of all points over a bins x bins frame, per hue."""
+    """Counts of all points with both coordinates over a bins x bins frame, per hue."""
+    df = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
     lo_x, hi_x, lo_y, hi_y = df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
 
-    def cell(c: str, lo: float, hi: float) -> Column:
+    def cell(c: str, lo: float | None, hi: float | None) -> Column:
+        if lo is None:  # no point at all
+            return F.lit(None).cast("int")
         width = (hi - lo) / bins or 1.0
         return F.least(F.floor((F.col(c) - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)).cast("int")
 

@@ -75,17 +75,16 @@ def logo_folds(df: DataFrame, group: str) -> DataFrame:
     return sizes.withColumn("n_train", total - F.col("n_test"))
 
 
-def logo_frames(df: DataFrame, group: str, max_groups: int = 1000) -> Iterator[tuple[object, DataFrame, DataFrame]]:
-    """(held-out group, train rows, test rows) for each group."""
-    rows = df.select(group).distinct().orderBy(group).limit(max_groups + 1).collect()
-    if len(rows) > max_groups:
-        raise ValueError(f"more than {max_groups} groups to leave out one by one")
-    for (held_out,) in rows:
+def logo_frames(df: DataFrame, group: str) -> Iterator[tuple[object, DataFrame, DataFrame]]:
+    """(held-out group, train rows, test rows) for each group; the names stream to the driver."""
+    for (held_out,) in df.select(group).filter(F.col(group).isNotNull()).distinct().orderBy(group).toLocalIterator():
         yield held_out, df.filter(F.col(group) != F.lit(held_out)), df.filter(F.col(group) == F.lit(held_out))
 
 
 def balanced_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:
-    """Weight N / (K * n_c) per row, so that all classes weigh the same."""
-    counts = travelling(df.groupBy(label).agg(F.count(F.lit(1)).alias("_n_c")))
+    """Weight N / (K * n_c) per row, so that all classes weigh the same; null for a null label."""
+    known = df.filter(F.col(label).isNotNull())
+    counts = travelling(known.groupBy(F.col(label).alias("_label")).agg(F.count(F.lit(1)).alias("_n_c")))
     totals = counts.agg(F.struct(F.sum("_n_c").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
-    return df.join(counts, label).withColumn(out, totals["n"] / (totals["k"] * F.col("_n_c"))).drop("_n_c")
+    joined = df.join(counts, F.col(label) == F.col("_label"), "left")
+    return joined.withColumn(out, totals["n"] / (totals["k"] * F.col("_n_c"))).drop("_n_c", "_label")

@@ -542,6 +542,24 @@ def hist2d(spark, d):
     return profile.hist2d(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", "l_returnflag", 10)
 
 
+@query(
+    "hist2d_nulls",
+    """
+    with p as (select l_returnflag, nullif(l_quantity, 10) as x, nullif(l_extendedprice, 10 * l_quantity) as y from lineitem),
+    k as (select * from p where x is not null and y is not null)
+    select l_returnflag, cast(least(floor((x - lx) / ((hx - lx) / 10)), 9) as integer) as bin_x,
+           cast(least(floor((y - ly) / ((hy - ly) / 10)), 9) as integer) as bin_y, count(*) as n
+    from k, (select min(x) lx, max(x) hx, min(y) ly, max(y) hy from k) group by 1, 2, 3
+    """,
+)
+def hist2d_nulls(spark, d):
+    """A point without one of its coordinates is in no bin."""
+    points = table(spark, d, "lineitem").select(
+        "l_returnflag", F.expr("nullif(l_quantity, 10)").alias("x"), F.expr("nullif(l_extendedprice, 10 * l_quantity)").alias("y")
+    )
+    return profile.hist2d(points, "x", "y", "l_returnflag", 10)
+
+
 @query(
     "arg_best",
     """

@@ -228,6 +228,41 @@ def classification_report(spark, d):
     return rounded(report, 6, "precision", "recall", "f1")
 
 
+_SUBSET_SQL = f"""
+with c as (select label, precision, recall, coalesce(2 * precision * recall / nullif(precision + recall, 0), 0) as f1, support, hit, predicted
+  from (select label, hit, actual as support, predicted, coalesce(hit / nullif(predicted, 0), 0) as precision, coalesce(hit / nullif(actual, 0), 0) as recall
+    from (select label, count(*) filter (truth = label and pred = label) as hit, count(*) filter (truth = label) as actual,
+            count(*) filter (truth is not null and pred = label) as predicted
+          from (select truth, nullif(pred, 'N') as pred from ({PREDICTIONS_SQL})), (select unnest(['A', 'R']) as label) group by label))),
+m as (select sum(hit) / sum(predicted) as p, sum(hit) / sum(support) as r, cast(sum(support) as bigint) as n from c)
+select label, round(precision, 6) as precision, round(recall, 6) as recall, round(f1, 6) as f1, support from c
+union all select 'micro avg', round(p, 6), round(r, 6), round(2 * p * r / (p + r), 6), n from m
+union all select 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), cast(sum(support) as bigint) from c
+union all select 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
+                 round(sum(f1 * support) / sum(support), 6), cast(sum(support) as bigint) from c
+"""
+
+
+@query("classification_report_subset", _SUBSET_SQL)
+def classification_report_subset(spark, d):
+    """Two of three classes listed, and no prediction where the third was predicted."""
+    rows = predictions(spark, d).withColumn("pred", F.expr("nullif(pred, 'N')"))
+    report = evaluate.classification_report(rows, "truth", "pred", ["A", "R"])
+    return rounded(report, 6, "precision", "recall", "f1")
+
+
+@query(
+    "accuracy_missing",
+    f"""
+    select round(avg(cast(coalesce(truth = pred, false) as double)), 6) as accuracy
+    from (select nullif(truth, 'A') as truth, nullif(pred, 'N') as pred from ({PREDICTIONS_SQL})) where truth is not null
+    """,
+)
+def accuracy_missing(spark, d):
+    rows = predictions(spark, d).withColumns({"truth": F.expr("nullif(truth, 'A')"), "pred": F.expr("nullif(pred, 'N')")})
+    return rounded(evaluate.accuracy(rows, "truth", "pred"), 6, "accuracy")
+
+
 @query(
     "regression_metrics",
     """

@@ -194,3 +194,23 @@ def stream_index_documents(spark, d):
     return streamed.join(batch, "doc_id", "full").select(
         "doc_id", F.col("digest").eqNullSafe(F.col("batch_digest")).alias("same_as_batch")
     )
+
+
+@query("stream_index_search", "select concat_ws('-', conv_id, turn) as query_id, true as same_chunks from conversations where role = 'user'")
+def stream_index_search(spark, d):
+    """What a search finds in the streamed index is what it finds in one built by a batch run."""
+    from vitalis.operators.retrieval import chunk, embed, search_chunks
+
+    docs = table(spark, d, "documents")
+    path = scratch_path(spark, "index")
+    index.index_stream(index.read_arrivals(spark, d, docs.schema, "documents.parquet"), path, scratch_path(spark, "index-state"))
+    questions = table(spark, d, "conversations").filter("role = 'user'")
+    questions = questions.select(F.concat_ws("-", "conv_id", "turn").alias("query_id"), "text")
+
+    def found(chunks, name):
+        hits = search_chunks(questions, chunks, 4)
+        return hits.groupBy("query_id").agg(F.array_sort(F.collect_list(F.struct("rank", "id"))).alias(name))
+
+    batch = embed(chunk(docs, "doc_id", "text", 1000, 200), "text")
+    both = found(index.read_index(spark, path), "streamed").join(found(batch, "batch"), "query_id", "full")
+    return both.select("query_id", F.col("streamed").eqNullSafe(F.col("batch")).alias("same_chunks"))

@@ -10,13 +10,13 @@ from vitalis.operators import retrieval, textprep
 from vitalis.plans.core_queries import rounded
 from vitalis.plans.frames import LABELLED_SQL, LINE_KEY_SQL, keyed_lines, labelled_documents
 from vitalis.plans.registry import query, table
-from vitalis.session import spread
+from vitalis.session import durable, spread
 
 # fixed values: the stop words of the registered TF-IDF queries
 STOP_WORDS = ("the", "and", "of", "to", "in", "is", "it", "that", "for", "on", "are", "was", "with", "as", "at", "by")
 # fixed values: nouns whose base form no ending rule gives
 NOUN_EXCEPTIONS = {"children": "child", "feet": "foot", "mice": "mouse", "teeth": "tooth", "des": "de", "les": "le"}
-TEMPLATE = "Answer the question in plain words.\nQuestion: {user_query}\nPassages: {document_context}\nReply:"
+TEMPLATE = "Answer the question in plain words.\nQuestion: {question}\nPassages: {passages}\nReply:"
 
 
 def _docs(spark, d):
@@ -88,7 +88,7 @@ def edge_sentences(spark, d):
     )
 
 
-_TERMS_SQL = "regexp_extract_all(lower({c}), '[a-z0-9_]{{2,}}')"
+_TERMS_SQL = r"regexp_extract_all(lower({c}), '[\p{{L}}\p{{N}}_]{{2,}}')"
 
 
 @query(
@@ -110,7 +110,7 @@ def lemmatize(spark, d):
 
 
 def _lexicon(spark, d):
-    grams = tx.ngrams(tx.terms("text"), (2, 3))
+    grams = tx.ngrams(tx.terms("text"), (1, 2, 3))
     return table(spark, d, "benchmark").select(F.explode(grams).alias("term")).distinct()
 
 
@@ -118,10 +118,12 @@ def _lexicon(spark, d):
     "entity_filter",
     f"""
     with b as (select {_TERMS_SQL.format(c='text')} as t from benchmark),
-    lex as (select distinct t[i] || ' ' || t[i + 1] as term from (select t, unnest(range(1, len(t))) as i from b)
+    lex as (select distinct unnest(t) as term from b
+            union select distinct t[i] || ' ' || t[i + 1] from (select t, unnest(range(1, len(t))) as i from b)
             union select distinct t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] from (select t, unnest(range(1, len(t) - 1)) as i from b)),
     k as (select doc_id, {_TERMS_SQL.format(c='text')} as t from documents),
-    g as (select doc_id, i - 1 as p, 2 as n, t[i] || ' ' || t[i + 1] as term from (select doc_id, t, unnest(range(1, len(t))) as i from k)
+    g as (select doc_id, i - 1 as p, 1 as n, t[i] as term from (select doc_id, t, unnest(range(1, len(t) + 1)) as i from k)
+          union all select doc_id, i - 1, 2, t[i] || ' ' || t[i + 1] from (select doc_id, t, unnest(range(1, len(t))) as i from k)
           union all select doc_id, i - 1, 3, t[i] || ' ' || t[i + 1] || ' ' || t[i + 2] from (select doc_id, t, unnest(range(1, len(t) - 1)) as i from k)),
     h as (select doc_id, list({{'p': p, 'e': p + n, 's': term}} order by p, n desc) as hits from g semi join lex using (term) group by doc_id),
     r as (select doc_id, list_reduce(list_prepend({{'p': 0::bigint, 'e': 0::bigint, 's': ''}}, hits), lambda acc, x:
@@ -130,7 +132,7 @@ def _lexicon(spark, d):
     """,
 )
 def entity_filter(spark, d):
-    return textprep.entity_mentions(table(spark, d, "documents"), "doc_id", "text", _lexicon(spark, d), lengths=(2, 3))
+    return textprep.entity_mentions(table(spark, d, "documents"), "doc_id", "text", _lexicon(spark, d))
 
 
 @query(
@@ -177,15 +179,14 @@ def clean_and_lemmatize(spark, d):
 @query(
     "render_prompt",
     """
-    select conv_id, turn, 'Describe in at most 50 words what a ' || role || ' should know about: ' || text as prompt
+    select conv_id, turn, 'Turn ' || turn || ' of ' || conv_id || ', ' || role || ':' || chr(10) || text || chr(10) || 'Topic:' as prompt
     from conversations
     """,
 )
 def render_prompt(spark, d):
-    template = "Describe in at most {words} words what a {kind} should know about: {symptom}"
-    return table(spark, d, "conversations").select(
-        "conv_id", "turn", tx.render_prompt(template, {"kind": "role", "symptom": "text", "words": F.lit(50)}).alias("prompt")
-    )
+    template = "Turn {number} of {conversation}, {speaker}:\n{said}\nTopic:"
+    fields = {"number": F.col("turn").cast("string"), "conversation": F.col("conv_id").cast("string"), "speaker": "role", "said": "text"}
+    return table(spark, d, "conversations").select("conv_id", "turn", tx.render_prompt(template, fields).alias("prompt"))
 
 
 @query(
@@ -253,7 +254,7 @@ def array_reshape(spark, d):
     return rows.select("vec_id", "row_no", (F.round(total, 5) + F.lit(0.0)).alias("total"), "n_bright")
 
 
-FEATURES = 300
+FEATURES = 1000
 
 
 def _tfidf_sql(max_df: float = 0.75) -> str:
@@ -487,3 +488,29 @@ def embed_text(spark, d):
         .groupBy("text_digest")
         .agg((F.min("v") == F.max("v")).alias("same_vector"), F.bool_and("fits").alias("unit_norm"))
     )
+
+
+@query(
+    "rag_chunk_context",
+    """
+    select concat_ws('-', conv_id, turn) as query_id, 4 as n_hits, true as from_documents, true as best_first
+    from conversations where role = 'user'
+    """,
+)
+def rag_chunk_context(spark, d):
+    """Documents cut into chunks of 1,000, embedded, and searched: four chunks make each context.
+
+    Every chunk of a context must be a part of its document, and none may score above the one before.
+    """
+    questions = _questions(spark, d)
+    index = durable(retrieval.embed(retrieval.chunk(table(spark, d, "documents"), "doc_id", "text", 1000, 200), "text"))
+    hits = durable(retrieval.search_chunks(questions, index, 4))
+    parts = index.select(retrieval.chunk_id().alias("id"), "doc_id", "start_index", F.col("text").alias("part"))
+    whole = hits.join(parts, "id").join(_docs(spark, d), "doc_id")
+    same = F.substr("text", F.col("start_index") + 1, F.length("part")) == F.col("part")
+    scores = F.transform(F.array_sort(F.collect_list(F.struct("rank", "score"))), lambda h: h["score"])
+    return whole.groupBy("query_id").agg(
+        F.count(F.lit(1)).cast("int").alias("n_hits"),
+        F.bool_and(same).alias("from_documents"),
+        (F.reverse(F.array_sort(scores)) == scores).alias("best_first"),
+    )

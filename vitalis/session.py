@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_LOCAL_SCRATCH: str | None = None
+_LOCAL_SCRATCH: tempfile.TemporaryDirectory | None = None
+_SHIPPED: set[str] = set()  # applications whose workers have the package
 
 
 def build_session(master: str = "local[8]", app: str = "vitalis", **conf: str) -> SparkSession:
@@ -36,15 +41,31 @@ def build_session(master: str = "local[8]", app: str = "vitalis", **conf: str) -
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only where the cluster names none (tests on one machine) a temporary folder is made.
+    Where one machine does all the work a temporary folder serves, which goes with the process. On
+    a cluster that names none this is an error: executors don't see each other's folders.
     """
     global _LOCAL_SCRATCH
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if named:
         return named.rstrip("/")
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[[^\]]*\])?", master):
+        raise ValueError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
     if _LOCAL_SCRATCH is None:
-        _LOCAL_SCRATCH = tempfile.mkdtemp(prefix="vitalis-")
-    return _LOCAL_SCRATCH
+        _LOCAL_SCRATCH = tempfile.TemporaryDirectory(prefix="vitalis-", ignore_cleanup_errors=True)
+    return _LOCAL_SCRATCH.name
+
+
+def ship(spark: SparkSession, root: Path) -> None:
+    """Give the package below ``root`` to the Python workers, unless they find it by themselves."""
+    if str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep) or spark.sparkContext.applicationId in _SHIPPED:
+        return
+    archive = Path(tempfile.mkdtemp(prefix="vitalis-code-")) / "vitalis_code.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in [*(root / "vitalis").rglob("*.py"), *root.glob("corpus_pipeline.py")]:
+            out.write(path, path.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(spark.sparkContext.applicationId)
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -62,9 +62,18 @@ def read_entity_files(
 
 
 def read_images(spark: SparkSession, folder: str) -> DataFrame:
-    """Decoded images below a folder with the name of the folder each lies in as label."""
-    images = spark.read.format("image").option("recursiveFileLookup", "true").option("dropInvalid", "true").load(folder)
-    return images.select("image", F.col("image.origin").alias("origin"), parent_name("image.origin").alias("label"))
+    """Decoded images below a folder with the name of the folder each lies in as label.
+
+    A file that can't be decoded keeps its row, with a null image and the reason in ``error``.
+    """
+    images = spark.read.format("image").option("recursiveFileLookup", "true").load(folder)
+    broken = F.col("image.height") < 0
+    return images.select(
+        F.when(~broken, F.col("image")).alias("image"),
+        F.col("image.origin").alias("origin"),
+        parent_name("image.origin").alias("label"),
+        F.when(broken, "unreadable").alias("error"),
+    )
 
 
 def normalized_path(path: Column | str) -> Column:
