@@ -8,20 +8,27 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 MAX_DIM = 4096
+PILOT_ROWS = 100  # rows whose mean is taken off before products are summed; any value is right
 
 
-def _gram(df: DataFrame, vector: str, dim: int) -> tuple[int, np.ndarray, np.ndarray]:
-    """Row count, column sums and X'X: each task adds up its rows, then the cells are summed."""
+def _gram(df: DataFrame, vector: str, dim: int, pilot: np.ndarray) -> tuple[int, np.ndarray, np.ndarray]:
+    """Row count, column sums and X'X of the rows less ``pilot``: each task adds up its rows.
+
+    A pilot near the mean keeps the sums small, so that means far from zero don't cancel the variance.
+    """
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # a leading 1 puts count and sums into the same matrix
         total = np.zeros((dim + 1, dim + 1))
         for batch in batches:
-            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim)
+            if not all(n in (None, dim) for n in pc.unique(pc.list_value_length(batch.column(0))).to_pylist()):
+                raise ValueError(f"all vectors must have {dim} components")
+            x = batch.column(0).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim) - pilot
             x = np.hstack([np.ones((len(x), 1)), x])
             total += x.T @ x
         i, j = np.triu_indices(dim + 1)
@@ -54,9 +61,14 @@ class Pca:
         dim = df.select(F.max(F.size(vector))).first()[0]
         if dim > MAX_DIM:
             raise ValueError(f"{dim} columns exceed {MAX_DIM}")
-        n, sums, gram = _gram(df, vector, dim)
-        centre = sums / n if center else np.zeros(dim)
-        spread = (gram - n * np.outer(centre, centre)) / ((n - 1) if center else n)
+        pilot = np.zeros(dim)
+        if center:
+            some = df.select(vector).filter(F.col(vector).isNotNull()).limit(PILOT_ROWS).toArrow()[vector]
+            pilot = some.combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, dim).mean(axis=0)
+        n, sums, gram = _gram(df, vector, dim, pilot)
+        off = sums / n if center else np.zeros(dim)
+        centre = pilot + off
+        spread = (gram - n * np.outer(off, off)) / ((n - 1) if center else n)
         values, vectors = np.linalg.eigh(spread)
         values, vectors = np.maximum(values[::-1], 0.0), vectors[:, ::-1].T
         total = float(values.sum())

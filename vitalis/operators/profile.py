@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from vitalis.functions.stats import pearson
 from vitalis.operators.project import numeric_columns
 from vitalis.plans import ranks
+from vitalis.session import travelling
 
 
 def _is_float(df: DataFrame, column: str) -> bool:
@@ -182,8 +183,8 @@ def box_stats(df: DataFrame, group: Sequence[str], y: str, weight: Column | None
         boxes = ranks.exact_quantiles(rows, group, [y], probs, names).drop("metric")
     else:
         boxes = ranks.weighted_quantiles(rows, group, y, weight, probs, names)
-    # values are collapsed to their counts first: the fences then meet far fewer rows
-    counts = rows.groupBy(*group, F.col(y).cast("double").alias("_y")).agg(F.count(F.lit(1)).alias("_c"))
+    # one row for each group travels to the rows, which are added up where they are
+    values = rows.select(*group, F.col(y).cast("double").alias("_y"))
     right = boxes
     cond = F.lit(True)
     for g in group:
@@ -192,14 +193,14 @@ def box_stats(df: DataFrame, group: Sequence[str], y: str, weight: Column | None
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("_y").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        counts.join(right, cond)
+        values.join(travelling(right), cond)
         .groupBy(*group)
         .agg(
-            F.sum("_c").alias("n"),
+            F.count(F.lit(1)).alias("n"),
             *[F.max(n).alias(n) for n in names],
             F.min(F.when(inside, F.col("_y"))).alias("whisker_low"),
             F.max(F.when(inside, F.col("_y"))).alias("whisker_high"),
-            F.coalesce(F.sum(F.when(~inside, F.col("_c"))), F.lit(0)).alias("n_outliers"),
+            F.count_if(~inside).alias("n_outliers"),
         )
     )
 

@@ -35,27 +35,41 @@ def split(df: DataFrame, key: Sequence[str], fractions: Mapping[str, float], see
 def split_stratified(
     df: DataFrame, key: Sequence[str], label: str, test_fraction: float, seed: str, out: str = "split"
 ) -> DataFrame:
-    """Exactly ``round(fraction * n)`` test rows within each class."""
-    ranked = ranks.hash_rank(df, [label], key, seed, "_rank")
+    """Exactly ``round(fraction * n)`` test rows within each class (rows of equal key stay together).
+
+    Only the digest at each class's boundary is looked for; the rows themselves don't move.
+    """
     size = F.floor(F.lit(float(test_fraction)) * F.col("group_total") + 0.5)
-    return ranked.withColumn(out, F.when(F.col("_rank") <= size, "test").otherwise("train")).drop("_rank", "group_total")
+    edges = ranks.hash_edges(df, [label], key, seed, {"_edge": size}).withColumnRenamed(label, "_class")
+    joined = df.join(travelling(edges), F.col(label).eqNullSafe(F.col("_class")), "left")
+    in_test = F.coalesce(ranks.hash_key(key, seed) <= F.col("_edge"), F.lit(False))
+    return joined.withColumn(out, F.when(in_test, "test").otherwise("train")).drop("_class", "_edge")
 
 
 def split_counts(
     df: DataFrame, key: Sequence[str], sizes: Mapping[str, int | float | None], seed: str, out: str = "split"
 ) -> DataFrame:
-    """Shuffle by hash and cut by sizes: a fraction of all rows, a row count, or ``None`` for the rest."""
-    ranked = ranks.hash_rank(df, [], key, seed, "_rank")
-    edge, name = F.lit(0).cast("bigint"), None
-    for part, size in sizes.items():
+    """Cut the md5 order by sizes: a fraction of all rows, a row count, or ``None`` for the rest.
+
+    Only the digests at the boundaries are looked for; the rows themselves don't move.
+    """
+    n = F.col("group_total")
+    edge, edges, rest = F.lit(0).cast("bigint"), {}, None
+    for i, (part, size) in enumerate(sizes.items()):
         if size is None:
-            name = name.otherwise(part) if name is not None else F.lit(part)
+            rest = part
             break
-        step = F.floor(F.lit(size) * F.col("group_total")) if isinstance(size, float) else F.lit(size)
-        edge = edge + step
-        hit = F.col("_rank") <= edge
+        edge = F.least(edge + (F.floor(F.lit(size) * n) if isinstance(size, float) else F.lit(size)), n)
+        edges[f"_edge{i}"] = (part, edge)
+    if not edges:
+        return df.withColumn(out, F.lit(rest))
+    found = ranks.hash_edges(df, [], key, seed, {c: e for c, (_, e) in edges.items()})
+    digest, name = ranks.hash_key(key, seed), None
+    for c, (part, _) in edges.items():
+        hit = F.coalesce(digest <= F.col(c), F.lit(False))
         name = F.when(hit, part) if name is None else name.when(hit, part)
-    return ranked.withColumn(out, name).drop("_rank", "group_total")
+    joined = df.join(F.broadcast(found), F.lit(True))  # one row
+    return joined.withColumn(out, name.otherwise(F.lit(rest))).drop(*edges)
 
 
 def kfold(df: DataFrame, key: Sequence[str], label: str, k: int, seed: str, out: str = "fold") -> DataFrame:

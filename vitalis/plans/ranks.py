@@ -8,6 +8,7 @@ table is therefore spread over as many tasks as there are ranges.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections.abc import Callable, Mapping, Sequence
 
@@ -79,6 +80,36 @@ def hash_rank(
     )
 
 
+def hash_edges(
+    df: DataFrame, group: Sequence[str], key: Sequence[str], seed: str, edges: Mapping[str, Column]
+) -> DataFrame:
+    """Per group and edge the md5 of its row of that rank in md5 order, null for rank 0 or none.
+
+    ``edges`` are ranks as expressions over ``group_total``. Counts by prefix tell in which of
+    65,536 ranges a rank lies; only that range's rows are ranked, so the table itself never moves.
+    """
+    names = list(group)
+    group = [f"_g{i}" for i in range(len(names))]
+    cut = df.select(*(F.col(n).alias(g) for n, g in zip(names, group)), hash_key(key, seed).alias("_h"))
+    cut = cut.withColumn("_r", F.substring("_h", 1, 4))
+    counts = cut.groupBy(*group, "_r").agg(F.count(F.lit(1)).alias("_n"))
+    whole = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
+    counts = counts.withColumn("group_total", F.sum("_n").over(whole))
+    earlier = F.coalesce(F.sum("_n").over(whole.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    counts = counts.withColumn("_before", earlier)
+    wanted = F.explode(F.array(*(F.struct(F.lit(n).alias("edge"), e.cast("bigint").alias("rank")) for n, e in edges.items())))
+    places = counts.select(*group, "_r", "_n", "_before", wanted.alias("_e")).select("*", "_e.edge", "_e.rank")
+    # one row for each group and edge
+    places = travelling(places.filter((F.col("rank") > F.col("_before")) & (F.col("rank") <= F.col("_before") + F.col("_n"))))
+    own = [F.col(f"_p.{c}").eqNullSafe(F.col(f"_c.{c}")) for c in [*group, "_r"]]
+    near = cut.alias("_c").join(places.alias("_p"), functools.reduce(lambda a, b: a & b, own))
+    near = near.select(*(F.col(f"_c.{c}").alias(c) for c in [*group, "_r"]), "_h", "edge", (F.col("rank") - F.col("_before")).alias("_want"))
+    place = F.row_number().over(Window.partitionBy(*group, "_r", "edge").orderBy("_h"))
+    found = near.withColumn("_place", place).filter("_place = _want")
+    at = [F.max(F.when(F.col("edge") == n, F.col("_h"))).alias(n) for n in edges]
+    return (found.groupBy(*group).agg(*at) if group else found.agg(*at)).withColumnsRenamed(dict(zip(group, names)))
+
+
 def as_number(df: DataFrame, column: str) -> Column:
     """A double in the same order as a numeric, date or timestamp column."""
     c, kind = F.col(column), df.schema[column].dataType
