@@ -105,3 +105,36 @@ def test_more_groups_than_a_thousand(spark):
     df = spark.range(1100).select(F.col("id").alias("g"))
     folds = splits.logo_frames(df, "g")
     assert next(folds)[0] == 0 and sum(1 for _ in folds) == 1099
+
+
+def test_lowpass_keeps_slow_and_removes_fast_waves(spark):
+    from vitalis.operators import signal
+
+    t = np.arange(2560) / 256.0
+    slow, fast = np.sin(2 * np.pi * 3 * t), np.sin(2 * np.pi * 60 * t)
+    df = spark.createDataFrame([((slow + fast).tolist(),)], "x array<double>")
+    got = np.array(df.select(signal.lowpass("x", 256.0)).first()[0])[400:-400]
+    assert np.abs(got - slow[400:-400]).max() < 0.1
+
+
+def test_absolute_loss_ignores_outliers(spark):
+    rng = np.random.default_rng(0)
+    x = rng.random(400) * 10
+    y = 2 * x + 1 + rng.normal(0, 0.05, 400)
+    y[:60] += 200
+    df = models.assemble(spark.createDataFrame(list(zip(x.tolist(), y.tolist())), "x double, label double"), ["x"])
+    lad, ols = models.fit_lad(df), models.fit_linear(df)
+    assert abs(lad.coefficients[0] - 2) < 0.05 and abs(lad.intercept - 1) < 0.3
+    assert models.mean_absolute_error(lad, df) < 0.9 * models.mean_absolute_error(ols, df)
+
+
+def test_components_of_rows_far_from_zero(spark):
+    from vitalis.operators.decompose import Pca
+
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(500, 3)) * [3.0, 1.0, 0.5]
+    near, far = (Pca.fit(spark.createDataFrame([(r.tolist(),) for r in x + shift], "v array<double>"), "v") for shift in (0.0, 1e8))
+    assert np.allclose(near.variances, far.variances, rtol=1e-5)
+    mixed = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0, 3.0, 4.0],)], "v array<double>")
+    with pytest.raises(Exception, match="components|reshape"):
+        Pca.fit(mixed, "v")

@@ -242,6 +242,42 @@ def pca_variance(spark, d):
     return rounded(made, 5, "total_variance")
 
 
+@query(
+    "pca_spectrum",
+    """
+    with x as (select vec_id, unnest(cast(embedding as double[])) as v, generate_subscripts(embedding, 1) as p from embeddings),
+    c as (select covar_samp(a.v, b.v) as c, a.p = b.p as own from x a join x b using (vec_id) group by a.p, b.p)
+    select round(sum(case when own then c end), 6) as variances, round(sum(c * c), 6) as squares from c
+    """,
+)
+def pca_spectrum(spark, d):
+    """All variances: their sum is the covariance's trace, their squares' sum that of its cells' squares."""
+    pca = Pca.fit(table(spark, d, "embeddings"), "embedding")
+    made = spark.createDataFrame([(float(pca.variances.sum()), float((pca.variances**2).sum()))], "variances double, squares double")
+    return rounded(made, 6, "variances", "squares")
+
+
+@query(
+    "pca_projection",
+    "select cast(i as integer) as component, true as centred, true as own_variance, true as uncorrelated from range(1, 7) t(i) where (select count(*) from embeddings) > 0",
+)
+def pca_projection(spark, d):
+    """Projected components have mean 0, the fitted variance, and no correlation with each other."""
+    rows = table(spark, d, "embeddings")
+    pca = Pca.fit(rows, "embedding", k=6)
+    names = [f"pc{i}" for i in range(1, 7)]
+    wide = components_to_columns(pca.transform(rows, "embedding").drop("embedding"), "components", 6)
+    row = wide.agg(
+        *[F.avg(n).alias(f"m_{n}") for n in names], *[F.covar_samp(a, b).alias(f"c_{a}_{b}") for a in names for b in names]
+    ).first()
+    lines = [
+        (i + 1, abs(row[f"m_{a}"]) < 1e-9, abs(row[f"c_{a}_{a}"] - pca.variances[i]) < 1e-9,
+         all(abs(row[f"c_{a}_{b}"]) < 1e-9 for b in names if b != a))
+        for i, a in enumerate(names)
+    ]
+    return spark.createDataFrame([(i, *map(bool, x)) for i, *x in lines], "component int, centred boolean, own_variance boolean, uncorrelated boolean")
+
+
 @query(
     "pca_uncentered",
     """
