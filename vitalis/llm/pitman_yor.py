@@ -153,12 +153,11 @@ def _count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     yield from _table(out, _ANSWER).to_batches()
 
 
-def uniform(keys: np.ndarray, *salts: int) -> np.ndarray:
-    """A pseudo-random number in [0, 1) of each key."""
-    h = keys
-    for s in salts:
-        h = mix(h + np.uint64((s + 1) * int(_ODD) % 2**64))
-    return (h >> np.uint64(11)).astype(np.float64) * 2.0**-53
+def _salt(*numbers: int) -> np.uint64:
+    h = np.array([7], dtype=np.uint64)
+    for n in numbers:
+        h = mix(h + np.uint64((n + 1) * int(_ODD) % 2**64))
+    return h[0]
 
 
 def seat(counts: np.ndarray, fresh: np.ndarray, discount: float, keys: np.ndarray, sweep: int, samples: int = SAMPLES) -> np.ndarray:
@@ -166,24 +165,27 @@ def seat(counts: np.ndarray, fresh: np.ndarray, discount: float, keys: np.ndarra
 
     Customers come one by one; the next opens a table with weight ``fresh`` and joins one of t
     tables with weight seated - discount * t. From the 16th on they come in blocks of an eighth of
-    those seated, with the weights of the block's start.
+    those seated, with the weights of the block's middle. All dishes go through the same steps, so
+    those that still have customers are a prefix once sorted.
     """
-    mean = np.zeros(len(counts))
-    mean[counts > 0] = 1.0
+    mean = (counts > 0).astype(float)
     several = np.flatnonzero(counts > 1)
+    order = several[np.argsort(-counts[several], kind="stable")]
+    if not len(order):
+        return mean
+    c, a, k, total = counts[order], fresh[order], keys[order], np.zeros(len(order))
+    falling = -c
     for s in range(samples):
-        left, c, a, k = several, counts[several], fresh[several], keys[several]
-        t, seated, step = np.ones(len(several)), np.ones(len(several)), 0
-        extra = np.zeros(len(counts))
-        while len(left):
-            block = np.minimum(np.where(seated < 16, 1, np.floor(seated / 8)), c - seated)
-            share = a / (a + seated - discount * t)
-            t = t + np.minimum(np.floor(block * share + uniform(k, sweep, s, step)), block)
-            seated, step = seated + block, step + 1
-            done = seated >= c
-            extra[left[done]] = t[done] - 1
-            left, c, a, k, t, seated = (x[~done] for x in (left, c, a, k, t, seated))
-        mean += extra / samples
+        h, t, seated, step = mix(k ^ _salt(sweep, s)), np.ones(len(c)), 1, 0
+        while n := int(np.searchsorted(falling, -seated)):
+            size = 1 if seated < 16 else seated // 8
+            block = np.minimum(size, c[:n] - seated)
+            share = a[:n] / (a[:n] + seated + (block - 1) / 2 - discount * t[:n])
+            chance = (((h[:n] ^ _salt(s, step)) * _ODD) >> np.uint64(11)) * 2.0**-53
+            t[:n] += np.minimum(np.floor(block * share + chance), block)
+            seated, step = seated + size, step + 1
+        total += t
+    mean[order] = total / samples
     return mean
 
 
@@ -236,12 +238,13 @@ class _State:
         root = (np.maximum(told["second"] - m.root_discount * told["third"], 0) + fresh) / (ROOT_STRENGTH + customers)
         return told["first"], root
 
-    def tables(self, r: int) -> np.ndarray:
-        """Mean tables of each pair when seated by the totals after round r."""
+    def tables(self, r: int, own: np.ndarray | None = None) -> np.ndarray:
+        """Mean tables of each pair (or of the ``own`` ones) when seated by the totals after round r."""
         open_, root = self.totals(r)
         c, m = self.chunk, self.model
         fresh = (STRENGTH + m.discount * open_[c.context]) * root[c.word]
-        return seat(self.pair_total, fresh, m.discount, c.pairs, r)
+        counts = self.pair_total if own is None else np.where(own, self.pair_total, 0)
+        return seat(counts, fresh, m.discount, c.pairs, r)
 
 
 def _sweep(parts: int, model: _Model, r: int):
@@ -250,7 +253,7 @@ def _sweep(parts: int, model: _Model, r: int):
         for row in chunks.to_pylist():
             state = _State(_Chunk(row, parts), told, model, r)
             c = state.chunk
-            mean = np.where(state.chief, state.tables(r), 0.0)  # of each pair once in all chunks
+            mean = state.tables(r, state.chief)  # of each pair once in all chunks
             by_context = np.bincount(c.context, weights=mean, minlength=len(c.words))
             by_word = np.bincount(c.word, weights=mean, minlength=len(c.words))
             out += c.ask(TABLES + r, c.words, by_context, by_word)
