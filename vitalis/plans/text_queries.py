@@ -280,8 +280,15 @@ def _weights_sql(name: str, grams: str, key: str) -> str:
       (select {key}, term, count(*) * max(idf) as x from {grams} join v using (term) group by {key}, term))"""
 
 
+_FITTED: dict[tuple[str, str], textprep.TfIdf] = {}
+
+
 def _model(spark, d):
-    return textprep.TfIdf.fit(table(spark, d, "documents"), "text", (1, 3), STOP_WORDS, 0.75, FEATURES)
+    """The vocabulary of a folder's documents, fitted once in an application and used by six queries."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _FITTED:
+        _FITTED[key] = textprep.TfIdf.fit(table(spark, d, "documents"), "text", (1, 3), STOP_WORDS, 0.75, FEATURES)
+    return _FITTED[key]
 
 
 @query(
@@ -289,6 +296,8 @@ def _model(spark, d):
     f"with {_tfidf_sql()} select term, cast(position as integer) as position, texts as n_texts, round(idf, 6) as idf from v",
 )
 def tfidf_vocab(spark, d):
+    """This one always fits anew."""
+    _FITTED.pop((spark.sparkContext.applicationId, d), None)
     return rounded(_model(spark, d).vocabulary_frame(table(spark, d, "documents")), 6, "idf")
 
 
