@@ -35,9 +35,9 @@ CHUNK = "dest int, ids binary, named binary, learned binary, lengths binary, voc
 _CHUNK = pa.schema([("dest", pa.int32())] + [(c, pa.binary()) for c in ("ids", "named", "learned", "lengths", "vocabulary", "tokens")])
 ASK = "kind int, part int, dest int, low binary, high binary, first binary, second binary"
 _ASK = pa.schema([(c, pa.int32()) for c in ("kind", "part", "dest")] + [(c, pa.binary()) for c in ("low", "high", "first", "second")])
-ANSWER = "kind int, part int, dest int, first binary, second binary, third binary, s1 double, s2 double, s3 double, s4 double"
+ANSWER = "kind int, part int, dest int, first binary, second binary, s1 double, s2 double, s3 double, s4 double"
 _ANSWER = pa.schema(
-    [(c, pa.int32()) for c in ("kind", "part", "dest")] + [(c, pa.binary()) for c in ("first", "second", "third")]
+    [(c, pa.int32()) for c in ("kind", "part", "dest")] + [(c, pa.binary()) for c in ("first", "second")]
     + [(c, pa.float64()) for c in ("s1", "s2", "s3", "s4")]
 )
 
@@ -145,10 +145,10 @@ def _count(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
     whole, out, at = total[number], [], 0
     known = total if kind == PAIRS else total[keys[order[first]] != BEGIN]
     sums = (float(known.sum()), float((known > 0).sum()), float((known == 1).sum()), float((known == 2).sum()))
-    out.append((kind, part, -1, None, None, None, *sums))
+    out.append((kind, part, -1, None, None, *sums))
     for r, own in zip(rows, parts):
         past = at + len(own)
-        out.append((kind, part, r["dest"], ints(whole[at:past]), np.packbits(chief[at:past]).tobytes(), None, 0.0, 0.0, 0.0, 0.0))
+        out.append((kind, part, r["dest"], ints(whole[at:past]), np.packbits(chief[at:past]).tobytes(), 0.0, 0.0, 0.0, 0.0))
         at = past
     yield from _table(out, _ANSWER).to_batches()
 
@@ -219,7 +219,7 @@ class _State:
         self.word_total = chunk.answers(told, WORDS, chunk.words, {"first": _counts})["first"]
         pair = chunk.answers(told, PAIRS, chunk.pairs, {"first": _counts, "second": _flags})
         self.pair_total, self.chief = pair["first"].astype(np.int64), pair["second"].astype(bool)
-        read = {"first": _floats, "second": _floats, "third": _floats}
+        read = {"first": _floats, "second": _floats}
         self.after = [chunk.answers(told, TABLES + r, chunk.words, read) for r in range(rounds)]
 
     def totals(self, r: int) -> tuple[np.ndarray, np.ndarray]:
@@ -235,7 +235,7 @@ class _State:
         told = self.after[r - 1]
         customers, tables = m.roots[r - 1]
         fresh = (ROOT_STRENGTH + m.root_discount * tables) / (m.vocabulary + 1)
-        root = (np.maximum(told["second"] - m.root_discount * told["third"], 0) + fresh) / (ROOT_STRENGTH + customers)
+        root = (np.maximum(told["second"], 0) + fresh) / (ROOT_STRENGTH + customers)
         return told["first"], root
 
     def tables(self, r: int, own: np.ndarray | None = None) -> np.ndarray:
@@ -273,8 +273,9 @@ def _gather(model: _Model, r: int):
         by_context, by_word = (np.add.reduceat(np.concatenate(x)[order], first) for x in (one, two))
         fresh = np.full(len(first), ROOT_STRENGTH / (model.vocabulary + 1) + model.root_discount)
         root = seat(np.rint(by_word).astype(np.int64), fresh, model.root_discount, keys[order[first]], r)
-        out, at = [(kind, part, -1, None, None, None, float(by_word.sum()), float(root.sum()), 0.0, 0.0)], 0
-        columns = [x[number].astype("<f4") for x in (by_context, by_word, root)]
+        out, at = [(kind, part, -1, None, None, float(by_word.sum()), float(root.sum()), 0.0, 0.0)], 0
+        seated = by_word - model.root_discount * root  # what the root's tables leave of its customers
+        columns = [x[number].astype("<f4") for x in (by_context, seated)]
         for x, own in zip(rows, one):
             past = at + len(own)
             out.append((kind, part, x["dest"], *(c[at:past].tobytes() for c in columns), 0.0, 0.0, 0.0, 0.0))
