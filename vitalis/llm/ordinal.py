@@ -88,6 +88,10 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
 
 
+def _runs(n: int, length: int = 1 << 20) -> Iterator[slice]:
+    return (slice(k, k + length) for k in range(0, n, length))
+
+
 def fit_arrays(
     slots: np.ndarray, first: np.ndarray, grades: np.ndarray, classes: int, epochs: int = 150, ridge: float = 6e-4,
     least_docs: int = 4, rate: float = 0.1,
@@ -96,11 +100,16 @@ def fit_arrays(
 
     Slots in fewer than ``least_docs`` texts keep weight 0.
     """
-    used, column = np.unique(slots, return_inverse=True)
-    rows = np.repeat(np.arange(len(grades)), np.diff(first))
-    common = np.bincount(column, minlength=len(used)) >= least_docs
-    keep = common[column]
-    column, rows = column[keep], rows[keep]
+    # small integers and short runs keep the driver's share of the work to some hundred megabytes
+    seen = np.zeros(1 << BITS, dtype=np.int64)
+    for part in _runs(len(slots)):
+        seen += np.bincount(slots[part], minlength=1 << BITS)
+    common = seen >= least_docs
+    keep = common[slots]
+    used = np.flatnonzero(common)
+    column = (np.cumsum(common, dtype=np.int32) - 1)[slots[keep]]
+    rows = np.repeat(np.arange(len(grades), dtype=np.int32), np.diff(first))[keep]
+    del keep, seen
     size, n = len(used), len(grades)
     share = np.array([np.clip((grades >= k).mean(), 1e-3, 1 - 1e-3) for k in range(1, classes)])
     theta = np.sort(np.log((1 - share) / share))
@@ -110,7 +119,9 @@ def fit_arrays(
     pos = np.arange(n)
     for step in range(1, epochs + 1):
         w, theta = x[:size], np.concatenate([x[size : size + 1], x[size] + np.cumsum(np.exp(x[size + 1 :]))])
-        score = np.bincount(rows, weights=w[column], minlength=n)
+        score = np.zeros(n)
+        for part in _runs(len(rows)):
+            score += np.bincount(rows[part], weights=w[column[part]], minlength=n)
         tail = np.concatenate([np.ones((n, 1)), _sigmoid(score[:, None] - theta), np.zeros((n, 1))], axis=1)
         p = np.maximum(tail[pos, grades] - tail[pos, grades + 1], 1e-12)
         slope = tail * (1 - tail)  # zero at both ends
@@ -118,7 +129,9 @@ def fit_arrays(
         by_score = -(low - high) / n
         by_theta = np.array([((low * (grades == k)).sum() - (high * (grades == k - 1)).sum()) / n for k in range(1, classes)])
         g = np.empty_like(x)
-        g[:size] = np.bincount(column, weights=by_score[rows], minlength=size) + ridge * w
+        g[:size] = ridge * w
+        for part in _runs(len(rows)):
+            g[:size] += np.bincount(column[part], weights=by_score[rows[part]], minlength=size)
         g[size] = by_theta.sum()
         for j in range(classes - 2):
             g[size + 1 + j] = by_theta[j + 1 :].sum() * np.exp(x[size + 1 + j])
@@ -126,7 +139,7 @@ def fit_arrays(
         now = rate * (1 - (step - 1) / epochs)
         x = x - now * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
     weights = np.zeros(1 << BITS)
-    weights[used] = x[:size] * common
+    weights[used] = x[:size]
     return Ordinal(weights, np.concatenate([x[size : size + 1], x[size] + np.cumsum(np.exp(x[size + 1 :]))]))
 
 
@@ -162,7 +175,9 @@ def fit(
         return Ordinal(np.zeros(1 << BITS), np.zeros(classes - 1))
     lists = table["slots"].combine_chunks()
     first = np.concatenate([[0], np.cumsum(np.asarray(lists.value_lengths()))])
-    return fit_arrays(np.asarray(lists.flatten(), dtype=np.int64), first, np.asarray(table["grade"], dtype=np.int64), classes)
+    grades = np.asarray(table["grade"], dtype=np.int64)
+    del table
+    return fit_arrays(np.asarray(lists.flatten()), first, grades, classes)
 
 
 def grade(
