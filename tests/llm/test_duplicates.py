@@ -1,12 +1,14 @@
 """Near duplicates, repeated passages and fingerprints against brute force."""
 
 import hashlib
+import random
+import re
 from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
 import pytest
-from corpus import WORD, frame, lower, rows
+from corpus import WORD, frame, lower, rows, sentence, vocabulary
 from pyspark.sql import functions as F
 
 from vitalis.llm import near_duplicates as near
@@ -150,6 +152,26 @@ def test_fingerprints_of_one_no_and_repeated_rows(spark):
     assert sorted((r["doc_id"] is None, r["near_next"]) for r in got) == [(False, 0.0), (False, 1.0), (True, 0.0)]
 
 
+def test_edits_inside_a_line_keep_the_other_pieces(spark):
+    words = vocabulary(400)
+    rng = random.Random(3)
+    data = [(k, sentence(rng, words, 12 + 30 * k), "a") for k in range(12)]  # one line each
+    data += [(50, "".join(rng.choice("的是不了人我在有他这中大来上国") for _ in range(900)), "a"), (51, f"{rng.getrandbits(6000):x}", "a")]
+    data += [(60, sentence(rng, words, 9000), "a"), (61, "z" * 500, "a"), (62, "", "a"), (63, None, "a")]
+    got = {r["doc_id"]: r for r in sketches.fingerprints(frame(spark, data).repartition(4), pieces=True).collect()}
+    cut = lambda text: set(re.findall(sketches.PIECE, text))
+    share = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
+    for k, (doc, text, _) in enumerate(data):
+        text, following = text or "", data[(k + 1) % len(data)][1] or ""
+        half = len(text) // 2
+        assert "".join(re.findall(sketches.PIECE, text)) == text and all(len(p) <= 96 for p in cut(text))
+        assert got[doc]["near_edited"] == pytest.approx(share(cut(text), cut(text[: len(text) - half] + following[:half])), abs=1e-12)
+        assert got[doc]["near_next"] == pytest.approx(share(cut(text), cut(following)), abs=1e-12)
+        if doc < 61:
+            assert got[doc]["near_edited"] > max(0.1, got[doc]["near_next"])
+            assert share(cut(text), cut("word " + text)) > 0.3  # an insertion moves few cuts
+
+
 def test_peeling_recovers_the_digests(spark):
     df = spark.createDataFrame([(1, 0, 1.0, list(range(10, 300)), list(range(100, 420)))], "row long, pair int, expected double, a array<long>, b array<long>")
     (r,) = sketches.differences(df).collect()

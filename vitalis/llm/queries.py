@@ -107,4 +107,4 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_invertible_sketches")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sketches.fingerprints(_documents(spark, sf_dir))
+    return sketches.fingerprints(_documents(spark, sf_dir), pieces=True)

@@ -1,4 +1,4 @@
-"""Document fingerprints: invertible Bloom lookup sketches of paragraph digests.
+"""Document fingerprints: invertible Bloom lookup sketches of digests of paragraphs or their pieces.
 
 A sketch is a row of cells; each digest is added to three of them (a count, the xor of digests,
 the xor of their check hashes). Two sketches subtract cell by cell, and peeling cells that hold
@@ -13,14 +13,27 @@ from pyspark.sql import functions as F
 from vitalis.llm.common import fresh_columns, stage, width
 
 CELLS = 24  # of a fingerprint; larger sketches have this many times a power of two
-SECTION = 64  # digests that one sketch of a long document takes on average
+SECTION = 16  # digests that one sketch of a long document takes on average
+SPLIT = 64  # sections that a document is cut into within its row; longer ones are dealt by a shuffle
 PEELS = 16  # rounds of peeling before a sketch counts as failed
 _LEAST = -(2**63)
 
 
-def digests(text: Column) -> Column:
-    """The distinct digests of a text's paragraphs (lines that aren't empty)."""
-    return F.array_distinct(F.transform(F.filter(F.split(text, "\n", -1), lambda p: p != ""), lambda p: F.xxhash64(p)))
+_ENDS = "dhlptxDHLPTX048.!?;:"  # a piece may end after a word that ends with one of these
+_BANDS = "".join(rf"\u{b:02X}{low}0-\u{b:02X}{low}F" for b in range(1, 256) if not 0xD8 <= b <= 0xDF for low in "26")
+#: A piece of a line: 20 to 64 characters up to the first word of a certain ending; without one, up to a character of
+#: certain code points (text without spaces); without any, 96 characters or what is left.
+PIECE = rf"[^\n]{{19,62}}?[{_ENDS}][ \t]|[^\n]{{19,94}}?(?:[{_ENDS}]|(?![\x00-\x7F])[{_BANDS}])|[^\n]{{1,96}}"
+
+
+def digests(text: Column, pieces: bool = False) -> Column:
+    """The distinct digests of a text's paragraphs (lines that aren't empty), or of their pieces.
+
+    The cuts between pieces depend on the characters around them, so that an edit inside a line
+    changes the pieces it touches and few after them.
+    """
+    parts = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)) if pieces else F.filter(F.split(text, "\n", -1), lambda p: p != "")
+    return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
 def _entry(key: Column, sign: Column, cells: Column) -> Column:
@@ -62,16 +75,21 @@ def subtract(a: Column, b: Column) -> Column:
 
 
 def peel(cells: Column, size: Column) -> Column:
-    """struct(cells left, found): ``found`` has each recovered digest ``k`` with the sign ``n`` of its side."""
+    """struct(cells left, found, more): ``found`` has each recovered digest ``k`` with the sign ``n`` of its side."""
 
     def round_(state: Column, _: Column) -> Column:
         pure = F.filter(state["cells"], lambda c: (F.abs(c["n"]) == 1) & (F.xxhash64(c["k"], F.lit(99)) == c["x"]))
         pure = F.array_distinct(F.transform(pure, lambda c: F.struct(c["k"].alias("k"), c["n"].alias("n"))))
-        removed = F.aggregate(F.transform(pure, lambda p: _entry(p["k"], -p["n"], size)), state["cells"], _add)
-        return F.struct(removed.alias("cells"), F.concat(state["found"], pure).alias("found"))
+
+        def take(pure: Column) -> Column:
+            removed = F.aggregate(F.transform(pure, lambda p: _entry(p["k"], -p["n"], size)), state["cells"], _add)
+            return F.struct(removed.alias("cells"), F.concat(state["found"], pure).alias("found"), (F.size(pure) > 0).alias("more"))
+
+        once = F.transform(F.array(pure), take)  # a lambda's argument is computed once
+        return F.when(state["more"], F.element_at(once, 1)).otherwise(state)
 
     none = F.array().cast("array<struct<k:bigint,n:int>>")
-    start = F.struct(cells.alias("cells"), none.alias("found"))
+    start = F.struct(cells.alias("cells"), none.alias("found"), F.lit(True).alias("more"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(PEELS)), start, round_)
 
 
@@ -89,8 +107,9 @@ def _signed(found: str, sign: int) -> Column:
     return F.transform(F.filter(found, lambda e: e["n"] == sign), lambda e: e["k"])
 
 
-def differences(pairs: DataFrame) -> DataFrame:
+def differences(pairs: DataFrame, listed: bool = True) -> DataFrame:
     """Per (row, pair): the digests only in array ``a`` (``removed``) and only in ``b`` (``added``).
+    Without ``listed``, how many both are (``apart``).
 
     ``expected`` is the share of digests that may differ, which sets the first sketch's size. A
     pair of many digests is split by hash into sections with a sketch each, so that work grows in
@@ -98,27 +117,40 @@ def differences(pairs: DataFrame) -> DataFrame:
     """
     total = F.size("a") + F.size("b")
     pairs = pairs.withColumn("sections", F.greatest(F.lit(1), F.ceil(total / F.lit(2 * SECTION)).cast("int")))
+
+    def section_of(key: Column | str) -> Column:
+        return F.pmod(F.xxhash64(key, F.lit(7)), F.col("sections")).cast("int")
+
+    def part(s: Column) -> Column:
+        return F.struct(s.alias("section"), *(F.filter(c, lambda k: section_of(k) == s).alias(c) for c in "ab"))
+
     small = pairs.filter("sections = 1").select("row", "pair", F.lit(0).alias("section"), "expected", "a", "b")
+    middle = pairs.filter(f"sections BETWEEN 2 AND {SPLIT}")
+    middle = middle.select("row", "pair", "expected", F.inline(F.transform(F.sequence(F.lit(0), F.col("sections") - 1), part)))
+    small = small.unionByName(middle)
     sides = F.concat(*(_marked(c, s) for s, c in enumerate("ab")))
-    large = pairs.filter("sections > 1").select("row", "pair", "expected", "sections", F.explode(sides).alias("e"))
-    section = F.pmod(F.xxhash64("e.k", F.lit(7)), F.col("sections")).cast("int")
+    large = pairs.filter(f"sections > {SPLIT}").select("row", "pair", "expected", "sections", F.explode(sides).alias("e"))
+    section = section_of("e.k")
     large = large.groupBy("row", "pair", section.alias("section"), "expected").agg(
         *(F.collect_list(F.when(F.col("e.s") == s, F.col("e.k"))).alias(c) for s, c in enumerate("ab"))
     )
     first = F.greatest(F.lit(0), F.ceil(F.log2((F.size("a") + F.size("b")) * F.col("expected") * 1.5 / CELLS + F.lit(1e-9))))
     work = small.unionByName(large).withColumn("size", (F.lit(CELLS) * F.pow(F.lit(2), F.coalesce(first, F.lit(0)))).cast("int"))
+    found = F.col("peeled.found") if listed else F.size("peeled.found").alias("found")
     done = None
     while True:
         cells = subtract(sketch(F.col("a"), F.col("size")), sketch(F.col("b"), F.col("size")))
         tried = work.withColumn("peeled", peel(cells, F.col("size")))
         clear = F.forall("peeled.cells", lambda c: (c["n"] == 0) & (c["k"] == 0) & (c["x"] == 0))
         tried = stage(tried.select("row", "pair", "section", "expected", "size", F.when(~clear, F.col("a")).alias("a"),
-                                   F.when(~clear, F.col("b")).alias("b"), clear.alias("clear"), "peeled.found"), "peeled")
+                                   F.when(~clear, F.col("b")).alias("b"), clear.alias("clear"), found), "peeled")
         good = tried.filter("clear").select("row", "pair", "found")
         done = good if done is None else done.unionByName(good)
         work = tried.filter("NOT clear").select("row", "pair", "section", "expected", "a", "b", (F.col("size") * 2).alias("size"))
         if work.isEmpty():
             break
+    if not listed:
+        return done.groupBy("row", "pair").agg(F.sum("found").alias("apart"))
     parts = done.select("row", "pair", _signed("found", 1).alias("removed"), _signed("found", -1).alias("added"))
     return parts.groupBy("row", "pair").agg(*(F.flatten(F.collect_list(n)).alias(n) for n in ("removed", "added")))
 
@@ -149,12 +181,12 @@ def with_next(docs: DataFrame) -> DataFrame:
     return dealt.withColumn("following", F.lead("text").over(order)).filter("ghost = 0").select("id", "text", "following")
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", pieces: bool = False) -> DataFrame:
     """Each document, its edited text's hash, both fingerprints, and how alike they are.
 
     The edited text ends with as many characters of the next document as its second half has.
-    Likeness is the share of common among all paragraph digests, 1 where neither has any, from the
-    digests that peeling recovers. Null texts are empty texts. Repeated rows follow each other;
+    Likeness is the share of common among all digests (of paragraphs, or with ``pieces`` of their
+    pieces), 1 where neither has any, from the digests that peeling recovers. Null texts are empty texts. Repeated rows follow each other;
     a null id stands before all others. A single document is its own next one; an empty table
     gives an empty result. Other columns don't matter.
     """
@@ -165,17 +197,15 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     known = with_next(slim).withColumn("edited", edited)
     known = known.select(
         F.monotonically_increasing_id().alias("row"), "id", n.cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
-        digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("changed"), digests(F.col("following")).alias("following"),
+        *(digests(F.col(c), pieces).alias(n) for c, n in (("text", "own"), ("edited", "changed"), ("following", "following"))),
     )
     known = stage(known, "digests")
     each = F.array(
         F.struct(F.lit(0).alias("pair"), F.lit(0.5).alias("expected"), F.col("own").alias("a"), F.col("changed").alias("b")),
         F.struct(F.lit(1).alias("pair"), F.lit(1.0).alias("expected"), F.col("own").alias("a"), F.col("following").alias("b")),
     )
-    found = differences(known.select("row", F.inline(each)))
-    counted = found.groupBy("row").agg(
-        *(F.sum(F.when(F.col("pair") == p, F.size("removed") + F.size("added"))).alias(f"apart{p}") for p in range(2))
-    )
+    found = differences(known.select("row", F.inline(each)), listed=False)
+    counted = found.groupBy("row").agg(*(F.sum(F.when(F.col("pair") == p, F.col("apart"))).alias(f"apart{p}") for p in range(2)))
     joined = known.join(counted, "row")
 
     def alike(other: str, apart: str) -> Column:
