@@ -165,6 +165,40 @@ def test_card_keeps_its_check_digit_and_others_stay():
         assert pseudonyms.replace(clean, KEY) == (clean, 0)
 
 
+@pytest.mark.parametrize("value", ["25/12/1990", "12-25-1990", "12.25.1990", "12/25/1990", "25-12-1990", "31.12.2099"])
+def test_dates_in_both_orders(value):
+    text, n = pseudonyms.replace(f"on {value}, then", KEY)
+    assert n == 1 and value not in text and len(text) == len(f"on {value}, then")
+    assert pseudonyms.replace(text, KEY, undo=True) == (f"on {value}, then", 1)
+
+
+def test_dates_of_the_other_order_stay_one_to_one():
+    old = [f"{d:02d}/{m:02d}/{y}" for y in (1999, 2000) for m in range(1, 13) for d in range(1, 29)]
+    new = [pseudonyms.date(x, KEY) for x in old]
+    assert len(set(new)) == len(old) and [pseudonyms.date(x, KEY, undo=True) for x in new] == old
+    assert all((int(x[:2]) > 12) == (int(y[:2]) > 12) for x, y in zip(old, new))
+    assert [pseudonyms.date(x, KEY) for x in ("31/04/1990", "13/13/1990", "00/10/1990")] == [None] * 3
+
+
+@pytest.mark.parametrize("value", ["3782 822463 10005", "3782-822463-10005", "3056 930902 5904", "6212 3456 7890 1234 569", "621234 5678901234569"])
+def test_grouped_cards(value):
+    digits = re.sub(r"\D", "", value)
+    value = value[:-1] + pseudonyms.luhn_digit(digits[:-1])
+    text, n = pseudonyms.replace(f"pay {value}, then", KEY)
+    new = text[4 : text.index(", then")]
+    assert n == 1 and new != value and re.sub(r"\d", "0", new) == re.sub(r"\d", "0", value)
+    plain = re.sub(r"\D", "", new)
+    assert pseudonyms.luhn_digit(plain[:-1]) == plain[-1]
+    assert pseudonyms.replace(text, KEY, undo=True)[0] == f"pay {value}, then"
+
+
+def test_a_card_before_another_number():
+    for tail in range(100, 200):
+        text = f"4111 1111 1111 1111 {tail}"
+        new, n = pseudonyms.replace(text, KEY)
+        assert n == 1 and new[:19] != text[:19] and pseudonyms.replace(new, KEY, undo=True) == (text, 1)
+
+
 def test_pseudonymise_frame(spark):
     data = [(1, f"mail {PRIVATE['mail']}", "a"), (2, None, "b"), (3, "", None), (4, "clean text", "a"), (None, PRIVATE["card"], "c")]
     docs = frame(spark, data * 2)

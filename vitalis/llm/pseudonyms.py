@@ -89,13 +89,29 @@ def luhn_digit(payload: str) -> str:
     return str(-total % 10)
 
 
+_FIVE_GROUPS = re.compile(r"\d{4}(?:[ -]\d{4}){3}[ -]\d{3}", re.ASCII)
+
+
 def card(text: str, key: bytes, undo: bool = False) -> str | None:
-    """13 to 19 digits with a right Luhn digit: the others are permuted, the digit is set anew."""
-    digits = re.sub(r"\D", "", text)
-    if luhn_digit(digits[:-1]) != digits[-1]:
-        return None
-    payload = characters(digits[:-1], key, "card", undo)
-    return _digits_into(text, payload + luhn_digit(payload))
+    """13 to 19 digits with a right Luhn digit: the others are permuted, the digit is set anew.
+
+    Five groups that are no card of 19 digits may be one of 16 before another number: then those
+    are permuted among cards that don't make one of 19 with that number.
+    """
+
+    def valid(digits: str) -> bool:
+        return luhn_digit(digits[:-1]) == digits[-1]
+
+    digits, tail = re.sub(r"\D", "", text), ""
+    if not valid(digits):
+        if not _FIVE_GROUPS.fullmatch(text) or not valid(digits[:16]):
+            return None
+        digits, tail = digits[:16], digits[16:]
+    while True:
+        payload = characters(digits[:-1], key, "card", undo)
+        digits = payload + luhn_digit(payload)
+        if not tail or not valid(digits + tail):
+            return _digits_into(text, digits + tail)
 
 
 def phone(text: str, key: bytes, undo: bool = False) -> str:
@@ -134,20 +150,31 @@ _FIRST_DAY, _DAYS = datetime.date(1900, 1, 1).toordinal(), datetime.date(2100, 1
 
 
 def date(text: str, key: bytes, undo: bool = False) -> str | None:
-    """A day of 1900 to 2099 in the same notation (year first, or day or month first)."""
+    """A day of 1900 to 2099 in the same notation (year first, or day or month first).
+
+    With the year last, slashes mean month first and other separators day first. What is no date
+    that way is read the other way, and permuted among the dates that can only be read so.
+    """
     parts = re.split(r"([-/.])", text)
     numbers = [int(p) for p in parts[::2]]
-    if len(parts[0]) == 4:
-        order = (0, 1, 2)
+    orders = [(0, 1, 2)] if len(parts[0]) == 4 else [(2, 1, 0), (2, 0, 1)]
+    if parts[1] == "/":
+        orders.reverse()
+    for order in orders:
+        try:
+            day = datetime.date(*(numbers[i] for i in order)).toordinal() - _FIRST_DAY
+            break
+        except ValueError:
+            continue
     else:
-        order = (2, 1, 0) if parts[1] != "/" else (2, 0, 1)
-    try:
-        day = datetime.date(*(numbers[i] for i in order)).toordinal() - _FIRST_DAY
-    except ValueError:
         return None
     if not 0 <= day < _DAYS:
         return None
-    new = datetime.date.fromordinal(feistel(day, _DAYS, key, "date", undo) + _FIRST_DAY)
+    while True:
+        day = feistel(day, _DAYS, key, "date", undo)
+        new = datetime.date.fromordinal(day + _FIRST_DAY)
+        if order == orders[0] or new.day > 12:
+            break
     values = dict(zip(order, (f"{new.year:04d}", f"{new.month:02d}", f"{new.day:02d}")))
     return parts[1].join(values[i] for i in range(3))
 
@@ -172,7 +199,7 @@ KINDS: dict[str, tuple[str, Callable[[str, bytes, bool], str | None]]] = {
     "secret": (r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])", secret),
     "phone": (r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}-\d{3}-\d{4}(?![\d-])", phone),
     "address": (r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)", address),
-    "card": (r"(?<![\d.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3})(?![\d])", card),
+    "card": (r"(?<![\d.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{6}[ -]\d{13})(?![\d])", card),
     "social": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", social),
     "date": (r"(?<![\d./-])(?:\d{4}[-/.]\d{2}[-/.]\d{2}|\d{2}[-/.]\d{2}[-/.]\d{4})(?![\d/-]|\.\d)", date),
 }
