@@ -199,6 +199,24 @@ def test_a_card_before_another_number():
         assert n == 1 and new[:19] != text[:19] and pseudonyms.replace(new, KEY, undo=True) == (text, 1)
 
 
+SHORTEST = {
+    "mail": ["a@b.cc"], "secret": ["0123456789abcdef" * 2, "0123456789ABCDEF" * 2], "phone": ["+1223344", "(204)555-7713", "204-555-7713"],
+    "address": ["8.8.8.8", "1.0.0.1"], "card": ["4222222222222", "3056 930902 5904", "4111 1111 1111 1111"], "social": ["123-45-6789"],
+    "date": ["1987-03-12", "12/03/1987", "25/12/1990"],
+}
+
+
+@pytest.mark.parametrize("kind", SHORTEST)
+def test_the_shortest_value_alone_passes_the_hint(kind):
+    assert set(SHORTEST) == set(pseudonyms.KINDS)
+    for value in SHORTEST[kind]:
+        assert re.fullmatch(pseudonyms.KINDS[kind][0], value, re.ASCII)
+        for text in (value, f"server {value}, then", f"dns {value}\n"):
+            new, n = pseudonyms.replace(text, KEY)
+            assert n == 1 and pseudonyms.replace(new, KEY, undo=True)[0] == text
+            assert new in pseudonyms.replace(f"{text} a@b.cc", KEY)[0]  # as in a text with another hint
+
+
 def test_pseudonymise_frame(spark):
     data = [(1, f"mail {PRIVATE['mail']}", "a"), (2, None, "b"), (3, "", None), (4, "clean text", "a"), (None, PRIVATE["card"], "c")]
     docs = frame(spark, data * 2)

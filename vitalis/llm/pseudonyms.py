@@ -205,7 +205,7 @@ KINDS: dict[str, tuple[str, Callable[[str, bytes, bool], str | None]]] = {
 }
 _ANY = re.compile("|".join(f"(?P<{name}>{pattern})" for name, (pattern, _) in KINDS.items()), re.ASCII)
 #: What a text must hold for any kind to occur; most texts end here.
-_HINT = re.compile(r"@|[0-9a-fA-F]{13}|\d[\d .()/-]{7}")
+_HINT = re.compile(r"@|[0-9a-fA-F]{13}|\d[\d .()/-]{6}")
 
 
 def replace(text: str, key: bytes, undo: bool = False) -> tuple[str, int]:
