@@ -57,7 +57,7 @@ def linear_regression_residuals(spark, d):
 @query("lad_regression", "select count(*) as n, true as not_worse_than_least_squares from lineitem")
 def lad_regression(spark, d):
     lines = durable(_price_lines(spark, d, ["l_quantity", "l_discount", "l_tax"]).select("features", "label"))
-    lad = models.mean_absolute_error(models.fit_lad(lines, iterations=5), lines)
+    lad = models.mean_absolute_error(models.fit_lad(lines), lines)
     ols = models.mean_absolute_error(models.fit_linear(lines), lines)
     return lines.agg(F.count(F.lit(1)).alias("n")).withColumn("not_worse_than_least_squares", F.lit(bool(lad <= ols)))
 
@@ -77,7 +77,7 @@ def _matrix(model, test, n):
 @query("gbt_classifier")
 def gbt_classifier(spark, d):
     train, test = _status_parts(spark, d, "gbt")
-    return _matrix(models.fit_gbt(train, learning_rate=0.5, rounds=5, depth=3), test, 2)
+    return _matrix(models.fit_gbt(train, learning_rate=0.5, rounds=150, depth=3), test, 2)
 
 
 @query("mlp_classifier")
@@ -85,7 +85,7 @@ def mlp_classifier(spark, d):
     lines = keyed_lines(spark, d).select("row_key", "l_linestatus", "l_discount", "l_tax")
     ready = models.index_labels(models.assemble(lines, ["l_discount", "l_tax"]), "l_linestatus", ["F", "O"])
     parts = durable(splits.split(ready, ["row_key"], {"train": 0.9, "test": 0.1}, "mlp").select("features", "label", "split"))
-    model = models.fit_mlp(parts.filter("split = 'train'"), [2, 10, 10, 2], iterations=10)
+    model = models.fit_mlp(parts.filter("split = 'train'"), [2, 10, 10, 2])
     return _matrix(model, parts.filter("split = 'test'"), 2)
 
 
@@ -100,19 +100,19 @@ def _vector_parts(spark, d, seed, binary):
 @query("linear_svc")
 def linear_svc(spark, d):
     train, test = _vector_parts(spark, d, "svc", True)
-    return _matrix(models.fit_linear_svc(train, c=1.0, maxIter=30), test, 2)
+    return _matrix(models.fit_linear_svc(train, c=1.0), test, 2)
 
 
 @query("rbf_svc")
 def rbf_svc(spark, d):
     train, test = _vector_parts(spark, d, "rbf", True)
-    return _matrix(models.fit_rbf_svc(train, dim=64, gamma=0.5, maxIter=30), test, 2)
+    return _matrix(models.fit_rbf_svc(train, dim=64, gamma=0.5), test, 2)
 
 
 @query("logistic_elasticnet")
 def logistic_elasticnet(spark, d):
     train, test = _vector_parts(spark, d, "logistic", False)
-    return _matrix(models.fit_logistic(train, maxIter=30), test, 10)
+    return _matrix(models.fit_logistic(train), test, 10)
 
 
 @query("grid_search_table")
@@ -121,7 +121,7 @@ def grid_search_table(spark, d):
     rows = rows.withColumn("label", (F.col("label") < 5).cast("double")).select("vec_id", "features", "label")
     folded = durable(splits.kfold(rows, ["vec_id"], "label", 5, "grid"))
     _, scores = models.grid_search(
-        folded, LogisticRegression(maxIter=10), {"regParam": [0.001, 0.1], "elasticNetParam": [0.0, 0.5]}
+        folded, LogisticRegression(), {"regParam": [0.001, 0.1], "elasticNetParam": [0.0, 0.5]}
     )
     return rounded(scores, 6, "accuracy")
 
@@ -138,7 +138,7 @@ def _window_rows(spark, d):
 @query("random_forest")
 def random_forest(spark, d):
     rows = _window_rows(spark, d)
-    return _matrix(models.fit_forest(rows, trees=20, depth=4, balanced=True), rows, 3)
+    return _matrix(models.fit_forest(rows, trees=100, depth=4, balanced=True), rows, 3)
 
 
 @query("feature_importance", "select true as sums_to_one, true as none_negative, cast(7 as bigint) as n_features from events having count(*) > 0")
@@ -146,7 +146,7 @@ def feature_importance(spark, d):
     from vitalis.operators.signal import FEATURE_NAMES
 
     rows = _window_rows(spark, d)
-    listed = models.importances(models.fit_forest(rows, trees=10, depth=4), FEATURE_NAMES, rows)
+    listed = models.importances(models.fit_forest(rows, trees=100, depth=4), FEATURE_NAMES, rows)
     return listed.agg(
         (F.abs(F.sum("importance") - 1) < 1e-9).alias("sums_to_one"),
         (F.min("importance") >= 0).alias("none_negative"),
@@ -156,9 +156,9 @@ def feature_importance(spark, d):
 
 @query("loso_accuracy_table")
 def loso_accuracy_table(spark, d):
-    """Two forests, each fitted once per left-out subject."""
+    """The reference's 35 forests, each fitted once per left-out subject."""
     rows = _window_rows(spark, d)
-    return rounded(models.loso_tune(rows, "subject", trees=[2], depths=[2, 4]), 6, "accuracy")
+    return rounded(models.loso_tune(rows, "subject", trees=[2, 10, 20, 50, 100, 150, 300], depths=range(2, 7)), 6, "accuracy")
 
 
 @query("training_history", "select true as never_rises, true as starts_at_zero from lineitem having count(*) > 0")
