@@ -76,3 +76,12 @@ def test_index_stream_adds_only_new_documents(spark, tmp_path):
     columns = ["doc_id", "chunk_no", "start_index", "text"]
     want = chunk(whole, "doc_id", "text", 1000, 200).select(*columns)
     assert got.select(*columns).exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_window_features_have_the_5th_percentile(spark):
+    from vitalis.streaming import features
+
+    rows = [("u", f"2024-01-01 00:00:{k:02d}", float(k * k), 1.0 * k) for k in range(40)]
+    df = spark.createDataFrame(rows, "user string, t string, x double, y double").withColumn("t", F.to_timestamp("t"))
+    (r,) = features.window_features_stream(df, ["user"], "t", "x", "y", "1 hour", "1 minute").collect()
+    assert r["p05_x"] == pytest.approx(np.percentile([k * k for k in range(40)], 5))

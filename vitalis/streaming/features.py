@@ -15,7 +15,8 @@ def window_features_stream(
 ) -> DataFrame:
     """Time features per entity and tumbling time window, emitted once the watermark passes the window.
 
-    The state of a window is a handful of running sums, not its samples. The same function runs
+    The state of a window is a handful of running sums and, for the 5th percentile, a count of each
+    distinct value. The same function runs
     on a batch frame, where the watermark has no effect.
     """
     bounds = F.window(F.col(ts), length)
@@ -26,10 +27,11 @@ def window_features_stream(
             F.count(x).alias("n"),
             F.avg(x).alias("mean_x"),
             F.stddev_pop(x).alias("std_x"),
+            F.percentile(x, 0.05).alias("p05_x"),
             pearson(x, y).alias("corr_xy"),
             (F.var_pop(x) * F.count(x)).alias("energy_x"),
         )
-        .select(*key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "mean_x", "std_x", "corr_xy", "energy_x")
+        .select(*key, F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), "n", "mean_x", "std_x", "p05_x", "corr_xy", "energy_x")
     )
 
 
