@@ -55,6 +55,18 @@ def test_near_duplicates(spark):
     assert want[10] == want[5] == 5 and len({want[k] for k in range(70, 76)}) == 1
 
 
+def test_texts_of_equal_size_under_one_id_keep_their_links(spark):
+    rng, words = random.Random(9), vocabulary(300)
+    data = []
+    for k in range(8):  # an id with three texts of 60 words, each with a near copy under another id
+        for j in range(3):
+            text = sentence(rng, words, 60)
+            data += [(k, text, "a"), (100 + 10 * k + j, text + " tail", "a")]
+    want = groups(data)
+    got = {r["doc_id"]: r["component_id"] for r in near.near_duplicates(frame(spark, data)).collect()}
+    assert got == want and set(want.values()) == set(range(8))
+
+
 def test_near_duplicates_of_empty_table(spark):
     assert near.near_duplicates(frame(spark, [])).collect() == []
 

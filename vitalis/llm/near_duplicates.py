@@ -259,9 +259,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     signed = stage(slim.mapInArrow(_signatures, kinds), "signatures")
     present = signed.filter("n > 0 AND id IS NOT NULL")
     classes = present.groupBy("set1", "set2", "n").agg(F.min("id").alias("rep"))
-    member = stage(present.select("id", "set1", "set2", "n").join(classes, ["set1", "set2", "n"]).select("id", "rep", "n"), "members")
-    reps = present.join(member.filter("id = rep").select("id", "n").distinct(), ["id", "n"], "left_semi")
-    reps = reps.dropDuplicates(["id", "n"]).select("id", "n", "bits", "bands")
+    member = stage(present.select("id", "set1", "set2", "n").join(classes, ["set1", "set2", "n"]).select("id", "rep", "set1", "set2", "n"), "members")
+    text = ["id", "set1", "set2", "n"]  # an id may have several texts, each with its own bands
+    reps = present.join(member.filter("id = rep").select(*text).distinct(), text, "left_semi")
+    reps = reps.dropDuplicates(text).select("id", "n", "bits", "bands")
     rows = reps.select("id", F.explode("bands").alias("band"))
     buckets = rows.groupBy("band").agg(F.min("id").alias("head"), F.max("id").alias("last"))
     rows = stage(rows.join(buckets.filter("head < last").select("band", "head"), "band"), "buckets")
