@@ -4,6 +4,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from unittest.mock import patch
 
 import numpy as np
 import pyarrow as pa
@@ -113,6 +114,18 @@ def test_grade_keeps_rows_and_order_of_columns(spark):
     assert ordinal.grade(frame(spark, []), model, 2).collect() == []
 
 
+def test_repeated_rated_ids_go_before_the_driver(spark):
+    texts = ["good words here", "bad bad words", "fine text", "poor text here"]
+    data = [(k, t, "a") for k, t in enumerate(texts)]
+    marks = spark.createDataFrame([(k, k % 3) for k in range(4)], "doc_id long, mark int")
+    want = ordinal.fit(frame(spark, data), marks, F.col("mark"), 3)
+    more = [(1, f"zz other {k}", "a") for k in range(50)] + data + [(1, "zz more", "a")]
+    with patch.object(ordinal, "fit_arrays", wraps=ordinal.fit_arrays) as fitted:
+        got = ordinal.fit(frame(spark, more).coalesce(1), marks, F.col("mark"), 3)
+    assert len(fitted.call_args.args[2]) == 4
+    assert np.array_equal(got.weights, want.weights) and np.array_equal(got.thresholds, want.thresholds)
+
+
 def test_fit_without_ratings(spark):
     none = spark.createDataFrame([], "doc_id long, g int")
     model = ordinal.fit(frame(spark, rows()[:5]), none, F.col("g"), 3)

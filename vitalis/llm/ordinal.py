@@ -150,8 +150,8 @@ def fit(
     """Fit on at most ``most`` rated documents: those with the smallest seeded hash of their id.
 
     ``grade`` is an expression over the columns of ``ratings`` with values 0 .. classes - 1. Rows
-    without grade, id or document, and ids that occur more than once on either side beyond their
-    first, add nothing. Without any rated document every score is 0 and the tails are 1/2.
+    without grade, id or document add nothing; an id that occurs more than once has its lowest grade
+    and its smallest text. Without any rated document every score is 0 and the tails are 1/2.
     """
     rated = ratings.select(F.col(id_col).cast("long").alias("id"), grade.cast("int").alias("grade"))
     rated = rated.dropna().filter(F.col("grade").between(0, classes - 1)).groupBy("id").agg(F.min("grade").alias("grade"))
@@ -159,6 +159,7 @@ def fit(
     texts = fresh_columns(docs, id=id_col, text=text_col)
     texts = texts.select(F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     joined = texts.join(F.broadcast(rated), "id")  # at most ``most`` rows of 12 bytes
+    joined = joined.groupBy("id").agg(F.min("grade").alias("grade"), F.min("text").alias("text"))  # repeats go before anything is collected
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -169,8 +170,6 @@ def fit(
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("grade"), lists], names=["id", "grade", "slots"])
 
     table = joined.mapInArrow(sample, "id long, grade int, slots array<int>").toArrow().sort_by("id")
-    ids = np.asarray(table["id"])
-    table = table.filter(pa.array(np.r_[True, ids[1:] != ids[:-1]])) if len(ids) else table
     if not table.num_rows:
         return Ordinal(np.zeros(1 << BITS), np.zeros(classes - 1))
     lists = table["slots"].combine_chunks()
