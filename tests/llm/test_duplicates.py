@@ -164,19 +164,43 @@ def test_fingerprints_of_one_no_and_repeated_rows(spark):
     assert sorted((r["doc_id"] is None, r["near_next"]) for r in got) == [(False, 0.0), (False, 1.0), (True, 0.0)]
 
 
+def pieces(text):
+    """By the module's three patterns: a document's start, a line's start, the rest."""
+    out = re.findall(sketches.WORDS, text[: sketches.FIRST])
+    for line in text[sketches.FIRST :].split("\n"):
+        out += re.findall(sketches.FINE, line[: sketches.HEAD]) + re.findall(sketches.COARSE, line[sketches.HEAD :])
+    return out
+
+
+def test_short_documents_keep_pieces_too(spark):
+    words, rng = vocabulary(400), random.Random(5)
+    data = [(k, sentence(rng, words, 8 + k % 9), "a") for k in range(60)]
+    got = sketches.fingerprints(frame(spark, data), pieces=True).collect()
+    assert sum(r["near_edited"] > r["near_next"] for r in got) == len(data)
+
+
+def test_documents_of_every_length_split_alike(spark):
+    """One section, sections within the row, and sections dealt by a shuffle; equal arrays have no row."""
+    schema = "row long, pair int, expected double, a array<long>, b array<long>"
+    cases = [(n, 0, 0.5, list(range(n)), list(range(n // 2, n + n // 3))) for n in (1, 7, 60, 900, 5000)]
+    cases.append((8, 1, 0.5, [1, 2, 3], [1, 2, 3]))
+    got = {r["row"]: r["apart"] for r in sketches.differences(spark.createDataFrame(cases, schema), listed=False).collect()}
+    assert got == {n: n // 2 + n // 3 for n in (1, 7, 60, 900, 5000) if n // 2 + n // 3}
+
+
 def test_edits_inside_a_line_keep_the_other_pieces(spark):
     words = vocabulary(400)
     rng = random.Random(3)
     data = [(k, sentence(rng, words, 12 + 30 * k), "a") for k in range(12)]  # one line each
-    data += [(50, "".join(rng.choice("的是不了人我在有他这中大来上国") for _ in range(900)), "a"), (51, f"{rng.getrandbits(6000):x}", "a")]
+    data += [(50, "".join(rng.choice("的是不了人我在有他这中大来上国") for _ in range(9000)), "a"), (51, f"{rng.getrandbits(60000):x}", "a")]
     data += [(60, sentence(rng, words, 9000), "a"), (61, "z" * 500, "a"), (62, "", "a"), (63, None, "a")]
     got = {r["doc_id"]: r for r in sketches.fingerprints(frame(spark, data).repartition(4), pieces=True).collect()}
-    cut = lambda text: set(re.findall(sketches.PIECE, text))
+    cut = lambda text: set(pieces(text))
     share = lambda a, b: len(a & b) / len(a | b) if a | b else 1.0
     for k, (doc, text, _) in enumerate(data):
         text, following = text or "", data[(k + 1) % len(data)][1] or ""
         half = len(text) // 2
-        assert "".join(re.findall(sketches.PIECE, text)) == text and all(len(p) <= 96 for p in cut(text))
+        assert "".join(pieces(text)) == text and all(len(p) <= 400 for p in cut(text))
         assert got[doc]["near_edited"] == pytest.approx(share(cut(text), cut(text[: len(text) - half] + following[:half])), abs=1e-12)
         assert got[doc]["near_next"] == pytest.approx(share(cut(text), cut(following)), abs=1e-12)
         if doc < 61:

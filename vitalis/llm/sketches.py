@@ -12,27 +12,52 @@ from pyspark.sql import functions as F
 
 from vitalis.llm.common import fresh_columns, stage, width
 
-CELLS = 24  # of a fingerprint; larger sketches have this many times a power of two
-SECTION = 16  # digests that one sketch of a long document takes on average
-SPLIT = 64  # sections that a document is cut into within its row; longer ones are dealt by a shuffle
-PEELS = 16  # rounds of peeling before a sketch counts as failed
+CELLS = 24  # of a fingerprint
+SECTION = 4  # digests of each side that one sketch of a comparison takes on average
+SPLIT = 256  # sections that a document is cut into within its row; longer ones are dealt by a shuffle
+PEELS = 12  # rounds of peeling before a sketch counts as failed
 _LEAST = -(2**63)
 
-
 _ENDS = "dhlptxDHLPTX048.!?;:"  # a piece may end after a word that ends with one of these
 _BANDS = "".join(rf"\u{b:02X}{low}0-\u{b:02X}{low}F" for b in range(1, 256) if not 0xD8 <= b <= 0xDF for low in "26")
-#: A piece of a line: 20 to 64 characters up to the first word of a certain ending; without one, up to a character of
-#: certain code points (text without spaces); without any, 96 characters or what is left.
-PIECE = rf"[^\n]{{19,62}}?[{_ENDS}][ \t]|[^\n]{{19,94}}?(?:[{_ENDS}]|(?![\x00-\x7F])[{_BANDS}])|[^\n]{{1,96}}"
+
+
+def _piece(least: int, wide: int, most: int) -> str:
+    """A piece of a line: ``least`` to ``wide`` characters up to the first word of a certain ending; without one, up to a
+    character of certain code points (text without spaces); without any, ``most`` characters or what is left."""
+    return (
+        rf"[^\n]{{{least - 1},{wide - 2}}}?[{_ENDS}][ \t]|[^\n]{{{least - 1},{most - 2}}}?(?:[{_ENDS}]|(?![\x00-\x7F])[{_BANDS}])|[^\n]{{1,{most}}}"
+    )
+
+
+FIRST, HEAD = 96, 128  # characters of a document cut into a few words each; of a line cut finely; what follows is cut coarsely
+WORDS = r"[^\n]{7,22}?[ \t]|[^\n]{1,24}"
+FINE, COARSE = _piece(20, 64, 96), _piece(100, 300, 400)
 
 
 def digests(text: Column, pieces: bool = False) -> Column:
     """The distinct digests of a text's paragraphs (lines that aren't empty), or of their pieces.
 
     The cuts between pieces depend on the characters around them, so that an edit inside a line
-    changes the pieces it touches and few after them.
+    changes the pieces it touches and few after them. Short documents have small pieces, as documents and lines begin with them.
     """
-    parts = F.regexp_extract_all(text, F.lit(PIECE), F.lit(0)) if pieces else F.filter(F.split(text, "\n", -1), lambda p: p != "")
+
+    def lines(text: Column) -> Column:
+        return F.filter(F.split(text, "\n", -1), lambda p: p != "")
+
+    def pieces_of(text: Column, pattern: str) -> Column:
+        return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+
+    def cut(line: Column) -> Column:
+        return F.concat(pieces_of(line.substr(1, HEAD), FINE), pieces_of(line.substr(HEAD + 1, 2**31 - 1), COARSE))
+
+    def parts(text: Column) -> Column:
+        if not pieces:
+            return lines(text)
+        rest = F.flatten(F.transform(lines(text.substr(FIRST + 1, 2**31 - 1)), cut))
+        return F.concat(pieces_of(text.substr(1, FIRST), WORDS), rest)
+
+    parts = F.element_at(F.transform(F.array(text), parts), 1)  # a lambda's argument is computed once
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
 
 
@@ -109,7 +134,7 @@ def _signed(found: str, sign: int) -> Column:
 
 def differences(pairs: DataFrame, listed: bool = True) -> DataFrame:
     """Per (row, pair): the digests only in array ``a`` (``removed``) and only in ``b`` (``added``).
-    Without ``listed``, how many both are (``apart``).
+    Without ``listed``, how many both are (``apart``). Pairs without any have no row.
 
     ``expected`` is the share of digests that may differ, which sets the first sketch's size. A
     pair of many digests is split by hash into sections with a sketch each, so that work grows in
@@ -121,21 +146,37 @@ def differences(pairs: DataFrame, listed: bool = True) -> DataFrame:
     def section_of(key: Column | str) -> Column:
         return F.pmod(F.xxhash64(key, F.lit(7)), F.col("sections")).cast("int")
 
-    def part(s: Column) -> Column:
-        return F.struct(s.alias("section"), *(F.filter(c, lambda k: section_of(k) == s).alias(c) for c in "ab"))
+    def chosen(place: Column, rule) -> list[Column]:
+        return [F.filter(place[c], rule).alias(c) for c in "ab"]
+
+    def parts(wide: Column) -> Column:
+        """Sections in two steps: first groups of ``wide`` sections, then the sections of each group."""
+
+        def sections(group: Column, g: Column) -> Column:
+            last = F.least(F.col("sections"), (g + 1) * wide) - 1
+            return F.transform(F.sequence(g * wide, last), lambda s: F.struct(s.alias("section"), *chosen(group, lambda e: e["s"] == s)))
+
+        dealt = F.struct(*(F.transform(c, lambda k: F.struct(k.alias("k"), section_of(k).alias("s"))).alias(c) for c in "ab"))
+        groups = F.transform(F.array(dealt), lambda d: F.transform(
+            F.sequence(F.lit(0), F.ceil(F.col("sections") / wide).cast("int") - 1),
+            lambda g: F.struct(g.alias("g"), *chosen(d, lambda e: F.floor(e["s"] / wide) == g)),
+        ))
+        return F.flatten(F.transform(F.element_at(groups, 1), lambda x: sections(x, x["g"])))
 
+    keys = [F.transform(f"part.{c}", lambda e: e["k"]).alias(c) for c in "ab"]
     small = pairs.filter("sections = 1").select("row", "pair", F.lit(0).alias("section"), "expected", "a", "b")
-    middle = pairs.filter(f"sections BETWEEN 2 AND {SPLIT}")
-    middle = middle.select("row", "pair", "expected", F.inline(F.transform(F.sequence(F.lit(0), F.col("sections") - 1), part)))
-    small = small.unionByName(middle)
+    middle = pairs.filter(f"sections BETWEEN 2 AND {SPLIT}").withColumn("wide", F.ceil(F.sqrt("sections")).cast("int"))
+    middle = middle.select("row", "pair", "expected", F.explode(parts(F.col("wide"))).alias("part"))
+    small = small.unionByName(middle.select("row", "pair", "part.section", "expected", *keys))
     sides = F.concat(*(_marked(c, s) for s, c in enumerate("ab")))
     large = pairs.filter(f"sections > {SPLIT}").select("row", "pair", "expected", "sections", F.explode(sides).alias("e"))
     section = section_of("e.k")
     large = large.groupBy("row", "pair", section.alias("section"), "expected").agg(
-        *(F.collect_list(F.when(F.col("e.s") == s, F.col("e.k"))).alias(c) for s, c in enumerate("ab"))
+        *(F.sort_array(F.collect_list(F.when(F.col("e.s") == s, F.col("e.k")))).alias(c) for s, c in enumerate("ab"))
     )
-    first = F.greatest(F.lit(0), F.ceil(F.log2((F.size("a") + F.size("b")) * F.col("expected") * 1.5 / CELLS + F.lit(1e-9))))
-    work = small.unionByName(large).withColumn("size", (F.lit(CELLS) * F.pow(F.lit(2), F.coalesce(first, F.lit(0)))).cast("int"))
+    differ = (F.size("a") + F.size("b")) * F.col("expected")
+    first = (F.ceil((differ * 2 + 2) / 3) * 3).cast("int")
+    work = small.unionByName(large).filter("a <> b").withColumn("size", first)  # equal sections cancel out whole
     found = F.col("peeled.found") if listed else F.size("peeled.found").alias("found")
     done = None
     while True:
@@ -206,7 +247,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     found = differences(known.select("row", F.inline(each)), listed=False)
     counted = found.groupBy("row").agg(*(F.sum(F.when(F.col("pair") == p, F.col("apart"))).alias(f"apart{p}") for p in range(2)))
-    joined = known.join(counted, "row")
+    joined = known.join(counted, "row", "left").fillna(0, ["apart0", "apart1"])
 
     def alike(other: str, apart: str) -> Column:
         both = F.size("own") + F.size(other)
