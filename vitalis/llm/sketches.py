@@ -30,16 +30,15 @@ def _piece(least: int, wide: int, most: int) -> str:
     )
 
 
-FIRST, HEAD = 96, 128  # characters of a document cut into a few words each; of a line cut finely; what follows is cut coarsely
-WORDS = r"[^\n]{7,22}?[ \t]|[^\n]{1,24}"
-FINE, COARSE = _piece(20, 64, 96), _piece(100, 300, 400)
+FIRST = 96  # characters of a document that are cut into a few words each; what follows is cut more coarsely
+WORDS, LONGER = r"[^\n]{7,22}?[ \t]|[^\n]{1,24}", _piece(140, 300, 400)
 
 
 def digests(text: Column, pieces: bool = False) -> Column:
     """The distinct digests of a text's paragraphs (lines that aren't empty), or of their pieces.
 
     The cuts between pieces depend on the characters around them, so that an edit inside a line
-    changes the pieces it touches and few after them. Short documents have small pieces, as documents and lines begin with them.
+    changes the pieces it touches and few after them. Short documents have small pieces, as documents begin with them.
     """
 
     def lines(text: Column) -> Column:
@@ -48,14 +47,10 @@ def digests(text: Column, pieces: bool = False) -> Column:
     def pieces_of(text: Column, pattern: str) -> Column:
         return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-    def cut(line: Column) -> Column:
-        return F.concat(pieces_of(line.substr(1, HEAD), FINE), pieces_of(line.substr(HEAD + 1, 2**31 - 1), COARSE))
-
     def parts(text: Column) -> Column:
         if not pieces:
             return lines(text)
-        rest = F.flatten(F.transform(lines(text.substr(FIRST + 1, 2**31 - 1)), cut))
-        return F.concat(pieces_of(text.substr(1, FIRST), WORDS), rest)
+        return F.concat(pieces_of(text.substr(1, FIRST), WORDS), pieces_of(text.substr(FIRST + 1, 2**31 - 1), LONGER))
 
     parts = F.element_at(F.transform(F.array(text), parts), 1)  # a lambda's argument is computed once
     return F.array_distinct(F.transform(parts, lambda p: F.xxhash64(p)))
