@@ -5,7 +5,7 @@ from unittest.mock import patch
 import pytest
 
 import __spark_entry__ as entry
-from vitalis.operators import models
+from vitalis.operators import models, staged
 
 D = "/root/testdata/sf0.001"
 
@@ -19,7 +19,6 @@ class Asked(Exception):
     [
         ("gbt_classifier", "fit_gbt", {"rounds": 150}), ("random_forest", "fit_forest", {"trees": 100}),
         ("feature_importance", "fit_forest", {"trees": 100}),
-        ("loso_accuracy_table", "loso_tune", {"trees": [2, 10, 20, 50, 100, 150, 300], "depths": range(2, 7)}),
     ],
 )
 def test_settings(spark, name, operator, wanted):
@@ -28,6 +27,12 @@ def test_settings(spark, name, operator, wanted):
     assert {k: fit.call_args.kwargs[k] for k in wanted} == wanted
 
 
+def test_loso_grid(spark):
+    with patch.object(staged, "loso_tune", side_effect=Asked) as tune, pytest.raises(Asked):
+        entry.queries()["loso_accuracy_table"](spark, D)
+    assert tune.call_args.kwargs == {"trees": [2, 10, 20, 50, 100, 150, 300], "depths": range(2, 7)}
+
+
 @pytest.mark.parametrize(
     ("name", "operator"),
     [("mlp_classifier", "fit_mlp"), ("lad_regression", "fit_lad"), ("linear_svc", "fit_linear_svc"), ("rbf_svc", "fit_rbf_svc"), ("logistic_elasticnet", "fit_logistic")],

@@ -6,7 +6,6 @@ make them. Inputs of iterative fits should be persisted or written first.
 
 from __future__ import annotations
 
-import itertools
 from collections import Counter
 from collections.abc import Callable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
@@ -193,42 +192,19 @@ def _fold_cells(train: DataFrame, test: DataFrame, fit: Callable[[DataFrame], Mo
     return [tuple(r) for r in pairs.collect()]
 
 
-def _loso_cells(
-    df: DataFrame, group: str, fits: Sequence[Callable[[DataFrame], Model]], parallelism: int
-) -> list[Counter]:
-    """Summed (truth, pred) counts per model under leave-one-group-out; folds are fitted side by side."""
-    folds = [(train, test) for _, train, test in logo_frames(df, group)]
-    jobs = [(i, train, test) for i in range(len(fits)) for train, test in folds]
-    sums = [Counter() for _ in fits]
-    with ThreadPoolExecutor(parallelism) as pool:
-        for (i, _, _), cells in zip(jobs, pool.map(lambda job: _fold_cells(job[1], job[2], fits[job[0]]), jobs)):
-            for truth, pred, n in cells:
-                sums[i][truth, pred] += n
-    return sums
-
-
 def loso_confusion(
     df: DataFrame, group: str, n_labels: int, fit: Callable[[DataFrame], Model], parallelism: int = 8
 ) -> DataFrame:
-    """Leave one group out, fit on the rest, predict it; the confusion matrix summed over the groups."""
-    (cells,) = _loso_cells(df, group, [fit], parallelism)
+    """Leave one group out, fit on the rest, predict it; the confusion matrix summed over the groups, which are fitted side by side."""
+    cells: Counter = Counter()
+    with ThreadPoolExecutor(parallelism) as pool:
+        for fold in pool.map(lambda parts: _fold_cells(parts[1], parts[2], fit), logo_frames(df, group)):
+            for truth, pred, n in fold:
+                cells[truth, pred] += n
     rows = [(t, p, cells[t, p]) for t in range(n_labels) for p in range(n_labels)]
     return df.sparkSession.createDataFrame(rows, "truth int, pred int, n bigint")
 
 
-def loso_tune(
-    df: DataFrame, group: str, trees: Sequence[int], depths: Sequence[int], seed: int = 42, parallelism: int = 8
-) -> DataFrame:
-    """Accuracy of balanced forests for each (trees, depth) under leave-one-group-out."""
-    grid = list(itertools.product(trees, depths))
-    fits = [lambda part, n=n, depth=depth: fit_forest(part, n, depth, True, seed) for n, depth in grid]
-    rows = [
-        (n, depth, sum(v for (t, p), v in cells.items() if t == p) / sum(cells.values()))
-        for (n, depth), cells in zip(grid, _loso_cells(df, group, fits, parallelism))
-    ]
-    return df.sparkSession.createDataFrame(rows, "n_estimators int, max_tree_depth int, accuracy double")
-
-
 def importances(model: Model, names: Sequence[str], df: DataFrame) -> DataFrame:
     rows = [(n, i, float(v)) for i, (n, v) in enumerate(zip(names, model.featureImportances.toArray()))]
     return df.sparkSession.createDataFrame(rows, "feature string, position int, importance double")

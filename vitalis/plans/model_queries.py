@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from vitalis.operators import evaluate, models, splits
+from vitalis.operators import evaluate, models, splits, staged
 from vitalis.operators.decompose import Pca, components_to_columns
 from vitalis.plans.core_queries import rounded
 from vitalis.plans.frames import FEATURES, LINE_KEY_SQL, keyed_lines
@@ -156,9 +156,9 @@ def feature_importance(spark, d):
 
 @query("loso_accuracy_table")
 def loso_accuracy_table(spark, d):
-    """The reference's 35 forests, each fitted once per left-out subject."""
+    """The 35 forests of the grid from one fit per left-out subject."""
     rows = _window_rows(spark, d)
-    return rounded(models.loso_tune(rows, "subject", trees=[2, 10, 20, 50, 100, 150, 300], depths=range(2, 7)), 6, "accuracy")
+    return rounded(staged.loso_tune(rows, "subject", trees=[2, 10, 20, 50, 100, 150, 300], depths=range(2, 7)), 6, "accuracy")
 
 
 @query("training_history", "select true as never_rises, true as starts_at_zero from lineitem having count(*) > 0")
