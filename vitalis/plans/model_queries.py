@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from vitalis.operators import evaluate, models, splits, staged
+from vitalis.operators import boosting, evaluate, models, splits, staged
 from vitalis.operators.decompose import Pca, components_to_columns
 from vitalis.plans.core_queries import rounded
 from vitalis.plans.frames import FEATURES, LINE_KEY_SQL, keyed_lines
@@ -80,6 +80,34 @@ def gbt_classifier(spark, d):
     return _matrix(models.fit_gbt(train, learning_rate=0.5, rounds=150, depth=3), test, 2)
 
 
+def _spenders(spark, d):
+    """One row per customer with orders: balance, nation and orders, labelled by whether they spend more than 1.2 million."""
+    orders = table(spark, d, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).cast("double").alias("n_orders"), F.max("o_totalprice").alias("dearest"), F.sum("o_totalprice").alias("spent")
+    )
+    people = table(spark, d, "customer").select("c_custkey", "c_acctbal", F.col("c_nationkey").cast("double").alias("nation"))
+    rows = people.join(orders, "c_custkey").withColumn("label", (F.col("spent") > 1_200_000).cast("double"))
+    return models.assemble(rows, ["c_acctbal", "nation", "n_orders", "dearest"]).select("c_custkey", "features", "label")
+
+
+@query("boosting_grid")
+def boosting_grid(spark, d):
+    """The 81 combinations of least gain, row share, column share and depth, five folds each, in one fit."""
+    folded = durable(splits.kfold(_spenders(spark, d), ["c_custkey"], "label", 5, "boosting"))
+    grid = {"gamma": [0.5, 1, 5], "row_share": [0.6, 0.8, 1.0], "column_share": [0.6, 0.8, 1.0], "depth": [3, 4, 5]}
+    _, scores = boosting.boosted_grid(folded, ["c_custkey"], "fold", 5, grid, rounds=100, base=boosting.Setting(learning_rate=0.01))
+    return rounded(scores, 6, "accuracy")
+
+
+@query("boosting_stages")
+def boosting_stages(spark, d):
+    """Accuracy on one fold after 10 to 100 rounds of depth 5, for three learning rates, from one fit."""
+    folded = durable(splits.kfold(_spenders(spark, d), ["c_custkey"], "label", 5, "stages"))
+    base = boosting.Setting(depth=5)
+    _, scores = boosting.boosted_grid(folded, ["c_custkey"], "fold", 1, {"learning_rate": [0.01, 0.1, 0.5]}, rounds=100, base=base, stages=range(10, 101, 10))
+    return rounded(scores, 6, "accuracy")
+
+
 @query("mlp_classifier")
 def mlp_classifier(spark, d):
     lines = keyed_lines(spark, d).select("row_key", "l_linestatus", "l_discount", "l_tax")

@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,20 @@ def build_session(master: str = "local[8]", app: str = "vitalis", **conf: str) -
     return builder.getOrCreate()
 
 
+@contextmanager
+def configured(spark: SparkSession, **values: str):
+    """Session settings that hold inside the block (dots as double underscores) and are put back after it."""
+    named = {k.replace("__", "."): v for k, v in values.items()}
+    before = {k: spark.conf.get(k, None) for k in named}
+    try:
+        for k, v in named.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
 
