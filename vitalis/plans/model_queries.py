@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from vitalis.operators import boosting, evaluate, models, splits, staged
+from vitalis.operators import boosting, evaluate, kernels, models, splits, staged
 from vitalis.operators.decompose import Pca, components_to_columns
 from vitalis.plans.core_queries import rounded
 from vitalis.plans.frames import FEATURES, LINE_KEY_SQL, keyed_lines
@@ -154,6 +154,26 @@ def grid_search_table(spark, d):
     return rounded(scores, 6, "accuracy")
 
 
+def _folded_vectors(spark, d, seed):
+    rows = models.assemble(table(spark, d, "embeddings"), ["embedding"])
+    rows = rows.withColumn("label", (F.col("label") < 5).cast("double")).select("vec_id", "features", "label")
+    return durable(splits.kfold(rows, ["vec_id"], "label", 5, seed))
+
+
+@query("svc_grid_50")
+def svc_grid_50(spark, d):
+    """Five penalties, five widths, both kernels, five folds."""
+    grid = {"c": [0.1, 1, 10, 100, 1000], "gamma": [10, 1, 0.1, 0.01, 0.001], "kernel": ["linear", "rbf"]}
+    return rounded(kernels.svc_grid(_folded_vectors(spark, d, "svc50"), "fold", 5, grid)[1], 6, "accuracy")
+
+
+@query("svc_grid_16")
+def svc_grid_16(spark, d):
+    """Four penalties, four widths, the rbf kernel, five folds."""
+    grid = {"c": [0.1, 1, 10, 100], "gamma": [1, 0.1, 0.01, 0.001], "kernel": ["rbf"]}
+    return rounded(kernels.svc_grid(_folded_vectors(spark, d, "svc16"), "fold", 5, grid)[1], 6, "accuracy")
+
+
 def _window_rows(spark, d):
     from vitalis.operators.signal import FEATURE_NAMES
     from vitalis.plans.signal_queries import feature_table
