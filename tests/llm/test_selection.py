@@ -370,3 +370,34 @@ def test_pipeline_stages(spark):
             before = {m for r in docs.collect() for m in re.findall(r"[\w.]+@[\w.]+\w", r["text"] or "")}
             assert before and not before & {m for r in after.collect() for m in re.findall(r"[\w.]+@[\w.]+\w", r["text"] or "")}
         docs = after
+
+
+NUMBERS = {  # notations of one number each, and the digits that stay
+    "+1": ["+1 (204) 555-7713", "+1-204-555-7713", "+1.204.555.7713", "+12045557713", "+1 204 555 7713", "(204) 555-7713", "(204)555-7713", "204-555-7713",
+           "204.555.7713", "(204) 555 7713"],
+    "+44": ["+44 20 7946 0958", "+442079460958", "+44 (20) 7946 0958", "+44-20-7946-0958", "+44.20.7946.0958", "+44 (0)20 7946 0958", "+4420 79460958"],
+    "+1 ": ["+1 223 344 5566", "+12233445566", "+1.223.344.5566", "+1(223)344-5566", "223-344-5566"],
+    "+358": ["+358 40 123 4567", "+358401234567", "+358-40-1234567", "+358 (40) 1234567"],
+    "+7": ["+7 495 123 45 67", "+74951234567", "+7 (495) 123-45-67"],
+}
+
+
+@pytest.mark.parametrize("code", NUMBERS)
+def test_one_number_has_one_pseudonym(code):
+    own, bare = set(), code.strip()
+    for text in NUMBERS[code]:
+        new, found = pseudonyms.replace(f"call {text}, please", queries.PSEUDONYM_KEY)
+        assert found == 1 and pseudonyms.replace(new, queries.PSEUDONYM_KEY, undo=True) == (f"call {text}, please", 1)
+        new = new.removeprefix("call ").removesuffix(", please")
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", text) and new != text  # the notation stays
+        if text[0] == "+":
+            assert new.startswith(bare)
+            new = new[len(bare) :].replace("(0)", "")
+        own.add(re.sub(r"\D", "", new))
+    assert len(own) == 1
+
+
+def test_case_of_mail_addresses_does_not_part_them():
+    made = [pseudonyms.replace(t, queries.PSEUDONYM_KEY)[0] for t in ("Jane.Doe7@Example.com", "jane.doe7@example.com", "JANE.DOE7@EXAMPLE.com")]
+    assert len({m.lower() for m in made}) == 1 and made[2].split("@")[0].isupper() and made[0][0].isupper()
+    assert [pseudonyms.replace(m, queries.PSEUDONYM_KEY, undo=True)[0] for m in made][0] == "Jane.Doe7@Example.com"

@@ -114,12 +114,26 @@ def card(text: str, key: bytes, undo: bool = False) -> str | None:
             return _digits_into(text, digits + tail)
 
 
+#: Calling codes of one and two digits as assigned by E.164; all others have three.
+_CODES = {"1", "7"} | set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()
+)
+
+
 def phone(text: str, key: bytes, undo: bool = False) -> str:
-    """All digits after the country code."""
-    code = re.match(r"\+\d{1,3}(?=\D)", text)
-    head = code.group() if code else ""
-    digits = re.sub(r"\D", "", text[len(head) :])
-    return head + _digits_into(text[len(head) :], characters(digits, key, "phone", undo))
+    """All digits after the country code, which its own digits tell; a trunk zero in brackets stays.
+
+    Separators don't matter, nor whether a number is written with its country code.
+    """
+    digits = [k for k, c in enumerate(text) if c.isdigit()]
+    if text[0] == "+":
+        first = "".join(text[k] for k in digits[:3])
+        digits = digits[next((n for n in (1, 2) if first[:n] in _CODES), 3) :]
+        digits = [k for k in digits if text[k - 1 : k + 2] != "(0)"]
+    out = list(text)
+    for k, c in zip(digits, characters("".join(text[k] for k in digits), key, "phone", undo)):
+        out[k] = c
+    return "".join(out)
 
 
 def address(text: str, key: bytes, undo: bool = False) -> str:
@@ -179,11 +193,17 @@ def date(text: str, key: bytes, undo: bool = False) -> str | None:
     return parts[1].join(values[i] for i in range(3))
 
 
+def _any_case(text: str, key: bytes, tweak: str, undo: bool) -> str:
+    """Permuted as if in lower case, then in the text's own case: spellings of one value stay linked."""
+    new = characters(text.lower(), key, tweak, undo)
+    return "".join(n.upper() if "A" <= c <= "Z" else n for n, c in zip(new, text))
+
+
 def mail(text: str, key: bytes, undo: bool = False) -> str:
-    """The part before the at sign and the domain's first label."""
+    """The part before the at sign and the domain's first label; case doesn't matter and stays."""
     local, _, domain = text.partition("@")
     label, dot, rest = domain.partition(".")
-    return f"{characters(local, key, 'mail', undo)}@{characters(label, key, 'domain', undo)}{dot}{rest}"
+    return f"{_any_case(local, key, 'mail', undo)}@{_any_case(label, key, 'domain', undo)}{dot}{rest}"
 
 
 def secret(text: str, key: bytes, undo: bool = False) -> str:
@@ -197,7 +217,8 @@ def secret(text: str, key: bytes, undo: bool = False) -> str:
 KINDS: dict[str, tuple[str, Callable[[str, bytes, bool], str | None]]] = {
     "mail": (r"(?<![\w.+-])[A-Za-z0-9][\w.+-]*@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}", mail),
     "secret": (r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128})(?![0-9A-Za-z])", secret),
-    "phone": (r"\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}-\d{3}-\d{4}(?![\d-])", phone),
+    "phone": (r"\+\d{1,3}[ .-]?(?:\(0\)[ .-]?)?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}(?!\d)|(?<![\d(])\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
+              r"|(?<![\d.-])\d{3}(?:-\d{3}-|\.\d{3}\.| \d{3}-)\d{4}(?![\d-]|\.\d)", phone),
     "address": (r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\d|\.\d)", address),
     "card": (r"(?<![\d.-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){3}(?:[ -]\d{3})?|\d{4}[ -]\d{6}[ -]\d{4,5}|\d{6}[ -]\d{13})(?![\d])", card),
     "social": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", social),
