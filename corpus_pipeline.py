@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalis.llm import mixing, near_duplicates, ordinal, packing, pseudonyms, queries
-from vitalis.llm.common import stage
+from vitalis.llm.common import stage, word_count
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,15 +24,28 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group; of rows that share an id one stays. Rows
-    without id and empty texts stay."""
-    found = near_duplicates.near_duplicates(docs)
-    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    repeated = stage(repeated, "repeated-ids")
-    gone = found.filter("NOT kept").select("doc_id").unionByName(repeated)
-    single = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    first = docs.join(repeated.join(found.filter("kept"), "doc_id", "left_semi"), "doc_id", "left_semi")
-    return single.unionByName(first.dropDuplicates(["doc_id"]).select(*docs.columns))
+    """One document of each group, the one with the smallest id. Rows without id and texts without words stay.
+
+    Texts that share an id are documents of their own: each stays unless its own text is linked, ties going to
+    the smaller hash of the text. Of rows with one id and one text the first in JSON order stays.
+    """
+    repeated = docs.filter("doc_id IS NOT NULL").groupBy("doc_id").count().filter("count > 1")
+    repeated = stage(repeated.select("doc_id", F.lit(True).alias("__again")), "repeated-ids")
+    own = F.xxhash64("doc_id", "text").bitwiseOR(F.lit(-(2**63)))  # negative, for the texts of repeated ids only
+    marked = docs.join(repeated, "doc_id", "left").withColumn("__own", F.when(F.col("__again"), own).otherwise(F.col("doc_id")))
+    found = near_duplicates.near_duplicates(marked.select("__own", "text"), "__own").filter("__own IS NOT NULL")
+    names = marked.filter("__again").select("__own", F.col("doc_id").alias("__name")).distinct()
+    place = F.struct(F.coalesce("__name", "__own").alias("name"), F.col("__own").alias("own"))
+    found = stage(found.join(names, "__own", "left").select("__own", "component_id", place.alias("__place")), "named-components")
+    first = found.groupBy("component_id").agg(F.min("__place").alias("__first"))
+    gone = stage(found.join(first, "component_id").filter("__place <> __first").select("__own"), "linked-documents")
+    left = marked.join(gone, "__own", "left_anti")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    wordless = F.coalesce(word_count("text") == 0, F.lit(True))
+    plain = left.filter(F.col("__again").isNull() | wordless).select(*columns)
+    row = F.struct(*columns)
+    once = left.filter(F.col("__again") & ~wordless).groupBy("__own").agg(F.min_by(row, F.to_json(row)).alias("__row"))
+    return plain.unionByName(once.select(*(F.col(f"__row.`{c}`") for c in docs.columns)))
 
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
