@@ -261,6 +261,49 @@ def test_nearest(spark):
     assert got[1000] == [(1, 1001, 5.0)]  # fewer candidates: all of them
 
 
+def test_thousands_of_equal_vectors(spark):
+    """They are folded into one before tiles meet, so no tile sees more than k + 1 of their ids."""
+    rng = np.random.default_rng(8)
+    x = np.round(rng.normal(size=(5400, 8)), 2)
+    x[200:5200] = x[200]
+    df = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(6)
+    rows_ = neighbours.usable(df, "vec_id", "embedding")
+    made = neighbours.folded(rows_, 21)
+    assert made.count() == 401 and made.agg(F.max(F.size("ids"))).first()[0] == 21
+    got = defaultdict(list)
+    for r in neighbours.nearest(df, F.col("id") % 100 == 0, k=20).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append((r["rank"], r["vec_id"], r["score"]))
+    assert set(got) == set(range(0, 5400, 100))
+    for q in range(0, 5400, 100):
+        row = np.cumsum(x[q] * x, axis=1)[:, -1]
+        want = [k for k in np.lexsort((np.arange(5400), -row)) if k != q][:20]
+        assert got[q] == [(i + 1, k, row[k]) for i, k in enumerate(want)]
+
+
+def test_tied_survivors_come_in_bounded_runs(monkeypatch):
+    """Distinct vectors that all score alike survive together; they are multiplied a run at a time."""
+    n, dim = 600, 16
+    x = np.zeros((n, dim))
+    x[:, 0], x[:, 1] = 1.0, np.arange(n) + 1.0  # the queries don't look at the second component
+    q = np.zeros((40, dim))
+    q[:, 0] = 1.0 + np.arange(40)
+
+    def tile(vectors, side):
+        batch = pa.RecordBatch.from_pydict({"ids": [[k] for k in range(len(vectors))], "vector": vectors.tolist()})
+        with patch.object(neighbours, "TaskContext") as context:
+            context.get.return_value.partitionId.return_value = 0
+            (row,) = pa.Table.from_batches(neighbours._tiles(10_000)(iter([batch]))).to_pylist()
+        return neighbours._Tile({**row, **{f"q_{k}": v for k, v in row.items()}}, side)
+
+    monkeypatch.setattr(neighbours, "RUN", 50 * dim)
+    found, largest = defaultdict(list), 0
+    for i, j, s in neighbours.nearest_in_tiles(tile(q, "q_"), tile(x, ""), 5, np.full(40, -np.inf)):
+        largest = max(largest, len(i))
+        for a, b, c in zip(i.tolist(), j.tolist(), s.tolist()):
+            found[a].append((c, b))
+    assert largest <= 50 and all(len(found[a]) >= 5 and {c for c, _ in found[a]} == {1.0 + a} for a in range(40))
+
+
 def test_nearest_of_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert neighbours.nearest(df, F.col("id") % 20 == 0).collect() == []
@@ -269,7 +312,7 @@ def test_nearest_of_empty_table(spark):
 def test_error_bounds_hold():
     rng = np.random.default_rng(0)
     x = rng.normal(size=(64, 40)) * rng.lognormal(0, 3, size=(64, 1))
-    batch = pa.RecordBatch.from_pydict({"id": list(range(64)), "vector": x.tolist()})
+    batch = pa.RecordBatch.from_pydict({"ids": [[k] for k in range(64)], "vector": x.tolist()})
     from unittest.mock import patch
 
     with patch.object(neighbours, "TaskContext") as context:
