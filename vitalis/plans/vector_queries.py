@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vitalis.operators import splits, vectors
+from vitalis.operators import ivf, splits, vectors
 from vitalis.plans.core_queries import rounded
 from vitalis.plans.registry import query, table
-from vitalis.session import scratch_path
+from vitalis.session import durable, scratch_path
 
 
 def checksum(vector: str):
@@ -81,12 +81,41 @@ def vector_topk_filtered(spark, d):
     return rounded(hits, 5, "score")
 
 
+@query("vector_topk_ivf")
+def vector_topk_ivf(spark, d):
+    """Approximate neighbours of the query set from an inverted file, with the recall measured when it was tuned."""
+    rows = table(spark, d, "embeddings")
+    index = ivf.IvfIndex.build(_as_vectors(rows)).tune(10)
+    return index.search(_as_queries(rows), 10, skip_same=True).withColumn("measured_recall", F.lit(index.recall))
+
+
+@query(
+    "vector_ivf_recall",
+    """
+    select count(*) as n_hits, true as reaches_recall, true as scores_are_exact from
+      (select q.vec_id, row_number() over (partition by q.vec_id order by v.vec_id) as r from embeddings q, embeddings v
+       where q.vec_id % 20 = 0 and q.vec_id <> v.vec_id) where r <= 10
+    """,
+)
+def vector_ivf_recall(spark, d):
+    """Against the exact search over the whole query set: 0.9 of the true neighbours, and the same scores."""
+    rows = table(spark, d, "embeddings")
+    found = durable(ivf.IvfIndex.build(_as_vectors(rows)).tune(10).search(_as_queries(rows), 10, skip_same=True))
+    exact = durable(vectors.search(_as_queries(rows), _as_vectors(rows), 10, skip_same=True))
+    recall = ivf.recall_of(found, exact)
+    both = found.join(exact.select("query_id", "id", F.col("score").alias("true_score")), ["query_id", "id"])
+    same = both.agg(F.max(F.abs(F.col("score") - F.col("true_score")))).first()[0]
+    return found.agg(F.count(F.lit(1)).alias("n_hits")).select(
+        "n_hits", F.lit(bool(recall >= 0.9)).alias("reaches_recall"), F.lit(bool(same < 1e-6)).alias("scores_are_exact")
+    )
+
+
 @query("vector_topk_lsh")
 def vector_topk_lsh(spark, d):
     """Approximate neighbours of the query set; recall against the exact search is tested."""
     rows = table(spark, d, "embeddings")
     dim = len(rows.select("embedding").first()[0])
-    return rounded(vectors.search_approx(_as_queries(rows), _as_vectors(rows), 10, dim, skip_same=True), 5, "score")
+    return rounded(vectors.search_approx(_as_queries(rows), _as_vectors(rows), 10, dim, tables=24, skip_same=True), 5, "score")
 
 
 @query(
