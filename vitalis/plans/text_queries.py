@@ -280,12 +280,18 @@ def _weights_sql(name: str, grams: str, key: str) -> str:
       (select {key}, term, count(*) * max(idf) as x from {grams} join v using (term) group by {key}, term))"""
 
 
-_FITTED: dict[tuple[str, str], textprep.TfIdf] = {}
+_FITTED: dict[tuple, textprep.TfIdf] = {}
+
+
+def _version(spark, d) -> tuple:
+    """The application and the files of a folder's documents with their lengths and times."""
+    files = table(spark, d, "documents").select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return spark.sparkContext.applicationId, *sorted(map(tuple, files.collect()))  # a row per file
 
 
 def _model(spark, d):
-    """The vocabulary of a folder's documents, fitted once in an application and used by six queries."""
-    key = (spark.sparkContext.applicationId, d)
+    """The vocabulary of a folder's documents, fitted once in an application for the same files and used by six queries."""
+    key = _version(spark, d)
     if key not in _FITTED:
         _FITTED[key] = textprep.TfIdf.fit(table(spark, d, "documents"), "text", (1, 3), STOP_WORDS, 0.75, FEATURES)
     return _FITTED[key]
@@ -297,7 +303,7 @@ def _model(spark, d):
 )
 def tfidf_vocab(spark, d):
     """This one always fits anew."""
-    _FITTED.pop((spark.sparkContext.applicationId, d), None)
+    _FITTED.pop(_version(spark, d), None)
     return rounded(_model(spark, d).vocabulary_frame(table(spark, d, "documents")), 6, "idf")
 
 
