@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from vitalis.operators import signal
 from vitalis.plans.core_queries import rounded
-from vitalis.plans.frames import SENSOR_SQL, sensor_samples
+from vitalis.plans.frames import SENSOR_SQL, activity, sensor_samples
 from vitalis.plans.registry import query, table
-from vitalis.session import scratch_path
+from vitalis.session import configured, scratch_path
+from vitalis.streaming import count_windows as counted
 from vitalis.streaming import features, index
 
 KEY = ["user_id", "subject", "activity"]
@@ -172,6 +173,34 @@ def stream_window_features(spark, d):
     return rounded(lines, 6, "mean_x", "std_x", "energy_x")
 
 
+@query("stream_count_windows", f"""select user_id, subject, activity, w as "window", true as same_as_batch from ({_WINDOWS_SQL}) group by all""")
+def stream_count_windows(spark, d):
+    """Samples replayed as files, up to a slice late, give the windows and features of the batch table."""
+    samples = table(spark, d, "events").select(
+        "user_id", (F.col("user_id") % 10).alias("subject"), activity().alias("activity"), F.col("ts").cast("timestamp").alias("ts"), "event_id",
+        F.col("value").alias("accx"), (F.hour("ts") + F.minute("ts") / 60.0).alias("accy"),
+    )
+    folder, path, state = (scratch_path(spark, f"count-windows-{n}") for n in ("in", "out", "state"))
+    delay = counted.replay(samples, folder, "ts", "event_id", 6)
+    last = samples.agg(F.max("ts").alias("ts")).select("ts")  # a sample of nobody, far ahead, lets the watermark pass all others
+    end = last.select(F.lit(-1).cast(samples.schema["user_id"].dataType).alias("user_id"), F.lit(-1).cast(samples.schema["subject"].dataType).alias("subject"),
+                      F.lit("end").alias("activity"), (F.col("ts") + F.expr("interval 10 years")).alias("ts"), F.lit(-1).cast(samples.schema["event_id"].dataType).alias("event_id"),
+                      F.lit(0.0).alias("accx"), F.lit(0.0).alias("accy"))
+    end.select(samples.columns).write.mode("append").parquet(folder)
+    stream = spark.readStream.schema(samples.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    with configured(spark, spark__sql__streaming__stateStore__providerClass=counted.PROVIDER):
+        made = counted.count_window_features(stream, KEY, "ts", "event_id", "accx", "accy", 256.0, LENGTH, LENGTH, delay)
+        features.run_to_table(made, path, state)
+    streamed = spark.read.schema(made.schema).parquet(path)
+    batch = feature_table(spark, d)
+    both = streamed.join(batch.select(*KEY, "window", *[F.col(n).alias(f"b_{n}") for n in signal.FEATURE_NAMES]), [*KEY, "window"], "full")
+    same = F.lit(True)
+    for n in signal.FEATURE_NAMES:
+        a, b = (F.when(~F.isnan(c), F.col(c)) for c in (n, f"b_{n}"))
+        same = same & F.coalesce(F.abs(a - b) <= 1e-6 * (1 + F.abs(b)), a.isNull() & b.isNull())
+    return both.select(*KEY, "window", same.alias("same_as_batch"))
+
+
 @query(
     "stream_index_documents",
     "select doc_id, true as same_as_batch from documents where length(trim(text, chr(32) || chr(9) || chr(10) || chr(13))) > 0",
