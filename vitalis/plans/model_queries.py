@@ -6,8 +6,9 @@ import numpy as np
 from pyspark.ml.classification import LogisticRegression
 from pyspark.sql import functions as F
 
-from vitalis.operators import boosting, evaluate, kernels, models, splits, staged
+from vitalis.operators import boosting, descent, evaluate, kernels, models, scale, splits, staged
 from vitalis.operators.decompose import Pca, components_to_columns
+from vitalis.operators.wide import wide_pca
 from vitalis.plans.core_queries import rounded
 from vitalis.plans.frames import FEATURES, LINE_KEY_SQL, keyed_lines
 from vitalis.plans.registry import query, table
@@ -62,6 +63,18 @@ def lad_regression(spark, d):
     return lines.agg(F.count(F.lit(1)).alias("n")).withColumn("not_worse_than_least_squares", F.lit(bool(lad <= ols)))
 
 
+@query("lad_candidates", "select cast(32 as bigint) as n_models, cast(1 as bigint) as n_chosen, true as near_reweighted from lineitem having count(*) > 0")
+def lad_candidates(spark, d):
+    """32 candidates in batches of 30 over 20 epochs; the chosen one is within 2 % of reweighted least squares on the validation rows."""
+    lines = _price_lines(spark, d, ["l_quantity", "l_discount", "l_tax"])
+    parts = durable(splits.split(lines, ["row_key"], {"train": 0.8, "valid": 0.2}, "candidates").select("features", "label", "split"))
+    train, valid = parts.filter("split = 'train'"), parts.filter("split = 'valid'")
+    fitted = descent.lad_candidates(train, valid)
+    reweighted = models.mean_absolute_error(models.fit_lad(train), valid)
+    made = fitted.table(lines).agg(F.count(F.lit(1)).alias("n_models"), F.sum(F.col("chosen").cast("bigint")).alias("n_chosen"))
+    return made.withColumn("near_reweighted", F.lit(bool(fitted.errors.min() <= 1.02 * reweighted)))
+
+
 def _status_parts(spark, d, seed):
     lines = keyed_lines(spark, d).select("row_key", "l_linestatus", *FEATURES)
     ready = models.index_labels(models.assemble(lines, FEATURES), "l_linestatus", ["F", "O"])
@@ -117,6 +130,19 @@ def mlp_classifier(spark, d):
     return _matrix(model, parts.filter("split = 'test'"), 2)
 
 
+@query("relu_net_history", "select cast(100 as bigint) as n_epochs, true as falls, true as above_zero from lineitem having count(*) > 0")
+def relu_net_history(spark, d):
+    """The loss table of a 2-10-10-2 network of rectifiers over 100 epochs on standardised columns."""
+    lines = keyed_lines(spark, d).select("row_key", "l_linestatus", "l_discount", "l_tax")
+    scaled = scale.StdScale.fit(lines, ["l_discount", "l_tax"]).transform(lines)
+    ready = models.index_labels(models.assemble(scaled, ["l_discount", "l_tax"]), "l_linestatus", ["F", "O"])
+    parts = splits.split(ready, ["row_key"], {"train": 0.8, "test": 0.2}, "relu").select("features", "label", "split")
+    net = descent.fit_relu_net(parts.filter("split = 'train'"), [2, 10, 10, 2])
+    losses = models.history(net.losses, lines)
+    first, last = F.min_by("loss", "epoch"), F.max_by("loss", "epoch")
+    return losses.agg(F.count(F.lit(1)).alias("n_epochs"), (last < first).alias("falls"), (F.min("loss") > 0).alias("above_zero"))
+
+
 def _vector_parts(spark, d, seed, binary):
     rows = models.assemble(table(spark, d, "embeddings"), ["embedding"])
     label = (F.col("label") < 5).cast("double") if binary else F.col("label").cast("double")
@@ -326,6 +352,31 @@ def pca_projection(spark, d):
     return spark.createDataFrame([(i, *map(bool, x)) for i, *x in lines], "component int, centred boolean, own_variance boolean, uncorrelated boolean")
 
 
+@query(
+    "pca_wide",
+    """
+    with x as (select vec_id, unnest(cast(embedding as double[])) as v, generate_subscripts(embedding, 1) as i from embeddings),
+    w as (select a.i, b.i as j, var_samp(a.v * b.v) as s from x a join x b using (vec_id) group by 1, 2)
+    select cast(5 as integer) as k, round(sum(s) + (select sum(s) from (select var_samp(v) as s from x group by i)), 6) as total_variance,
+           true as orthonormal, true as falling, true as projects_to_its_variances from w
+    """,
+)
+def pca_wide(spark, d):
+    """Five components of 4,160 columns: every product of two components, and the components."""
+    rows = table(spark, d, "embeddings").select(F.col("embedding").cast("array<double>").alias("e"))
+    products = F.flatten(F.transform("e", lambda a: F.transform(F.col("e"), lambda b: a * b)))
+    rows = durable(rows.select(F.concat(products, "e").alias("wide")))
+    pca = wide_pca(rows, "wide", 5, power=5)
+    projected = components_to_columns(pca.transform(rows, "wide").drop("wide"), "components", 5)
+    own = projected.agg(*[F.var_samp(f"pc{i}").alias(f"v{i}") for i in range(1, 6)]).first()
+    line = (
+        pca.k, pca.total_variance, bool(np.allclose(pca.components @ pca.components.T, np.eye(5), atol=1e-9)), bool((np.diff(pca.variances) <= 0).all()),
+        bool(np.allclose([own[f"v{i}"] for i in range(1, 6)], pca.variances, rtol=0.01)),
+    )
+    made = spark.createDataFrame([line], "k int, total_variance double, orthonormal boolean, falling boolean, projects_to_its_variances boolean")
+    return rounded(made, 6, "total_variance")
+
+
 @query(
     "pca_uncentered",
     """
