@@ -60,7 +60,7 @@ def test_grammar_round_trip(ids):
     assert (block.ids() == ids).all()
     begin = 0
     for k, n in enumerate(counts):
-        assert (block.ids(k) == ids[begin : begin + n]).all()  # random access
+        assert (block.document(k) == ids[begin : begin + n]).all()  # random access
         begin += n
     assert block.lengths.sum() == 0 or block.lengths.min() >= 2
 
@@ -146,3 +146,30 @@ def test_windows_fill_best_and_emit_fullest():
 def test_with_end():
     ids, offsets = with_end(np.array([4, 5, 6], dtype=np.uint32), np.array([0, 2, 2, 3]), 9)
     assert ids.tolist() == [4, 5, 9, 9, 6, 9] and offsets.tolist() == [0, 3, 4, 6]
+
+
+def test_documents_read_by_id(spark, tmp_path):
+    """Blocks tell which ids they can hold; a hot id and null ids are spread over shards and come back whole."""
+    data = rows() + [(7, f"one hot id {k}", "a") for k in range(400)] + [(None, f"no id {k}", "a") for k in range(100)]
+    path = str(tmp_path / "grammar")
+    repair.write_grammar(frame(spark, data), path, public_tokenizers.path(FILES[0]), end_id=0, block_tokens=500)
+    whole = repair.read_grammar(spark, path).collect()
+    assert len(whole) == len(data)
+    wanted = [0, 7, 14, 123456]
+    got = repair.read_documents(spark, path, wanted).collect()
+    key = lambda r: (r[0], list(r[1]))
+    assert sorted(map(key, got)) == sorted(key((r["doc_id"], r["ids"])) for r in whole if r["doc_id"] in wanted)
+    blocks = spark.read.parquet(path)
+    assert blocks.filter("low <= 7 AND high >= 7").select("shard").distinct().count() > 1
+    assert repair.read_documents(spark, path, []).collect() == []
+
+
+def test_no_frequent_pair_is_left():
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 40, 6000).astype(np.uint32)
+    ends = np.r_[np.arange(300, 6000, 300), 6000]
+    grammar = repair.compress(ids, ends, least=8)
+    symbols = grammar["symbols"].astype(np.int64)
+    pairs = symbols[:-1] * (1 << 20) + symbols[1:]
+    inside = (symbols[:-1] != grammar["stop"]) & (symbols[1:] != grammar["stop"])
+    assert np.unique(pairs[inside], return_counts=True)[1].max() < 2 * 8  # runs of one symbol count half their places

@@ -53,11 +53,12 @@ def _frequent(left: np.ndarray, right: np.ndarray, least: int, most: int) -> tup
     return best, own, same
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = 10, least: int = 8) -> dict[str, np.ndarray]:
+def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> dict[str, np.ndarray]:
     """Grammar of ``ids``; ``ends`` are the places just after each document's last id.
 
-    Up to ``rounds`` rounds replace pairs seen ``least`` times or more. All symbols stay below
-    65,536 where the ids leave room for rules, else they take 32 bits.
+    Rounds replace pairs seen ``least`` times or more, the most frequent first, until there are none or
+    no numbers for rules are left: all symbols stay below 65,536 where the ids leave room for rules, else they
+    take 32 bits and there are 2^20 rules at most. A rule costs as much as six symbols, so rarer pairs don't pay.
     """
     stop = int(ids.max()) + 1 if len(ids) else 1
     room = 65_536 - stop - 1
@@ -66,9 +67,7 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = 10, least: int = 8
     symbols[ends - 1] = stop  # each document has an end id, which the reader knows
     rules: list[np.ndarray] = []
     made, base = 0, stop + 1
-    for _ in range(rounds):
-        if made >= room or len(symbols) < 2:
-            break
+    while made < room and len(symbols) > 1:
         left, right = symbols[:-1], symbols[1:]
         best, own, same = _frequent(left, right, least, min(room - made, max(256, room // 4)))
         best = best[(left[best] != stop) & (right[best] != stop)]
@@ -85,8 +84,6 @@ def compress(ids: np.ndarray, ends: np.ndarray, rounds: int = 10, least: int = 8
         keep[at + 1] = False
         symbols = symbols[keep]
         made += len(best)
-        if len(at) < 0.01 * len(symbols):
-            break
     table = np.concatenate(rules).astype(np.int64) if rules else np.zeros((0, 2), dtype=np.int64)
     length = np.ones(base + made, dtype=np.int64)
     first = base
@@ -147,16 +144,30 @@ class Block:
             self._pool = pool, first, length
         return self._pool
 
-    def ids(self, k: int | None = None) -> np.ndarray:
-        """Ids of the block's k-th document, or of all."""
+    def ids(self) -> np.ndarray:
+        """Ids of all documents, one after the other."""
         pool, first, length = self._expanded()
-        symbols = self.symbols
-        if k is not None:
-            past = self.before[k + 1] if k + 1 < len(self.before) else len(symbols)
-            symbols = symbols[self.before[k] : past]
-        symbols = symbols.astype(np.int64)
+        symbols = self.symbols.astype(np.int64)
         return pool[ragged(first[symbols], length[symbols])]
 
+    def document(self, k: int) -> np.ndarray:
+        """Ids of the k-th document, from its own symbols and the rules they lead to only."""
+        past = int(self.before[k + 1]) if k + 1 < len(self.before) else len(self.symbols)
+        out = np.empty(int(self.tokens[k]), dtype=np.uint32)
+        base, at, lengths = self.stop + 1, 0, self.lengths
+        for symbol in self.symbols[self.before[k] : past].tolist():
+            stack = [(symbol, at)]  # a rule's length says where its second half begins
+            while stack:
+                s, place = stack.pop()
+                if s < base:
+                    out[place] = self.end_id if s == self.stop else s
+                    continue
+                a, b = self.rules[s - base].tolist()
+                half = 1 if a < base else int(lengths[a - base])
+                stack += [(a, place), (b, place + half)]
+            at += 1 if symbol < base else int(lengths[symbol - base])
+        return out
+
 
 def write_grammar(
     docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text",
@@ -166,14 +177,15 @@ def write_grammar(
 
     Range partitions make the shards; a shard's blocks are numbered and know how many ids of the
     shard stand before them. A null text counts as empty and still has its end id. Documents of
-    equal id follow each other by text; a null id comes first. An empty table makes no block. A
+    equal id follow each other by their texts' hashes; a null id comes first. An empty table makes no block. A
     document is never split over blocks; a block ends with the document that reaches
     ``block_tokens``. Other columns don't matter.
     """
     spark = docs.sparkSession
     slim = fresh_columns(docs, id=id_col, text=text_col)
     slim = slim.select(F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
-    slim = slim.repartitionByRange(width(spark), "id").sortWithinPartitions("id", "text")
+    order = ("id", F.xxhash64("text"))  # an id of very many rows is cut into several ranges
+    slim = slim.repartitionByRange(width(spark), *order).sortWithinPartitions(*order, "text")
 
     def shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, number = Encoder.of(tokenizer), TaskContext.get().partitionId()
@@ -184,6 +196,8 @@ def write_grammar(
             ids, counts, names, known = (np.concatenate(x) for x in zip(*held))
             payload = pack(names, known, counts, compress(ids, np.cumsum(counts)), end_id)
             row = {"shard": [number], "block": [block], "before": [before], "tokens": [len(ids)], "payload": [payload]}
+            some = names[known]
+            row |= {"low": [some.min() if len(some) else None], "high": [some.max() if len(some) else None]}
             held, have, block, before = [], 0, block + 1, before + len(ids)
             return pa.RecordBatch.from_pydict(row, schema=_BLOCKS)
 
@@ -205,11 +219,11 @@ def write_grammar(
         if held:
             yield close()
 
-    write(slim.mapInArrow(shard, "shard int, block int, before long, tokens long, payload binary"), path)
+    write(slim.mapInArrow(shard, "shard int, block int, before long, tokens long, payload binary, low long, high long"), path)
 
 
 _BLOCKS = pa.schema(
-    [("shard", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("tokens", pa.int64()), ("payload", pa.binary())]
+    [("shard", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("tokens", pa.int64()), ("payload", pa.binary()), ("low", pa.int64()), ("high", pa.int64())]
 )
 
 
@@ -221,6 +235,26 @@ def read_grammar(spark: SparkSession, path: str) -> DataFrame:
     return _decoded(spark, path, lambda ids: ids, pa.list_(pa.uint32()), "ids", "array<long>")
 
 
+def read_documents(spark: SparkSession, path: str, ids: list[int]) -> DataFrame:
+    """(doc_id, ids) of the documents with some ids: the files' statistics leave out blocks that can't hold them,
+    and of a block only those documents are decoded. Unknown ids have no row; rows that share an id all come."""
+    wanted = sorted(set(ids))
+    held = F.lit(False)
+    for i in wanted:
+        held = held | (F.lit(i).between(F.col("low"), F.col("high")))
+    schema = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int64()))])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for payload in batch.column("payload"):
+                block = Block(payload.as_py())
+                own = np.flatnonzero(block.known & np.isin(block.doc_ids, wanted))
+                columns = [pa.array(block.doc_ids[own]), pa.array([block.document(k) for k in own], type=schema.field(1).type)]
+                yield pa.RecordBatch.from_arrays(columns, schema=schema)
+
+    return spark.read.parquet(path).filter(held).select("payload").mapInArrow(decode, "doc_id long, ids array<long>")
+
+
 def read_digests(spark: SparkSession, path: str) -> DataFrame:
     """The same with the number of ids and their CRC-32 instead of the ids."""
     crc = lambda ids: zlib.crc32(ids.astype("<u4").tobytes())
