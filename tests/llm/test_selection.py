@@ -462,3 +462,50 @@ def test_texts_under_one_id_are_documents_of_their_own(spark):
     texts = sorted(((r[0], r[1]) for r in want), key=str)
     #: a goes with the smaller id 3; b stays once under 7 and takes 9's near copy; c stays under 9 and takes 12
     assert texts == sorted([(3, a + " tail"), (7, b), (9, c), (2, d), (5, ""), (5, ""), (None, a), (None, a)], key=str)
+
+
+def plain_ordinal_loss(slots, first, grades, weights, thresholds, ridge=6e-4):
+    """Mean negative log likelihood of the grades and the penalty, text by text."""
+    total = 0.0
+    for k, grade in enumerate(grades):
+        score = weights[slots[first[k] : first[k + 1]]].sum()
+        tail = [1.0, *(1 / (1 + np.exp(t - score)) for t in thresholds), 0.0]
+        total -= np.log(tail[grade] - tail[grade + 1])
+    return total / len(grades) + ridge / 2 * (weights**2).sum()
+
+
+def test_fit_reaches_the_minimum_of_the_likelihood():
+    texts, grades = graded_texts(250, 7)
+    slots, first = ordinal.features(pa.array(texts))
+    model = ordinal.fit_arrays(slots, first, grades, 3)
+    best = plain_ordinal_loss(slots, first, grades, model.weights, model.thresholds)
+    start = plain_ordinal_loss(slots, first, grades, np.zeros_like(model.weights), np.array([-0.7, 0.7]))
+    assert best < 0.5 * start
+    rng = np.random.default_rng(1)
+    used = np.unique(slots)
+    for _ in range(20):  # no step to the side does much better
+        w, t = model.weights.copy(), model.thresholds.copy()
+        w[used] += rng.normal(size=len(used)) * 0.02 * (w[used] != 0)
+        t = np.sort(t + rng.normal(size=2) * 0.02)
+        assert plain_ordinal_loss(slots, first, grades, w, t) > best * 0.98
+    for k in used[model.weights[used] != 0][:8]:  # and the slope along single weights is near zero
+        up, down = model.weights.copy(), model.weights.copy()
+        up[k], down[k] = up[k] + 1e-4, down[k] - 1e-4
+        slope = (plain_ordinal_loss(slots, first, grades, up, model.thresholds) - plain_ordinal_loss(slots, first, grades, down, model.thresholds)) / 2e-4
+        assert abs(slope) < 5e-3
+    tails = model.tails(slots, first)
+    for k in (0, 9, 77):
+        score = model.weights[slots[first[k] : first[k + 1]]].sum()
+        assert tails[k] == pytest.approx([1 / (1 + np.exp(t - score)) for t in model.thresholds], abs=1e-9)
+
+
+def test_features_on_the_driver_are_bounded(spark):
+    texts, grades = graded_texts(120, 4)
+    docs = frame(spark, [(k, t, "a") for k, t in enumerate(texts)] + [(500, " ".join(f"x{k}" for k in range(20_000)), "a")])
+    marks = spark.createDataFrame([(k, int(g)) for k, g in enumerate(grades)] + [(500, 2)], "doc_id long, g int")
+    with patch.object(ordinal, "fit_arrays", wraps=ordinal.fit_arrays) as fitted:
+        ordinal.fit(docs, marks, F.col("g"), 3, most_slots=3000)
+    slots, first, kept = fitted.call_args.args[:3]
+    assert len(slots) <= 3000 and len(kept) == len(first) - 1 > 10
+    whole, _ = ordinal.features(pa.array(texts))
+    assert len(slots) > 0.8 * min(3000, len(whole))

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, lower_ascii, mix, text_bytes, word_bounds, word_hashes
+from vitalis.llm.common import fresh_columns, lower_ascii, mix, stage, text_bytes, word_bounds, word_hashes
 
 BITS = 20
 _LETTER = np.zeros(256, dtype=bool)
@@ -144,10 +144,11 @@ def fit_arrays(
 
 
 def fit(
-    docs: DataFrame, ratings: DataFrame, grade: Column, classes: int, most: int = 20_000, id_col: str = "doc_id",
-    text_col: str = "text", seed: int = 11,
+    docs: DataFrame, ratings: DataFrame, grade: Column, classes: int, most: int = 20_000, most_slots: int = 16_000_000,
+    id_col: str = "doc_id", text_col: str = "text", seed: int = 11,
 ) -> Ordinal:
-    """Fit on at most ``most`` rated documents: those with the smallest seeded hash of their id.
+    """Fit on at most ``most`` rated documents with at most ``most_slots`` features together (64 MB): those with the
+    smallest seeded hash of their id; one with more features than are left over is passed by.
 
     ``grade`` is an expression over the columns of ``ratings`` with values 0 .. classes - 1. Rows
     without grade, id or document add nothing; an id that occurs more than once has its lowest grade
@@ -169,7 +170,17 @@ def fit(
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(slots.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("grade"), lists], names=["id", "grade", "slots"])
 
-    table = joined.mapInArrow(sample, "id long, grade int, slots array<int>").toArrow().sort_by("id")
+    made = stage(joined.mapInArrow(sample, "id long, grade int, slots array<int>"), "rated-features")
+    sizes = made.select("id", F.size("slots").alias("n"), F.xxhash64("id", F.lit(seed)).alias("h")).toArrow()  # at most ``most`` rows
+    left, passed = most_slots, []
+    for r in sorted(sizes.to_pylist(), key=lambda r: (r["h"], r["id"])):
+        if r["n"] <= left:
+            left -= r["n"]
+        else:
+            passed.append(r["id"])
+    if passed:
+        made = made.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in passed], "id long")), "id", "left_anti")
+    table = made.toArrow().sort_by("id")
     if not table.num_rows:
         return Ordinal(np.zeros(1 << BITS), np.zeros(classes - 1))
     lists = table["slots"].combine_chunks()
