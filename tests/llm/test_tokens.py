@@ -168,7 +168,7 @@ def test_no_frequent_pair_is_left():
     rng = np.random.default_rng(5)
     ids = rng.integers(0, 40, 6000).astype(np.uint32)
     ends = np.r_[np.arange(300, 6000, 300), 6000]
-    grammar = repair.compress(ids, ends, least=8)
+    grammar = repair.compress(ids, ends, least=8, worth=0)
     symbols = grammar["symbols"].astype(np.int64)
     pairs = symbols[:-1] * (1 << 20) + symbols[1:]
     inside = (symbols[:-1] != grammar["stop"]) & (symbols[1:] != grammar["stop"])

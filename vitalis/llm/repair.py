@@ -53,12 +53,13 @@ def _frequent(left: np.ndarray, right: np.ndarray, least: int, most: int) -> tup
     return best, own, same
 
 
-def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> dict[str, np.ndarray]:
+def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8, worth: float = 0.01) -> dict[str, np.ndarray]:
     """Grammar of ``ids``; ``ends`` are the places just after each document's last id.
 
     Rounds replace pairs seen ``least`` times or more, the most frequent first, until there are none or
     no numbers for rules are left: all symbols stay below 65,536 where the ids leave room for rules, else they
-    take 32 bits and there are 2^20 rules at most. A rule costs as much as six symbols, so rarer pairs don't pay.
+    take 32 bits and there are 2^20 rules at most. A rule costs as much as six symbols, so rarer pairs don't pay. A
+    round that replaces less than ``worth`` of the symbols is the last; 0 goes on to the end, for 0.4 % fewer symbols.
     """
     stop = int(ids.max()) + 1 if len(ids) else 1
     room = 65_536 - stop - 1
@@ -84,6 +85,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8) -> dict[str, np.
         keep[at + 1] = False
         symbols = symbols[keep]
         made += len(best)
+        if len(at) < worth * len(symbols):
+            break
     table = np.concatenate(rules).astype(np.int64) if rules else np.zeros((0, 2), dtype=np.int64)
     length = np.ones(base + made, dtype=np.int64)
     first = base
