@@ -191,6 +191,20 @@ def test_awkward_languages(spark):
     assert language.identify(spark.createDataFrame([], schema), model).collect() == []
 
 
+def test_a_very_long_text_is_scored_in_parts(spark, monkeypatch):
+    df = spark.createDataFrame(two_tongues(60), "doc_id long, text string, lang string")
+    model = language.learn(df)
+    long = " ".join(t for _, t, lang in two_tongues(200, 9) if lang == "bb")
+    texts = ["kuk", long, "", long[:50]]
+    whole = model.predict(texts)
+    monkeypatch.setattr(language.parts, "__defaults__", (400,))
+    cut = model.predict(texts)
+    assert whole[0].tolist() == cut[0].tolist() and cut[0][1] == 1 and cut[0][2] == -1 and np.allclose(whole[1], cut[1], atol=0.05)
+    monkeypatch.undo()
+    counted = language.learn(df)
+    assert np.array_equal(counted.table, model.table)
+
+
 def test_many_languages_narrow_the_slots(spark):
     df = spark.createDataFrame([(k, f"text{k}", f"l{k}") for k in range(300)], "doc_id long, text string, lang string")
     model = language.learn(df)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -64,6 +65,16 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
+def slices(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of about ``most`` bytes of a text column without nulls, or of one longer text."""
+    _, offsets = text_bytes(batch.column(column))
+    at = 0
+    while at < batch.num_rows:
+        past = max(at + 1, int(np.searchsorted(offsets, offsets[at] + most, side="right")) - 1)
+        yield batch.slice(at, past - at)
+        at = past
+
+
 def lower_ascii(data: np.ndarray) -> np.ndarray:
     """A-Z as a-z; every other byte as it is."""
     return np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)

@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, mix
+from vitalis.llm.common import fresh_columns, mix, slices
 
 ORDERS = 4  # n-grams of 1 to so many characters
 BITS = 16  # of a slot's number; fewer with many languages
@@ -68,14 +68,15 @@ def ngrams(texts: list[str], bits: int = BITS, orders: int = ORDERS) -> tuple[np
     return np.concatenate(slots), np.concatenate(rows), has
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about so many bytes of text, or of one longer text."""
-    sizes = np.cumsum([0, *(len(t) for t in batch.column("text").cast(pa.binary()).to_pylist())])
-    at = 0
-    while at < batch.num_rows:
-        past = max(at + 1, int(np.searchsorted(sizes, sizes[at] + _SLICE, side="right")) - 1)
-        yield batch.slice(at, past - at)
-        at = past
+def parts(texts: list[str], most: int = _SLICE) -> Iterator[tuple[int, list[str]]]:
+    """(place of the first, texts) in turn; a very long text comes by itself in parts of ``most`` characters, so that
+    the arrays stay small. An n-gram across two parts is not counted."""
+    if sum(map(len, texts)) <= 2 * most:
+        yield 0, texts
+        return
+    for k, text in enumerate(texts):
+        for at in range(0, max(1, len(text)), most):
+            yield k, [text[at : at + most]]
 
 
 @dataclass
@@ -92,12 +93,15 @@ class Languages:
 
         The n-grams of the orders cover the same characters, so each order's evidence counts by its share.
         """
-        slots, rows, has = ngrams(texts, self.bits)
         if not self.names:
             return np.full(len(texts), -1), np.zeros(len(texts))
-        logs = np.empty((len(texts), len(self.names)))
-        for k in range(len(self.names)):
-            logs[:, k] = np.bincount(rows, weights=self.table[k][slots], minlength=len(texts))
+        logs, has = np.zeros((len(texts), len(self.names))), np.zeros(len(texts), dtype=bool)
+        for at, part in parts(texts):
+            slots, rows, some = ngrams(part, self.bits)
+            own = slice(at, at + len(part))
+            has[own] |= some
+            for k in range(len(self.names)):
+                logs[own, k] += np.bincount(rows, weights=self.table[k][slots], minlength=len(part))
         logs = self.priors + logs / ORDERS
         best = logs.argmax(axis=1)
         score = 1 / np.exp(logs - logs.max(axis=1, keepdims=True)).sum(axis=1)
@@ -134,11 +138,13 @@ def learn(docs: DataFrame, chosen: Column | None = None, id_col: str = "doc_id",
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(names), size), dtype=np.int64)
         for batch in batches:
-            for part in _slices(batch):
-                slots, rows, _ = ngrams(part.column("text").to_pylist(), bits)
-                own = np.array([place[n] for n in part.column("lang").to_pylist()], dtype=np.int64)[rows]
-                for k in np.unique(own):
-                    total[k] += np.bincount(slots[own == k], minlength=size)
+            for part in slices(batch, "text", _SLICE):
+                lang = np.array([place[n] for n in part.column("lang").to_pylist()], dtype=np.int64)
+                for at, texts in parts(part.column("text").to_pylist()):
+                    slots, rows, _ = ngrams(texts, bits)
+                    own = lang[rows + at]
+                    for k in np.unique(own):
+                        total[k] += np.bincount(slots[own == k], minlength=size)
         lang, slot = np.nonzero(total)
         for k in range(0, len(lang), 1 << 16):
             cut = slice(k, k + (1 << 16))
@@ -168,7 +174,7 @@ def identify(docs: DataFrame, model: Languages, id_col: str = "doc_id", text_col
         fitted = held.value
         names = np.array([*fitted.names, none], dtype=object)
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, "text", _SLICE):
                 best, probability = fitted.predict(part.column("text").to_pylist())
                 columns = [part.column("id"), pa.array(names[best], pa.string()), pa.array(probability, pa.float64())]
                 yield pa.RecordBatch.from_arrays(columns, names=["id", "lang_pred", "score"])

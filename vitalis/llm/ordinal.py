@@ -14,9 +14,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, lower_ascii, mix, stage, text_bytes, word_bounds, word_hashes
+from vitalis.llm.common import fresh_columns, lower_ascii, mix, slices, stage, text_bytes, word_bounds, word_hashes
 
 BITS = 20
+_SLICE = 1 << 20  # bytes of text whose features are found at once; they take some hundred bytes each
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _UPPER = np.zeros(256, dtype=bool)
@@ -164,8 +165,7 @@ def fit(
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
+            for part in slices(batch, "text", _SLICE):
                 slots, first = features(part.column("text"))
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(slots.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("grade"), lists], names=["id", "grade", "slots"])
@@ -209,9 +209,9 @@ def grade(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Ordinal(held.value[0].astype(np.float64), held.value[1])
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
-                tails = fitted.tails(*features(part.column("__text").fill_null("")))
+            texts = batch.column("__text").fill_null("")
+            for part in slices(batch.set_column(batch.schema.get_field_index("__text"), "__text", texts), "__text", _SLICE):
+                tails = fitted.tails(*features(part.column("__text")))
                 chosen = tails[:, at_least - 1]
                 out = [part.column(c) for c in carried] + [pa.array(tails.sum(axis=1)), pa.array(chosen)]
                 out = pa.RecordBatch.from_arrays(out, names=[*carried, "expected_grade", "tail_probability"])

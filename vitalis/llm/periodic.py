@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, mix, text_bytes, window_hashes, word_bounds, word_hashes
+from vitalis.llm.common import fresh_columns, mix, slices, text_bytes, window_hashes, word_bounds, word_hashes
 
 _SLICE = 4 << 20  # bytes of text that are hashed at once
 _OUT = pa.schema(
@@ -209,16 +209,6 @@ def _without(words: list[bytes], found: list[tuple[int, int, int]]) -> list[byte
     return [words[k] for k in np.flatnonzero(keep).tolist()]
 
 
-def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of about so many bytes of text, or of one longer text."""
-    _, offsets = text_bytes(batch.column("text"))
-    at = 0
-    while at < batch.num_rows:
-        past = max(at + 1, int(np.searchsorted(offsets, offsets[at] + _SLICE, side="right")) - 1)
-        yield batch.slice(at, past - at)
-        at = past
-
-
 def periodic_runs(docs: DataFrame, least: int = 12, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document its number of words, its runs, and its text without what runs repeat.
 
@@ -236,7 +226,7 @@ def periodic_runs(docs: DataFrame, least: int = 12, id_col: str = "doc_id", text
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in _slices(batch):
+            for part in slices(batch, "text", _SLICE):
                 found = _runs_of(part.column("text"), least)
                 sizes, listed, collapsed = [], [], []
                 for k, text in enumerate(part.column("text")):
