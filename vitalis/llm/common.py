@@ -45,6 +45,12 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small_batches(df: DataFrame, name: str, rows: int = 1000) -> DataFrame:
+    """A stage whose Python steps get so many rows at a time: whole texts travel in batches of a few megabytes."""
+    with settings(df.sparkSession, **{"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows)}):
+        return stage(df, name)
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

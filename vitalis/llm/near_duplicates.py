@@ -256,7 +256,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     slim = fresh_columns(docs, id=id_col, text=text_col)
     slim = slim.select(F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     kinds = "id long, n long, set1 long, set2 long, bands array<long>, bits array<long>"
-    signed = stage(slim.mapInArrow(_signatures, kinds), "signatures")
+    signed = small_batches(slim.mapInArrow(_signatures, kinds), "signatures")
     present = signed.filter("n > 0 AND id IS NOT NULL")
     classes = present.groupBy("set1", "set2", "n").agg(F.min("id").alias("rep"))
     member = stage(present.select("id", "set1", "set2", "n").join(classes, ["set1", "set2", "n"]).select("id", "rep", "set1", "set2", "n"), "members")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, lower_ascii, mix, slices, stage, text_bytes, word_bounds, word_hashes
+from vitalis.llm.common import fresh_columns, lower_ascii, mix, slices, small_batches, text_bytes, word_bounds, word_hashes
 
 BITS = 20
 _SLICE = 1 << 20  # bytes of text whose features are found at once; they take some hundred bytes each
@@ -170,7 +170,7 @@ def fit(
                 lists = pa.ListArray.from_arrays(pa.array(first, pa.int32()), pa.array(slots.astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("grade"), lists], names=["id", "grade", "slots"])
 
-    made = stage(joined.mapInArrow(sample, "id long, grade int, slots array<int>"), "rated-features")
+    made = small_batches(joined.mapInArrow(sample, "id long, grade int, slots array<int>"), "rated-features")
     sizes = made.select("id", F.size("slots").alias("n"), F.xxhash64("id", F.lit(seed)).alias("h")).toArrow()  # at most ``most`` rows
     left, passed = most_slots, []
     for r in sorted(sizes.to_pylist(), key=lambda r: (r["h"], r["id"])):
@@ -202,6 +202,7 @@ def grade(
     """
     spark = docs.sparkSession
     carried = list(dict.fromkeys([id_col, *(keep or [])]))
+    read = text_col if text_col in carried else "__text"  # a text that is carried travels once
     schema = docs.select(*(F.col(f"`{c}`") for c in carried)).schema
     schema = schema.add("expected_grade", "double").add("tail_probability", "double")
     held = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))  # 4 MB
@@ -209,13 +210,14 @@ def grade(
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Ordinal(held.value[0].astype(np.float64), held.value[1])
         for batch in batches:
-            texts = batch.column("__text").fill_null("")
-            for part in slices(batch.set_column(batch.schema.get_field_index("__text"), "__text", texts), "__text", _SLICE):
-                tails = fitted.tails(*features(part.column("__text")))
+            texts = pa.RecordBatch.from_arrays([batch.column(read).fill_null(""), pa.array(np.arange(batch.num_rows))], names=["text", "at"])
+            for own in slices(texts, "text", _SLICE):
+                part = batch.slice(own.column("at")[0].as_py(), own.num_rows)
+                tails = fitted.tails(*features(own.column("text")))
                 chosen = tails[:, at_least - 1]
                 out = [part.column(c) for c in carried] + [pa.array(tails.sum(axis=1)), pa.array(chosen)]
                 out = pa.RecordBatch.from_arrays(out, names=[*carried, "expected_grade", "tail_probability"])
                 yield out if least_tail is None else out.filter(pa.array(chosen >= least_tail))
 
-    source = docs.select(*(F.col(f"`{c}`") for c in carried), F.col(f"`{text_col}`").alias("__text"))
+    source = docs.select(*(F.col(f"`{c}`") for c in carried), *([] if text_col in carried else [F.col(f"`{text_col}`").alias(read)]))
     return source.mapInArrow(score, schema)

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, stage
+from vitalis.llm.common import fresh_columns, small_batches
 from vitalis.llm.tokens import Encoder, with_end
 
 _PIECES = pa.schema(
@@ -125,7 +125,7 @@ def pack_documents(
         windows.close(keep_ids=False)
         yield from windows.taken()
 
-    placed = stage(slim.mapInArrow(first, PIECES), "pieces")
+    placed = small_batches(slim.mapInArrow(first, PIECES), "pieces")
     whole = placed.filter("ids IS NULL")
     group = F.shiftright("sequence_id", 36) / merge
     open_ = placed.filter("ids IS NOT NULL").withColumn("_group", group.cast("long"))

@@ -129,11 +129,13 @@ class Encoder:
         names = coded.dictionary.to_pylist()
         if len(self.codes) > self.most:
             self._forget()
-        new = [x for x in names if x not in self.codes]
-        if new:
-            self._learn(new)
-        code = np.fromiter((self.codes[x] for x in names), dtype=np.int64, count=len(names))
-        code = code[np.asarray(coded.indices)]
+        found = list(map(self.codes.get, names))
+        fresh = [k for k, c in enumerate(found) if c is None]
+        if fresh:
+            self._learn([names[k] for k in fresh])
+            for k in fresh:
+                found[k] = self.codes[names[k]]
+        code = np.array(found, dtype=np.int64)[np.asarray(coded.indices)]
         lengths = self.first[code + 1] - self.first[code]
         before = np.concatenate([[0], np.cumsum(lengths)])
         return self.pool[ragged(self.first[code], lengths)], before[np.searchsorted(starts, offsets)]
