@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitalis.llm import mixing, near_duplicates, ordinal, packing, pseudonyms, queries
-from vitalis.llm.common import stage, word_count
+from vitalis.llm.common import small_batches, stage, word_count
 
 
 def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -20,7 +20,7 @@ def select_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     columns = docs.columns
     graded = docs.withColumn("__place", F.col("doc_id"))
     chosen = ordinal.grade(graded, model, at_least=2, id_col="__place", keep=columns, least_tail=queries.LEAST_GOOD)
-    return chosen.select(*(F.col(f"`{c}`") for c in columns))
+    return small_batches(chosen.select(*(F.col(f"`{c}`") for c in columns)), "graded")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,7 +50,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def hide_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every row, its text with personal data permuted; null texts stay null."""
-    return pseudonyms.pseudonymise(docs, queries.PSEUDONYM_KEY)
+    return small_batches(pseudonyms.pseudonymise(docs, queries.PSEUDONYM_KEY), "pseudonyms")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
