@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalis.llm.common import (
-    fresh_columns, lower_ascii, mix, ragged, stage, text_bytes, window_hashes, word_bounds, word_hashes,
+    fresh_columns, lower_ascii, mix, ragged, small_batches, stage, text_bytes, window_hashes, word_bounds, word_hashes,
 )
 from vitalis.llm.components import components
 from vitalis.llm.exchange import groups_for
