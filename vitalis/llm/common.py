@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import contextmanager, suppress
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -51,6 +53,19 @@ def small_batches(df: DataFrame, name: str, rows: int = 1000) -> DataFrame:
         return stage(df, name)
 
 
+def lean(run):
+    """A step over batches that gives the memory it freed back to the system when it ends; workers live on from task to task."""
+
+    @wraps(run)
+    def inner(batches):
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # where the C library has it
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return inner
+
+
 def width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

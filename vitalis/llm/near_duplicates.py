@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalis.llm.common import (
-    fresh_columns, lower_ascii, mix, ragged, small_batches, stage, text_bytes, window_hashes, word_bounds, word_hashes,
+    fresh_columns, lean, lower_ascii, mix, ragged, small_batches, stage, text_bytes, window_hashes, word_bounds, word_hashes,
 )
 from vitalis.llm.components import components
 from vitalis.llm.exchange import groups_for
@@ -66,6 +66,7 @@ def _reduce(how: np.ufunc, values: np.ndarray, first: np.ndarray, empty: int = 0
     return out
 
 
+@lean
 def _signatures(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ["id", "n", "set1", "set2", "bands", "bits"]
     for batch in batches:
@@ -117,6 +118,7 @@ def _close(pairs: DataFrame, signs: DataFrame) -> DataFrame:
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The packed shingle sets of the wanted ids."""
 
+    @lean
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):

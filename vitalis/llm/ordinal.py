@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, lower_ascii, mix, slices, small_batches, text_bytes, word_bounds, word_hashes
+from vitalis.llm.common import fresh_columns, lean, lower_ascii, mix, slices, small_batches, text_bytes, word_bounds, word_hashes
 
 BITS = 20
 _SLICE = 1 << 20  # bytes of text whose features are found at once; they take some hundred bytes each
@@ -163,6 +163,7 @@ def fit(
     joined = texts.join(F.broadcast(rated), "id")  # at most ``most`` rows of 12 bytes
     joined = joined.groupBy("id").agg(F.min("grade").alias("grade"), F.min("text").alias("text"))  # repeats go before anything is collected
 
+    @lean
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text", _SLICE):
@@ -207,6 +208,7 @@ def grade(
     schema = schema.add("expected_grade", "double").add("tail_probability", "double")
     held = spark.sparkContext.broadcast((model.weights.astype(np.float32), model.thresholds))  # 4 MB
 
+    @lean
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = Ordinal(held.value[0].astype(np.float64), held.value[1])
         for batch in batches:

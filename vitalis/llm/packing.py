@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, small_batches
+from vitalis.llm.common import fresh_columns, lean, small_batches
 from vitalis.llm.tokens import Encoder, with_end
 
 _PIECES = pa.schema(
@@ -102,6 +102,7 @@ def pack_documents(
     slim = fresh_columns(docs, id=id_col, text=text_col)
     slim = slim.select(F.col("id").cast("long").alias("id"), F.coalesce("text", F.lit("")).alias("text"))
 
+    @lean
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
         windows = Windows(size, open_windows, TaskContext.get().partitionId() << 36, least_head)

@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vitalis.llm.common import lean
+
 ROUNDS = 8
 
 
@@ -254,6 +256,7 @@ def pseudonymise(docs: DataFrame, key: bytes, text_col: str = "text", found_col:
     schema = T.StructType([*docs.schema.fields, *([T.StructField(found_col, T.LongType())] if found_col else [])])
     at = docs.columns.index(text_col)
 
+    @lean
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             done = [replace(x, key, undo) if x else (x, 0) for x in batch.column(at).to_pylist()]
