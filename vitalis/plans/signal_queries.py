@@ -214,15 +214,43 @@ def stream_index_documents(spark, d):
     arrivals = index.read_arrivals(spark, d, docs.schema, "documents.parquet")
     index.index_stream(arrivals, path, scratch_path(spark, "index-state"))
 
-    def digest(chunks):
+    return _same_chunks(index.read_index(spark, path), chunk(docs, "doc_id", "text", 1000, 200))
+
+
+def _same_chunks(streamed, batch):
+    """Per document whether both hold the same chunks."""
+
+    def digest(chunks, name):
         parts = F.array_sort(F.collect_list(F.concat_ws("|", F.lpad("chunk_no", 9, "0"), "start_index", F.md5("text"))))
-        return chunks.groupBy("doc_id").agg(F.md5(F.array_join(parts, ",")).alias("digest"))
+        return chunks.groupBy("doc_id").agg(F.md5(F.array_join(parts, ",")).alias(name))
 
-    batch = digest(chunk(docs, "doc_id", "text", 1000, 200)).withColumnRenamed("digest", "batch_digest")
-    streamed = digest(index.read_index(spark, path))
-    return streamed.join(batch, "doc_id", "full").select(
-        "doc_id", F.col("digest").eqNullSafe(F.col("batch_digest")).alias("same_as_batch")
-    )
+    both = digest(streamed, "digest").join(digest(batch, "batch_digest"), "doc_id", "full")
+    return both.select("doc_id", F.col("digest").eqNullSafe(F.col("batch_digest")).alias("same_as_batch"))
+
+
+@query(
+    "stream_index_updates",
+    "select doc_id, true as same_as_batch from documents where length(trim(text, chr(32) || chr(9) || chr(10) || chr(13))) > 0",
+)
+def stream_index_updates(spark, d):
+    """Every document arrives in a draft, then in its final text together with a late, older draft; the final text holds."""
+    from vitalis.operators.retrieval import chunk
+
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    path, folder, state = (scratch_path(spark, f"updates-{n}") for n in ("index", "in", "state"))
+
+    def arriving(text, day):
+        return docs.select("doc_id", text.alias("text"), F.lit(f"2024-01-{day} 00:00:00").cast("timestamp").alias("arrived"))
+
+    drafts = arriving(F.concat(F.lit("draft "), F.upper("text")), "02")
+    final = arriving(F.col("text"), "03").unionByName(arriving(F.concat(F.lit("note "), "text"), "01"))
+    for number, part in enumerate((drafts, final)):
+        part.write.parquet(f"{folder}/part={number}")
+        stream = spark.readStream.schema(part.schema).parquet(f"{folder}/part=*")
+        index.index_stream(stream, path, state, replace=True)
+    compacted = scratch_path(spark, "updates-compacted")
+    index.compact(spark, path, compacted)
+    return _same_chunks(index.read_index(spark, compacted), chunk(docs, "doc_id", "text", 1000, 200))
 
 
 @query("stream_index_search", "select concat_ws('-', conv_id, turn) as query_id, true as same_chunks from conversations where role = 'user'")
