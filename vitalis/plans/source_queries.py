@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from vitalis.functions.text import file_stem
 from vitalis.operators import images
 from vitalis.plans import ranks
 from vitalis.plans.core_queries import rounded
@@ -205,6 +206,36 @@ def image_manifest_join(spark, d):
     )
 
 
+@query(
+    "image_ingest",
+    f"""
+    select vec_id, label as folder, vec_id % 50 = 0 as unreadable, case when vec_id % 50 <> 0 then 64 end as pixels,
+           case when vec_id % 50 <> 0 then cast(list_sum({_LEVELS_SQL}) as bigint) end as brightness
+    from (select vec_id, embedding, coalesce(cast(label as varchar), 'none') as label from embeddings)
+    """,
+)
+def image_ingest(spark, d):
+    """Every embedding as a PNG file in the folder of its label, one file in fifty cut short, read as an image folder."""
+    folder = scratch_path(spark, "image-folder")
+    grey = _pictures(spark, d).select(
+        "vec_id", F.coalesce(F.col("label").cast("string"), F.lit("none")).alias("label"), F.col("image.data").alias("data"),
+        (F.col("vec_id") % 50 == 0).alias("cut"),
+    )
+    paths = files.write_pngs(grey.select(F.concat_ws("/", "label", F.concat("vec_id", F.lit(".png"))).alias("path"), "data", "cut"), folder, 8, 8)
+    rows = files.read_images(spark, paths)
+    seen = F.col("image").isNotNull()
+    data = F.hex("image.data")  # a grey picture may be read as three equal channels
+    level = F.transform(
+        F.sequence(F.lit(0), F.col("image.height") * F.col("image.width") - 1),
+        lambda i: F.conv(F.substring(data, i * F.col("image.nChannels") * 2 + 1, F.lit(2)), 16, 10).cast("bigint"),
+    )
+    return rows.select(
+        file_stem(F.col("origin")).cast(table(spark, d, "embeddings").schema["vec_id"].dataType).alias("vec_id"), F.col("label").alias("folder"),
+        F.col("error").isNotNull().alias("unreadable"), F.when(seen, F.col("image.height") * F.col("image.width")).alias("pixels"),
+        F.when(seen, F.aggregate(level, F.lit(0).cast("bigint"), lambda a, x: a + x)).alias("brightness"),
+    )
+
+
 @query(
     "image_prep",
     f"""
