@@ -36,6 +36,20 @@ def test_hash_rank_equals_window(hot):
     assert wrong.count() == 0
 
 
+def test_ranges_follow_the_rows_and_results_stay_exact(hot, monkeypatch):
+    few = ranks.range_cuts(hot, ["v", "id"], 16)
+    monkeypatch.setattr(ranks, "ROWS", 20)
+    monkeypatch.setattr(ranks, "HEX_DIGITS", 1)
+    many = ranks.range_cuts(hot, ["v", "id"], 16)
+    assert len(few["id"]) <= 16 and len(many["id"]) > 150 and len(many["v"]) > 3 * len(few["v"])
+    for c in ("id", "v"):  # none but a value of its own range holds many rows
+        filled = ranks.add_range(hot, c, many[c], "r").groupBy("r").agg(F.count("*").alias("n"), F.countDistinct(c).alias("values"))
+        assert filled.filter("n > 60 and values > 1").isEmpty()
+    test_ordered_rank_cuts_repeated_values(hot)
+    test_hash_rank_equals_window(hot)
+    test_quantiles_equal_numpy(hot)
+
+
 def test_ordered_rank_cuts_repeated_values(hot):
     ranked = ranks.ordered_rank(hot, ["g"], "v", "id", ranges=16)
     w = Window.partitionBy("g").orderBy("v", "id")

@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 
 from vitalis.session import travelling
 
-HEX_DIGITS = 3  # 16**3 ranges of the md5 order
-RANGES = 256  # ranges of a numeric order
+HEX_DIGITS = 3  # at least 16**3 ranges of the md5 order
+RANGES = 256  # at least so many ranges of a numeric order
+ROWS = 1 << 20  # rows of a range, beyond which there are more ranges
+_FINER = 4096  # each of the first ranges is cut into so many at most
 
 
 def hash_key(key: Sequence[str], seed: str) -> Column:
@@ -68,8 +70,9 @@ def hash_rank(
 ) -> DataFrame:
     """Rank (from 1) of each row of its group in md5 order, plus ``group_total``."""
     group, key = list(group), list(key)
+    digits = max(HEX_DIGITS, math.ceil(math.log(max(1, df.count()) / ROWS, 16)))
     cut = df.withColumn("_h", hash_key(key, seed))
-    cut = cut.withColumn("_r", F.substring("_h", 1, HEX_DIGITS))
+    cut = cut.withColumn("_r", F.substring("_h", 1, digits))
     offsets = _offsets(cut, group, ["_r"], F.lit(1))
     inside = Window.partitionBy(*group, "_r").orderBy("_h", *key)
     ranked = cut.withColumn("_n", F.row_number().over(inside))
@@ -122,26 +125,43 @@ def as_number(df: DataFrame, column: str) -> Column:
 
 
 def range_cuts(df: DataFrame, columns: Sequence[str], ranges: int = RANGES) -> dict[str, list[float]]:
-    """Approximate equal-mass cut points of numeric columns, from one pass.
+    """Approximate equal-mass cut points of numeric columns.
 
-    The cut points only balance the work; results built on them are exact. A value that fills
-    several ranges alone is isolated in a range of its own.
+    One pass cuts into ``ranges``; if that leaves more than ``ROWS`` rows to a range, a second one
+    cuts each of these again, so that the number of ranges follows the rows. The cut points only
+    balance the work; results built on them are exact. A value that fills several ranges alone is
+    isolated in a range of its own.
     """
     steps = [i / ranges for i in range(1, ranges)]
-    row = df.agg(
-        *[
-            F.percentile_approx(as_number(df, c), steps, 20 * ranges).alias(f"c{i}")
-            for i, c in enumerate(columns)
-        ]
+    numbers = df.select(*[as_number(df, c).alias(f"c{i}") for i, c in enumerate(columns)])
+    row = numbers.agg(
+        F.count(F.lit(1)), *[F.percentile_approx(c, steps, 20 * ranges).alias(c) for c in numbers.columns]
     ).first()
+    finer = min(_FINER, math.ceil(row[0] / (ranges * ROWS)))
     cuts = {}
     for i, c in enumerate(columns):
-        found = [v for v in (row[i] or []) if v is not None and not math.isnan(v)]
-        repeated = {a for a, b in zip(found, found[1:]) if a == b}
-        cuts[c] = sorted(set(found) | {math.nextafter(v, math.inf) for v in repeated})
+        found = [v for v in (row[i + 1] or []) if v is not None and not math.isnan(v)]
+        cuts[c] = _isolated(found)
+        if finer > 1:
+            cuts[c] = sorted({*cuts[c], *_isolated(_finer_cuts(numbers.select(f"c{i}"), cuts[c], finer))})
     return cuts
 
 
+def _isolated(found: list[float]) -> list[float]:
+    """Sorted cut points with a repeated one as a range of its own."""
+    repeated = {a for a, b in zip(found, found[1:]) if a == b}
+    return sorted(set(found) | {math.nextafter(v, math.inf) for v in repeated})
+
+
+def _finer_cuts(numbers: DataFrame, cuts: list[float], finer: int) -> list[float]:
+    """Cut points inside each range between ``cuts``, at most ``finer`` - 1 for one."""
+    (name,) = numbers.columns
+    steps = [i / finer for i in range(1, finer)]
+    cut = add_range(numbers.filter(F.col(name).isNotNull() & ~F.isnan(name)), name, cuts, "_r")
+    inner = cut.groupBy("_r").agg(F.percentile_approx(name, steps, 20 * finer).alias("_c")).select(F.explode("_c").alias("_c"))
+    return sorted(v for v in inner.toArrow()["_c"].to_pylist() if math.isfinite(v))
+
+
 def add_range(df: DataFrame, column: str, cuts: list[float], out: str) -> DataFrame:
     """The index of the cut range a numeric or timestamp column falls in."""
     splits = [-math.inf, *[c for c in cuts if math.isfinite(c)], math.inf]
@@ -169,7 +189,8 @@ def ordered_rank(
     group = list(group)
     cuts = range_cuts(df, [order, key], ranges)
     cut = add_range(df, order, cuts[order], "_r1")
-    repeated = [c for c in cuts[order] if math.nextafter(c, math.inf) in set(cuts[order])]
+    known = set(cuts[order])
+    repeated = [c for c in cuts[order] if math.nextafter(c, math.inf) in known]
     if repeated:
         cut = add_range(cut, key, cuts[key], "_r2")
         is_repeated = as_number(df, order).isin(repeated)
