@@ -22,7 +22,7 @@ from pyspark.ml.classification import (
     RandomForestClassifier,
 )
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import Bucketizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import LinearRegression
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitalis.operators.splits import balanced_weights, logo_frames
+from vitalis.session import durable, spread
 
 
 def assemble(df: DataFrame, columns: Sequence[str], out: str = "features") -> DataFrame:
@@ -86,15 +87,71 @@ def fit_lad(df: DataFrame, iterations: int = 20, tolerance: float = 1e-4) -> Mod
     return best
 
 
+@dataclass(frozen=True)
+class BinnedGbt:
+    """Boosted trees over the bins of the features, grown on one weighted row per combination of bins and label."""
+
+    model: Model
+    cuts: tuple[tuple[float, ...], ...]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.model.transform(_with_bins(df, self.cuts)).drop("_bins")
+
+
+def _with_bins(df: DataFrame, cuts: Sequence[Sequence[float]]) -> DataFrame:
+    """Add ``_bins``, per feature the number of cuts up to its value; NaN comes after all values."""
+    values, places = ([f"_{name}{k}" for k in range(len(cuts))] for name in "xb")
+    split = [[-np.inf, *(own or [0.0]), np.inf] for own in cuts]  # one value alone needs no cut, but the stage does
+    x = vector_to_array("features")
+    ready = df.withColumns({v: x[k] for k, v in enumerate(values)})
+    binned = Bucketizer(splitsArray=split, inputCols=values, outputCols=places, handleInvalid="keep").transform(ready)
+    return VectorAssembler(inputCols=places, outputCol="_bins").transform(binned).drop(*values, *places)
+
+
+def _cuts(df: DataFrame, n_features: int, bins: int) -> tuple[tuple[float, ...], ...]:
+    """Per feature the middles between its values if there are no more than ``bins``, else quantiles of all rows."""
+    x = vector_to_array("features")
+    columns = df.select(*(x[k].alias(f"x{k}") for k in range(n_features)))
+    shares = [k / bins for k in range(1, bins)]
+    found = columns.agg(
+        *(F.percentile_approx(f"x{k}", shares, 10_000).alias(f"q{k}") for k in range(n_features)),
+        *(F.approx_count_distinct(f"x{k}").alias(f"n{k}") for k in range(n_features)),
+    ).first()
+    cuts = []
+    for k in range(n_features):
+        own = []
+        if found[f"n{k}"] <= 1.2 * bins:  # an estimate; the values themselves are counted next
+            own = sorted(r[0] for r in columns.select(f"x{k}").distinct().limit(bins + 1).collect() if r[0] == r[0])
+        few = 0 < len(own) <= bins
+        cuts.append(tuple((a + b) / 2 for a, b in zip(own, own[1:])) if few else tuple(sorted(set(found[f"q{k}"] or []))))
+    return tuple(cuts)
+
+
 def fit_gbt(
     df: DataFrame, learning_rate: float = 0.1, rounds: int = 100, depth: int = 5, row_share: float = 1.0,
-    column_share: float = 1.0, min_gain: float = 0.0, seed: int = 42,
-) -> Model:
-    """Gradient-boosted trees for a 0/1 label."""
-    return GBTClassifier(
+    column_share: float = 1.0, min_gain: float = 0.0, seed: int = 42, most_rows: int = 1_000_000,
+) -> Model | BinnedGbt:
+    """Gradient-boosted trees for a 0/1 label.
+
+    Trees see features as 32 bins only, so rows that agree in all bins and the label have the same gradients in every
+    round. Beyond ``most_rows`` rows each such combination becomes one row with their number as weight: the fit then reads
+    no more than that many combinations, however many rows there are, and gives the trees of all rows. Its cuts are
+    quantiles of all rows, where Spark's own come from a sample. Shares of rows are drawn by row, so they rule this out.
+    """
+    gbt = GBTClassifier(
         stepSize=learning_rate, maxIter=rounds, maxDepth=depth, subsamplingRate=row_share,
         featureSubsetStrategy="all" if column_share >= 1 else str(column_share), minInfoGain=min_gain, seed=seed,
-    ).fit(df)
+    )
+    if row_share < 1 or df.limit(most_rows + 1).count() <= most_rows:
+        return gbt.fit(df)
+    cuts = _cuts(df, len(df.select("features").first()[0]), gbt.getMaxBins())
+    key = [F.col("label"), vector_to_array("_bins").alias("_key")]
+    weighted = _with_bins(df.select("features", "label"), cuts).groupBy(*key).agg(F.count(F.lit(1)).cast("double").alias("_weight"))
+    if weighted.count() > df.count() / 2:  # many features: hardly any rows agree
+        return gbt.fit(df)
+    rows = spread(durable(weighted.select("label", "_weight", array_to_vector("_key").alias("_bins"))))
+    # more bins than any feature has: then Spark takes every bin's edge as a cut, from up to a million rows instead of a sample
+    return BinnedGbt(gbt.setMaxBins(1024).setFeaturesCol("_bins").setWeightCol("_weight").fit(rows), cuts)
 
 
 def linear_svc(c: float, n: int, **params) -> LinearSVC:
