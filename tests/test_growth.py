@@ -1,9 +1,11 @@
 """What was changed so that work grows no faster than the input: the same results by the cheaper way."""
 
 import numpy as np
+import pandas as pd
 import pytest
 
 from vitalis.operators import models
+from vitalis.streaming.count_windows import CountWindows
 
 
 def test_binned_gbt_is_the_gbt_of_all_rows(spark):
@@ -31,3 +33,48 @@ def test_binned_gbt_takes_quantiles_and_leaves_rows_apart_that_hardly_agree(spar
     assert model.transform(df).filter("prediction = label").count() > 380
     wide = spark.createDataFrame([([float(v) for v in r], float(r[0] > 0)) for r in rng.normal(size=(300, 8))], "x array<double>, label double")
     assert not isinstance(models.fit_gbt(models.assemble(wide, ["x"]), rounds=2, depth=2, most_rows=100), models.BinnedGbt)
+
+
+class _Handle:
+    """One bucket's state and timers, as far as a processor asks for them."""
+
+    def __init__(self):
+        self.value, self.timers, self.calls = None, [], 0
+
+    def getValueState(self, name, schema):
+        return self
+
+    def get(self):
+        self.calls += 1
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def registerTimer(self, at):
+        self.timers.append(at)
+
+
+class _Watermark:
+    def __init__(self, ms):
+        self.ms = ms
+
+    def getCurrentWatermarkInMs(self):
+        return self.ms
+
+
+def test_a_call_advances_all_entities_of_a_bucket():
+    rows = [(who, 1000 * k, k, float(who * 100 + k)) for who in range(300) for k in range(3 + who % 9)]
+    part = pd.DataFrame(rows, columns=["who", "ms", "n", "x"]).sample(frac=1, random_state=1)
+    part["ts"] = pd.to_datetime(part["ms"], unit="ms")
+    part["y"] = -part["x"]
+    windows, handle = CountWindows(["who"], "ts", "n", "x", "y", 4, 2), _Handle()
+    windows.init(handle)
+    first = [*windows.handleInputRows((0,), iter([part[part["n"] < 5], part[part["n"] >= 5]]), _Watermark(-1))]
+    assert not first and handle.calls == 1 and len(handle.timers) == 1
+    out = pd.concat(windows.handleExpiredTimer((0,), _Watermark(20_000), None))
+    want = {(who, w): [float(who * 100 + 2 * w + i) for i in range(4)] for who in range(300) for w in range(9) if 2 * w + 4 < 3 + who % 9}
+    assert {(r.who, r.window): list(r.xs) for r in out.itertuples()} == want and len(out) == len(want)
+    assert all(list(-r.ys) == list(r.xs) for r in out.itertuples()) and handle.calls == 2
+    late = part[part["n"] == 0].assign(ts=pd.to_datetime(1, unit="ms"))
+    assert not [*windows.handleInputRows((0,), iter([late]), _Watermark(20_000))]
