@@ -4,7 +4,8 @@ import numpy as np
 import pandas as pd
 import pytest
 
-from vitalis.operators import models
+from vitalis.operators import boosting, models
+from vitalis.session import durable
 from vitalis.streaming.count_windows import CountWindows
 
 
@@ -78,3 +79,28 @@ def test_a_call_advances_all_entities_of_a_bucket():
     assert all(list(-r.ys) == list(r.xs) for r in out.itertuples()) and handle.calls == 2
     late = part[part["n"] == 0].assign(ts=pd.to_datetime(1, unit="ms"))
     assert not [*windows.handleInputRows((0,), iter([late]), _Watermark(20_000))]
+
+
+@pytest.mark.parametrize("depth", [3, 7])
+def test_trees_are_worked_out_as_step_by_step(depth):
+    rng = np.random.default_rng(depth)
+    bins, trees = rng.integers(0, 32, (500, 4)).astype(np.uint8), boosting.Trees.empty(3, depth)
+    inner = slice(1, 1 << depth)
+    trees.feature[:, inner] = rng.integers(-1, 4, trees.feature[:, inner].shape)
+    trees.cut[:, inner], trees.value[:] = rng.integers(0, 31, trees.cut[:, inner].shape), rng.normal(size=trees.value.shape)
+    trees.feature[:, 1:8] = rng.integers(0, 4, (3, 7))
+    got = boosting._advance(np.zeros((500, 3), np.float32), bins, [trees])
+    for row, own in enumerate(bins):
+        for m in range(3):
+            at = 1
+            while trees.feature[m, at] >= 0:
+                at = 2 * at + int(own[trees.feature[m, at]] > trees.cut[m, at])
+            assert got[row, m] == trees.value[m, at] and trees.places(m, bins.T.copy(), depth)[row] == at
+
+
+def test_bins_are_spread_over_the_cores(spark):
+    df = spark.createDataFrame([(k, [float(k % 7)], float(k % 2)) for k in range(500)], "id long, x array<double>, label double").coalesce(1)
+    df = durable(df)  # one file, which one task would read
+    rows = boosting.binned(models.assemble(df, ["x"]), "features", "label", ["id"], [np.arange(6.0)])
+    assert rows.rdd.getNumPartitions() >= 8
+    assert sorted(boosting._matrix(b, "u1")[0, 0] for b in [boosting._packed(np.array([[k]], np.uint8)) for k in range(3)]) == [0, 1, 2]

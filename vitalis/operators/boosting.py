@@ -19,9 +19,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.session import configured, durable
+from vitalis.session import configured, durable, spread
 
 WRITE_EVERY = 5  # rounds between two writes of the margins
+_BRANCHES = 40  # splits up to which a tree is worked out as a whole, beyond it row by row
+_MARGINS = 4 << 20  # of the rows that are worked on at once
 DEEPEST = 10
 _HISTOGRAMS = "model int, hist binary"
 _SPLITS = "model int, node int, feature int, cut int, gain double, left double, right double, own double"
@@ -54,19 +56,36 @@ class Trees:
         size = 2 << depth
         return cls(np.full((models, size), -1, np.int16), np.zeros((models, size), np.int16), np.zeros((models, size), np.float32))
 
-    def walk(self, bins: np.ndarray, levels: int) -> np.ndarray:
-        """Node of each (row, model) after so many steps."""
-        at = np.ones((len(bins), len(self.feature)), dtype=np.int64)
-        model, row = np.arange(len(self.feature))[None, :], np.arange(len(bins))[:, None]
+    def places(self, model: int, by_feature: np.ndarray, levels: int) -> np.ndarray:
+        """Node of each row after so many steps down one model's tree; ``by_feature`` has the bins as (feature, row)."""
+        rows, f = np.arange(by_feature.shape[1]), self.feature[model]
+        flat, start = by_feature.reshape(-1), np.maximum(f, 0).astype(np.int64) * by_feature.shape[1]
+        node = np.arange(len(f))
+        cut, onward = np.where(f >= 0, self.cut[model], 255), np.where(f >= 0, 2 * node, node)  # no bin lies beyond 255
+        at = np.ones(len(rows), dtype=np.int64)
         for _ in range(levels):
-            f = self.feature[model, at]
-            right = bins[row, np.maximum(f, 0)] > self.cut[model, at]
-            at = np.where(f >= 0, 2 * at + right, at)
+            at = onward.take(at) + (flat.take(start.take(at) + rows) > cut.take(at))
         return at
 
-    def add(self, margins: np.ndarray, bins: np.ndarray) -> None:
-        depth = self.feature.shape[1].bit_length() - 2
-        margins += self.value[np.arange(len(self.feature))[None, :], self.walk(bins, depth)]
+    def values(self, model: int, by_feature: np.ndarray) -> np.ndarray | np.float32:
+        """What one model's tree adds to each row."""
+        f, cut, value = self.feature[model], self.cut[model], self.value[model]
+        if (f >= 0).sum() > _BRANCHES:
+            return value.take(self.places(model, by_feature, len(f).bit_length() - 2))
+
+        def below(node: int):
+            return value[node] if f[node] < 0 else np.where(by_feature[f[node]] > cut[node], below(2 * node + 1), below(2 * node))
+
+        return below(1)
+
+
+def _advance(margins: np.ndarray, bins: np.ndarray, newest: list[Trees]) -> np.ndarray:
+    """The margins (row, model) after the newest trees."""
+    by_feature, by_model = np.ascontiguousarray(bins.T), margins.T.copy(order="C")
+    for trees in newest:
+        for m in range(len(by_model)):
+            by_model[m] += trees.values(m, by_feature)
+    return np.ascontiguousarray(by_model.T)
 
 
 def uniform(key: np.ndarray, seed: int) -> np.ndarray:
@@ -87,7 +106,7 @@ def cut_points(df: DataFrame, features: str, bins: int, accuracy: int = 10_000)
 
 def binned(df: DataFrame, features: str, label: str, key: Sequence[str], cuts: Sequence[np.ndarray], fold: str | None = None) -> DataFrame:
     """(key, fold, label, bins): a bin is the number of cut points below a value. Written once, read by every pass."""
-    rows = df.filter(F.col(label).isNotNull()).select(
+    rows = spread(df.filter(F.col(label).isNotNull())).select(
         F.xxhash64(*key).alias("key"), (F.col(fold).cast("int") if fold else F.lit(-2)).alias("fold"), F.col(label).cast("int").alias("label"),
         vector_to_array(features).alias("x"),
     )
@@ -99,7 +118,7 @@ def _to_bins(cuts: Sequence[np.ndarray]):
         for batch in batches:
             x = np.asarray(batch.column("x").flatten()).reshape(batch.num_rows, len(cuts))
             b = np.stack([np.searchsorted(c, x[:, k], side="left") for k, c in enumerate(cuts)], axis=1).astype(np.uint8)
-            columns = [batch.column(c) for c in ("key", "fold", "label")] + [pa.array([r.tobytes() for r in b], pa.binary())]
+            columns = [batch.column(c) for c in ("key", "fold", "label")] + [_packed(b)]
             yield pa.RecordBatch.from_arrays(columns, names=["key", "fold", "label", "bins"])
 
     return run
@@ -116,9 +135,7 @@ class Boosted:
 
     def margins(self, bins: np.ndarray, rounds: int | None = None) -> np.ndarray:
         out = np.zeros((len(bins), len(self.settings)), dtype=np.float32)
-        for trees in self.rounds[:rounds]:
-            trees.add(out, bins)
-        return out
+        return _advance(out, bins, self.rounds[:rounds])
 
     def only(self, model: int) -> "Boosted":
         """One of the models by itself."""
@@ -144,13 +161,31 @@ class Boosted:
         return made.mapInArrow(run, made.drop("_x").schema.add("probability", "double"))
 
 
+def _matrix(column: pa.Array, kind: str) -> np.ndarray:
+    """A binary column of rows of one length as a matrix, where it lies."""
+    _, places, data = column.buffers()
+    ends = np.frombuffer(places, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]].view(kind).reshape(len(column), -1)
+
+
+def _packed(matrix: np.ndarray) -> pa.Array:
+    data = np.ascontiguousarray(matrix)
+    ends = np.arange(len(data) + 1, dtype=np.int32) * (data.itemsize * data.shape[1])
+    return pa.Array.from_buffers(pa.binary(), len(data), [None, pa.py_buffer(ends), pa.py_buffer(data)])
+
+
+def _slices(batches: Iterator[pa.RecordBatch], models: int) -> Iterator[pa.RecordBatch]:
+    rows = max(256, min(16384, _MARGINS // models))
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)
+
+
 def _batch(batch: pa.RecordBatch, models: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    bins = np.stack([np.frombuffer(b, np.uint8) for b in batch.column("bins").to_pylist()])
     key, fold, label = (np.asarray(batch.column(c)) for c in ("key", "fold", "label"))
-    if "margins" in batch.schema.names:
-        margins = np.stack([np.frombuffer(m, "<f4") for m in batch.column("margins").to_pylist()]).copy()
-    else:
-        margins = np.zeros((len(bins), models), dtype=np.float32)
+    bins = _matrix(batch.column("bins"), "u1")
+    known = "margins" in batch.schema.names
+    margins = _matrix(batch.column("margins"), "<f4") if known else np.zeros((len(bins), models), dtype=np.float32)
     return key, fold, label, bins, margins
 
 
@@ -158,27 +193,27 @@ def _histograms(held: np.ndarray, share: np.ndarray, depth: np.ndarray, newest:
     """Per task and model that grows on, sums of gradients and their slopes by (node of the level, feature, bin)."""
     models, nodes = len(held), 1 << level
     growing = np.flatnonzero(depth > level)
-    place_of = np.cumsum(depth > level) - 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                key, fold, label, bins, margins = _batch(whole.slice(start, 2048), models)
+        for batch in _slices(batches, models):
+            key, fold, label, bins, margins = _batch(batch, models)
+            by_feature, by_model, drawn = np.ascontiguousarray(bins.T), margins.T.copy(order="C"), uniform(key, seed)
+            if total is None:
+                total = np.zeros((len(growing), nodes, len(by_feature), width, 2))
+            for place, m in enumerate(growing):
+                margin = by_model[m]
                 for trees in newest:
-                    trees.add(margins, bins)
-                p = 1 / (1 + np.exp(-margins))
-                at = now.walk(bins, level) - nodes
-                seen = (fold[:, None] != held) & (uniform(key, seed)[:, None] < share) & (at >= 0) & (depth > level)
-                row, model = np.nonzero(seen)
-                g, h = (p - label[:, None])[row, model], (p * (1 - p))[row, model]
-                place = (place_of[model] * nodes + at[row, model]).astype(np.int64)
-                if total is None:
-                    total = np.zeros((len(growing), nodes, bins.shape[1], width, 2))
-                for f in range(bins.shape[1]):
-                    spot = place * width + bins[row, f]
-                    for k, weights in enumerate((g, h)):
-                        total[:, :, f, :, k] += np.bincount(spot, weights, minlength=len(growing) * nodes * width).reshape(len(growing), nodes, width)
+                    margin += trees.values(m, by_feature)
+                at = now.places(m, by_feature, level) - nodes
+                seen = np.flatnonzero((fold != held[m]) & (drawn < share[m]) & (at >= 0))
+                p = 1 / (1 + np.exp(-margin[seen]))
+                first = at[seen] * width
+                weights = p - label[seen], p * (1 - p)
+                for f, own in enumerate(by_feature):
+                    spot = first + own[seen]
+                    for k in (0, 1):
+                        total[place, :, f, :, k] += np.bincount(spot, weights[k], minlength=nodes * width).reshape(nodes, width)
         if total is not None:
             busy = np.flatnonzero(total[..., 1].any(axis=(1, 2, 3)))
             packed = pa.array([total[k].astype("<f4").tobytes() for k in busy], pa.binary())
@@ -273,14 +308,10 @@ def fit_boosted(
 
 def _advanced(models: int, newest: list[Trees]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                batch = whole.slice(start, 2048)
-                *_, bins, margins = _batch(batch, models)
-                for trees in newest:
-                    trees.add(margins, bins)
-                columns = [batch.column(c) for c in ("key", "fold", "label", "bins")] + [pa.array([m.tobytes() for m in margins], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["key", "fold", "label", "bins", "margins"])
+        for batch in _slices(batches, models):
+            *_, bins, margins = _batch(batch, models)
+            columns = [batch.column(c) for c in ("key", "fold", "label", "bins")] + [_packed(_advance(margins, bins, newest))]
+            yield pa.RecordBatch.from_arrays(columns, names=["key", "fold", "label", "bins", "margins"])
 
     return run
 
@@ -290,13 +321,10 @@ def _validated(state: DataFrame, held: np.ndarray, newest: list[Trees]) -> np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((len(held), 2), dtype=np.int64)
-        for whole in batches:
-            for start in range(0, whole.num_rows, 2048):
-                _, fold, label, bins, margins = _batch(whole.slice(start, 2048), len(held))
-                for trees in newest:
-                    trees.add(margins, bins)
-                own = fold[:, None] == held
-                total += np.stack([(own & ((margins > 0) == (label[:, None] == 1))).sum(axis=0), own.sum(axis=0)], axis=1)
+        for batch in _slices(batches, len(held)):
+            _, fold, label, bins, margins = _batch(batch, len(held))
+            own = fold[:, None] == held
+            total += np.stack([(own & ((_advance(margins, bins, newest) > 0) == (label[:, None] == 1))).sum(axis=0), own.sum(axis=0)], axis=1)
         columns = [np.arange(len(held)), *total.T]
         yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["model", "right", "n"])
 
