@@ -1,10 +1,13 @@
 """What was changed so that work grows no faster than the input: the same results by the cheaper way."""
 
+from unittest.mock import patch
+
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
-from vitalis.operators import boosting, models
+from vitalis.operators import boosting, models, retrieval, textprep, vectors
 from vitalis.session import durable
 from vitalis.streaming.count_windows import CountWindows
 
@@ -104,3 +107,35 @@ def test_bins_are_spread_over_the_cores(spark):
     rows = boosting.binned(models.assemble(df, ["x"]), "features", "label", ["id"], [np.arange(6.0)])
     assert rows.rdd.getNumPartitions() >= 8
     assert sorted(boosting._matrix(b, "u1")[0, 0] for b in [boosting._packed(np.array([[k]], np.uint8)) for k in range(3)]) == [0, 1, 2]
+
+
+def test_sparse_vectors_travel_packed_and_find_the_same(spark):
+    words = ["red", "blue", "green", "pear", "plum", "fig"]
+    rng = np.random.default_rng(3)
+    texts = [(k, " ".join(rng.choice(words, 1 + k % 5))) for k in range(200)] + [(900, None), (901, "none")]
+    docs = spark.createDataFrame(texts, "id long, text string")
+    asked = docs.filter("id % 9 = 0").select(F.col("id").cast("string").alias("query_id"), "text")
+    model = textprep.TfIdf.fit(docs, "text", (1, 2), (), 0.9, 20)
+    dense = [model.vectors(asked, "query_id", "text"), model.vectors(docs, "id", "text")]
+    for limit in (2048, 3):  # queries travel, then both sides meet in blocks
+        with patch.object(vectors, "BLOCK_ROWS", 64):
+            got = retrieval.search_text(asked, docs, model, 7, max_travelling=limit)
+            want = vectors.search(*dense, 7, max_travelling=limit)
+        rows = [sorted(map(tuple, f.collect())) for f in (got, want)]
+        assert rows[0] == rows[1] and len(rows[0]) == 7 * len({r[0] for r in rows[0]}) > 100
+    packed = model.packed(docs, "id", "text")
+    assert dict(packed.dtypes)["embedding"] == "binary" and packed.count() == model.vectors(docs, "id", "text").count()
+
+
+@pytest.mark.parametrize("metric", ["ip", "l2"])
+def test_best_of_a_block_as_by_sorting_all(metric):
+    rng = np.random.default_rng(9)
+    q, v = rng.integers(0, 3, (20, 4)).astype(float), rng.integers(0, 3, (300, 4)) + rng.choice([0, 1e-12], (300, 4))
+    v[150:] = rng.normal(size=(150, 4))
+    ids = rng.permutation(300)
+    for k in (1, 3, 40, 400):
+        a, i, s = vectors._block_top(q, np.arange(20), v, ids, k, metric, False, 9)
+        for j in range(20):
+            raw = q[j] @ v.T if metric == "ip" else -((q[j] - v) ** 2).sum(1)
+            want = sorted(zip(-np.round(raw, 9), ids))[:k]
+            assert sorted(i[a == j]) == sorted(n for _, n in want) and np.sort(-s[a == j]) == pytest.approx([w for w, _ in want], abs=1e-8)
