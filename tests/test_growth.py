@@ -139,3 +139,14 @@ def test_best_of_a_block_as_by_sorting_all(metric):
             raw = q[j] @ v.T if metric == "ip" else -((q[j] - v) ** 2).sum(1)
             want = sorted(zip(-np.round(raw, 9), ids))[:k]
             assert sorted(i[a == j]) == sorted(n for _, n in want) and np.sort(-s[a == j]) == pytest.approx([w for w, _ in want], abs=1e-8)
+
+
+def test_chunks_leave_a_task_in_batches_of_bounded_size():
+    import pyarrow as pa
+
+    texts = ["", *("word %d of a long text. " % k * 9_000 for k in range(30)), "short"]
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array(range(len(texts))), "text": pa.array(texts)})
+    made = list(retrieval.chunk_batches(iter([batch]), ["doc_id", "chunk_no", "start_index", "text"], 1000, 200))
+    assert len(made) > 3 and max(sum(map(len, b.column(3).to_pylist())) for b in made) <= retrieval.CHUNK_CHARS + 1000
+    want = [(d, n, a, t[a:b]) for d, t in enumerate(texts) for n, (a, b) in enumerate(retrieval.chunk_spans(t, 1000, 200))]
+    assert [tuple(r.values()) for b in made for r in b.to_pylist()] == want
