@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from vitalis.operators import ivf, vectors
@@ -79,3 +80,28 @@ def test_registered_searches_reach_their_recall(spark, name):
     d = "/root/testdata/sf0.01"
     queries = entry.queries()
     assert ivf.recall_of(queries[name](spark, d), queries["vector_topk"](spark, d)) >= 0.9
+
+
+def test_what_meets_the_centres_at_once_is_bounded(spark, monkeypatch):
+    import tracemalloc
+
+    rng = np.random.default_rng(2)
+    x, centres = rng.normal(size=(20_000, 8)), rng.normal(size=(512, 8))
+    tracemalloc.start()
+    near = ivf.nearest(x, centres, 1), ivf.nearest(x, centres, 3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 32 << 20  # 82 MB for every row against every centre
+    want = np.argsort((centres**2).sum(axis=1) - 2 * x @ centres.T, axis=1, kind="stable")
+    assert (near[0] == want[:, :1]).all() and (near[1] == want[:, :3]).all()
+
+    x = clusters(300, 10, 5)
+    monkeypatch.setattr(ivf, "BLOCK", 7)
+    monkeypatch.setattr(ivf, "PLACED", 20)
+    index = ivf.IvfIndex.build(vector_frame(spark, x).repartition(3), cells=9)
+    blocks = index._blocks().select("cell", (F.length("ids") / 8).alias("n")).collect()
+    assert max(r.n for r in blocks) == 7 and sum(r.n for r in blocks) == 300
+    got = {}
+    for r in index.search(vector_frame(spark, x, "query_id"), 7, True, probes=9, refine=300).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.id)
+    assert got == plain(x, 7)

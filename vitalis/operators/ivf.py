@@ -23,6 +23,7 @@ from vitalis.operators.vectors import top_k_per
 from vitalis.session import scratch_path
 
 BLOCK, TILE = 4096, 256  # rows of a cell, queries of a cell that meet at once
+STEP, PLACED = 1024, 16_384  # rows that meet all centres at once, (query, cell) rows handed on at once
 _SEED = 23
 
 
@@ -39,9 +40,12 @@ def lloyd(x: np.ndarray, k: int, steps: int = 10, seed: int = 1) -> np.ndarray:
 
 
 def nearest(x: np.ndarray, centres: np.ndarray, n: int) -> np.ndarray:
-    """Places of the ``n`` centres nearest to each row, nearest first."""
-    far = (centres**2).sum(axis=1) - 2 * x @ centres.T
-    return np.argsort(far, axis=1, kind="stable")[:, :n]
+    """Places of the ``n`` centres nearest to each row, nearest first; ``STEP`` rows meet the centres at once."""
+    squares, out = (centres**2).sum(axis=1), np.zeros((len(x), min(n, len(centres))), np.int64)
+    for k in range(0, len(x), STEP):
+        far = squares - 2 * x[k : k + STEP] @ centres.T
+        out[k : k + STEP] = far.argmin(axis=1)[:, None] if n == 1 else np.argsort(far, axis=1, kind="stable")[:, :n]
+    return out
 
 
 @dataclass(frozen=True)
@@ -125,21 +129,26 @@ class IvfIndex:
         """Rows of one cell packed together."""
 
         def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held: dict[int, list] = {}
+            held, n, cell = [], 0, None  # rows of one cell: a file has no other, so the next cell closes the one before
 
-            def close(cell: int) -> pa.RecordBatch:
-                own = pa.Table.from_batches(held.pop(cell)).combine_chunks().to_batches()[0]
+            def close() -> pa.RecordBatch:
+                own = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
                 row = [cell, np.asarray(own.column("id")).astype("<i8").tobytes(), b"".join(own.column("codes").to_pylist()), _unit(_rows(own)).tobytes()]
                 return pa.RecordBatch.from_arrays([pa.array([v]) for v in row], names=["cell", "ids", "codes", "rows"])
 
             for batch in batches:
-                cells = np.asarray(batch.column("cell"))
-                for cell in np.unique(cells).tolist():
-                    held.setdefault(cell, []).append(batch.filter(pa.array(cells == cell)))
-                    if sum(b.num_rows for b in held[cell]) >= BLOCK:
-                        yield close(cell)
-            for cell in list(held):
-                yield close(cell)
+                cells, at = np.asarray(batch.column("cell")), 0
+                while at < len(cells):
+                    if n and (n == BLOCK or cells[at] != cell):
+                        yield close()
+                        held, n = [], 0
+                    cell = int(cells[at])
+                    same = cells[at : at + BLOCK - n] == cell
+                    run = len(same) if same.all() else int(same.argmin())
+                    held.append(batch.slice(at, run))
+                    n, at = n + run, at + run
+            if n:
+                yield close()
 
         return self.vectors().select("cell", "id", "codes", "embedding").mapInArrow(pack, "cell bigint, ids binary, codes binary, rows binary")
 
@@ -148,8 +157,10 @@ class IvfIndex:
         book = self.book
 
         def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                if batch.num_rows:
+            step = max(1, PLACED // probes)
+            for whole in batches:
+                for k in range(0, whole.num_rows, step):
+                    batch = whole.slice(k, step)
                     q = _unit(_rows(batch))
                     cells = nearest(q, book.centres, probes)
                     at = np.repeat(np.arange(len(q)), cells.shape[1])
@@ -172,7 +183,8 @@ class IvfIndex:
 
         def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                for row in batch.to_pylist():
+                for at in range(batch.num_rows):  # one block at a time leaves the batch
+                    row = batch.slice(at, 1).to_pylist()[0]
                     ids = np.frombuffer(row["ids"], "<i8")
                     codes, rows = np.frombuffer(row["codes"], np.uint8).reshape(len(ids), -1), np.frombuffer(row["rows"], "<f8").reshape(len(ids), -1)
                     out = []
