@@ -93,3 +93,23 @@ def test_tree_of_factors_is_one_factor(spark):
     assert np.allclose(r.T @ r, x.T @ x)
     with pytest.raises(ValueError, match="no rows"):
         wide.wide_pca(df.limit(0), "v", 2)
+
+
+def test_passes_read_blocks_and_a_constant_has_deviation_one(spark):
+    x = np.c_[np.arange(5000) % 97 / 7, np.full(5000, 0.1)]
+    y = x[:, 0] * 3 + 1
+    rows = descent._plain(frame_of(spark, x, y).coalesce(1), "features", "label")
+    assert rows.count() <= 2 and dict(rows.dtypes) == {"x": "binary", "y": "binary"}  # not a row for each row
+    mean, spread = descent._spread(rows)
+    assert mean == pytest.approx([x[:, 0].mean(), 0.1, y.mean()]) and spread == pytest.approx([x[:, 0].std(), 1.0, y.std()])
+
+
+def test_gradients_of_tiles_add_up():
+    rng = np.random.default_rng(8)
+    net = descent.ReluNet.start([2, 10, 10, 2])
+    x, y = rng.normal(size=(descent.TILE * 2 + 5, 2)), rng.integers(0, 2, descent.TILE * 2 + 5)
+    loss, found = net.gradients(x, y)
+    parts = [net.gradients(x[k::3], y[k::3]) for k in range(3)]
+    assert loss == pytest.approx(sum(p[0] for p in parts))
+    assert all(np.allclose(g, sum(p[1][k] for p in parts)) for k, g in enumerate(found))
+    assert loss == pytest.approx(-net.forward(x)[0][np.arange(len(y)), y].sum())

@@ -19,24 +19,55 @@ from vitalis.session import durable
 
 RATES = (0.003, 0.01, 0.03, 0.1, 0.2, 0.3, 0.5, 1.0)
 PENALTIES = (0.0, 1e-5, 1e-4, 1e-3)
+TILE = 2048  # rows that go through a network at once
 
 
 def _plain(df: DataFrame, features: str, label: str) -> DataFrame:
+    """The rows with a label, written once as blocks of numbers, which every pass reads without a step per row."""
     rows = df.filter(F.col(label).isNotNull()).select(vector_to_array(features).alias("x"), F.col(label).cast("double").alias("y"))
-    return durable(rows)
 
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                x = np.asarray(batch.column("x").flatten())
+                yield pa.RecordBatch.from_pydict({"x": [x.tobytes()], "y": [np.asarray(batch.column("y")).tobytes()]})
+
+    return durable(rows.mapInArrow(pack, "x binary, y binary"))
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Features and labels of one block after the other, as they lie in the batches."""
+    for batch in batches:
+        for x, y in zip(batch.column("x"), batch.column("y")):
+            y = np.frombuffer(y.as_buffer(), np.float64)
+            yield np.frombuffer(x.as_buffer(), np.float64).reshape(len(y), -1), y
+
+
+def _summed(rows: DataFrame, add) -> np.ndarray | None:
+    """The sum over all blocks of an array that ``add`` makes of each; none without rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = sum(add(x, y) for x, y in _blocks(batches))
+        if np.ndim(total):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["place", "v"])
 
-def _arrays(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    x = np.asarray(batch.column("x").flatten()).reshape(batch.num_rows, -1)
-    return x, np.asarray(batch.column("y"))
+    found = {r.place: r.v for r in rows.mapInArrow(run, "place long, v double").groupBy("place").agg(F.sum("v").alias("v")).collect()}
+    return np.array([found[k] for k in range(len(found))]) if found else None
 
 
 def _spread(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Mean and deviation of each component, the label last; a constant has deviation 1."""
-    values = rows.select(F.posexplode(F.concat("x", F.array("y"))).alias("k", "v")).groupBy("k")
-    found = sorted(values.agg(F.avg("v").alias("m"), F.stddev_pop("v").alias("s")).collect(), key=lambda r: r.k)  # a row per component
-    spread = np.array([r.s for r in found])
-    return np.array([r.m for r in found]), np.where(spread > 0, spread, 1.0)
+    sums = _summed(rows, lambda x, y: np.array([*x.sum(axis=0), y.sum(), len(y)]))
+    if sums is None:
+        return np.zeros(0), np.zeros(0)
+    mean = sums[:-1] / sums[-1]
+
+    def apart(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        d = np.hstack([x, y[:, None]]) - mean
+        return np.concatenate([(d * d).sum(axis=0), (np.abs(d) > 1e-12 * np.abs(mean)).sum(axis=0)])
+
+    squares, differ = np.split(_summed(rows, apart), 2)  # a constant differs from its mean by rounding only
+    return mean, np.where((differ > 0) & (squares > 0), np.sqrt(squares / sums[-1]), 1.0)
 
 
 @dataclass(frozen=True)
@@ -77,10 +108,7 @@ def lad_candidates(
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w, n = start.copy(), 0
-            for whole in batches:
-                if not whole.num_rows:
-                    continue
-                x, y = _arrays(whole)
+            for x, y in _blocks(batches):
                 x = np.hstack([(x - mean[:-1]) / spread[:-1], np.ones((len(x), 1))])
                 y = (y - mean[-1]) / spread[-1]
                 for k in range(0, len(y), batch):
@@ -103,19 +131,8 @@ def lad_candidates(
 
 
 def _absolute_errors(rows: DataFrame, slopes: np.ndarray, intercepts: np.ndarray) -> np.ndarray:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = np.zeros(len(intercepts)), 0
-        for batch in batches:
-            if batch.num_rows:
-                x, y = _arrays(batch)
-                total, n = total + np.abs(x @ slopes + intercepts - y[:, None]).sum(axis=0), n + len(y)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total), pa.array(np.full(len(total), n))], names=["model", "e", "n"])
-
-    made = rows.mapInArrow(run, "model long, e double, n long").groupBy("model").agg((F.sum("e") / F.sum("n")).alias("e"))
-    out = np.full(len(intercepts), np.nan)
-    for r in made.collect():
-        out[r.model] = np.nan if r.e is None else r.e
-    return out
+    found = _summed(rows, lambda x, y: np.append(np.abs(x @ slopes + intercepts - y[:, None]).sum(axis=0), len(y)))
+    return np.full(len(intercepts), np.nan) if found is None else found[:-1] / found[-1]
 
 
 @dataclass
@@ -143,16 +160,32 @@ class ReluNet:
         return x - np.log(np.exp(x).sum(axis=1, keepdims=True)), inputs
 
     def gradients(self, x: np.ndarray, y: np.ndarray) -> tuple[float, list[np.ndarray]]:
-        """Summed negative log likelihood of the labels, and its gradient by layer, back from the last one."""
-        logs, inputs = self.forward(x)
-        rows = np.arange(len(y))
-        back, out = np.exp(logs), []
-        back[rows, y] -= 1
-        for k in range(len(self.layers) - 1, -1, -1):
-            out.insert(0, inputs[k].T @ back)
-            if k:
-                back = (back @ self.layers[k][:-1].T) * (inputs[k][:, :-1] > 0)
-        return float(-logs[rows, y].sum()), out
+        """Summed negative log likelihood of the labels, and its gradient by layer, back from the last one.
+
+        Rows lie across, ``TILE`` at a time: what a tile needs stays in the cache, and no layer is copied for its bias.
+        """
+        loss, out = 0.0, [np.zeros_like(w) for w in self.layers]
+        for k in range(0, len(y), TILE):
+            truth = y[k : k + TILE]
+            rows, inputs = np.arange(len(truth)), [np.ascontiguousarray(x[k : k + TILE].T)]
+            for j, w in enumerate(self.layers):
+                z = w[:-1].T @ inputs[-1]
+                z += w[-1][:, None]
+                if j + 1 < len(self.layers):
+                    inputs.append(np.maximum(z, 0, out=z))
+            z -= z.max(axis=0)
+            back = np.exp(z)
+            total = back.sum(axis=0)
+            loss += float(np.log(total).sum() - z[truth, rows].sum())
+            back /= total
+            back[truth, rows] -= 1
+            for j in range(len(self.layers) - 1, -1, -1):
+                out[j][:-1] += inputs[j] @ back.T
+                out[j][-1] += back.sum(axis=1)
+                if j:
+                    back = self.layers[j][:-1] @ back
+                    back *= inputs[j] > 0
+        return loss, out
 
     def transform(self, df: DataFrame, features: str = "features", out: str = "prediction") -> DataFrame:
         net = ReluNet(self.layers, [])
@@ -181,22 +214,15 @@ def fit_relu_net(
     def summed(layers: list[np.ndarray]):
         now = ReluNet(layers, [])
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            total = np.zeros(size + 2)
-            for batch in batches:
-                if batch.num_rows:
-                    x, y = _arrays(batch)
-                    loss, found = now.gradients(x, y.astype(np.int64))
-                    total += np.concatenate([g.ravel() for g in found] + [[loss, len(y)]])
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(size + 2)), pa.array(total)], names=["place", "g"])
+        def add(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+            loss, found = now.gradients(x, y.astype(np.int64))
+            return np.concatenate([g.ravel() for g in found] + [[loss, len(y)]])
 
-        return run
+        return add
 
     for step in range(1, epochs + 1):
-        got = np.zeros(size + 2)
-        for r in rows.mapInArrow(summed(net.layers), "place long, g double").groupBy("place").agg(F.sum("g").alias("g")).collect():
-            got[r.place] = r.g
-        if not got[-1]:
+        got = _summed(rows, summed(net.layers))
+        if got is None:
             return net  # no rows
         net.losses.append(got[-2] / got[-1])
         g = got[:-2] / got[-1]
