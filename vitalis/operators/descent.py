@@ -105,6 +105,7 @@ def lad_candidates(
 
     def epoch(start: np.ndarray, number: int):
         step = rate / number**0.5
+        kept = 1 - step * penalty
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             w, n = start.copy(), 0
@@ -112,9 +113,13 @@ def lad_candidates(
                 x = np.hstack([(x - mean[:-1]) / spread[:-1], np.ones((len(x), 1))])
                 y = (y - mean[-1]) / spread[-1]
                 for k in range(0, len(y), batch):
-                    part, truth = x[k : k + batch], y[k : k + batch]
-                    side = np.sign(part @ w - truth[:, None])
-                    w = w - step * (part.T @ side / len(part) + penalty * w)
+                    part = x[k : k + batch]
+                    side = part @ w
+                    side -= y[k : k + batch, None]
+                    slope = part.T @ np.sign(side, out=side)
+                    slope *= step / len(part)
+                    w *= kept
+                    w -= slope
                 n += len(y)
             if n:
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(w.size)), pa.array(w.ravel() * n), pa.array(np.full(w.size, n))], names=["place", "w", "n"])
