@@ -50,6 +50,30 @@ def test_encoder_on_random_text():
             assert ids[a:b].tolist() == ids_of(file, text), repr(text)
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_plain_words_are_encoded_together(file):
+    """New words of plain letters go through the library as one text, the others one by one; each has its own ids."""
+
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.alone = inner, 0
+
+        def encode_batch(self, parts, **kwargs):
+            self.alone += sum(map(len, parts))
+            return self.inner.encode_batch(parts, **kwargs)
+
+        def __getattr__(self, name):
+            return getattr(self.inner, name)
+
+    encoder = Encoder(public_tokenizers.path(file))
+    encoder.tokenizer = Counted(encoder.tokenizer)
+    words = [f"{a}{b}{c}" for a in "ÀÿßAzéñÖ" for b in ("ub", "ÇÉ", "qx", "the") for c in ("", "ung", "xqzj")] * 40
+    for texts in (["x " + " ".join(words)], ["x " + " ".join(w + "ly" for w in words) + " İx ŉ x̀ ١٢ 12 ª"]):
+        ids, _ = encoder.encode(pa.array(texts))
+        assert ids.tolist() == ids_of(file, texts[0])
+    assert encoder.tokenizer.alone <= 10
+
+
 @pytest.mark.parametrize("ids", [[0], [0, 0, 0, 0], [5] * 5000 + [0], [1, 2, 1, 2, 1, 2] * 900 + [0], list(range(1, 3000)) + [0], [70000, 1] * 500 + [0]])
 def test_grammar_round_trip(ids):
     ids = np.array(ids, dtype=np.uint32)

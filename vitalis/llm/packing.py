@@ -17,8 +17,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, lean, small_batches
-from vitalis.llm.tokens import Encoder, with_end
+from vitalis.llm.common import fresh_columns, lean, slices, small_batches
+from vitalis.llm.tokens import SLICE, Encoder, with_end
 
 _PIECES = pa.schema(
     [("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()),
@@ -107,8 +107,7 @@ def pack_documents(
         encoder = Encoder.of(tokenizer)
         windows = Windows(size, open_windows, TaskContext.get().partitionId() << 36, least_head)
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
+            for part in slices(batch, "text", SLICE):
                 ids, offsets = with_end(*encoder.encode(part.column(1)), end_id)
                 for doc, a, b in zip(part.column(0).to_pylist(), offsets[:-1], offsets[1:]):
                     windows.add(doc, 0, ids[a:b], int(b - a))

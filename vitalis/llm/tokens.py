@@ -10,6 +10,8 @@ import pyarrow as pa
 
 from vitalis.llm.common import ragged, text_bytes
 
+SLICE = 12 << 20  # bytes of texts that are encoded at once
+
 
 def _plain(data: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Whether a character that surely is no white space starts at each place."""
@@ -65,24 +67,33 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return np.flatnonzero(edge)
 
 
+#: How texts are first split where a vocabulary marks ends of words: a run of letters is one word.
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
 class Encoder:
     """Ids of Arrow texts. Beyond ``most`` remembered stretches it starts afresh."""
 
     _shared: dict[str, "Encoder"] = {}
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.most = most
-        made = json.loads(self.tokenizer.to_str())
+        made, vocab = json.loads(self.tokenizer.to_str()), self.tokenizer.get_vocab()
+        numbers = list(vocab.values())
         self.bytes_of: np.ndarray | None = None  # of each id, for byte-level vocabularies
         if made["normalizer"] is None and made["pre_tokenizer"]["type"] == "ByteLevel":
-            vocab = self.tokenizer.get_vocab()
-            self.bytes_of = np.zeros(max(vocab.values()) + 1, dtype=np.int64)
-            self.bytes_of[list(vocab.values())] = [len(x) for x in vocab]
+            self.bytes_of = np.zeros(max(numbers) + 1, dtype=np.int64)
+            self.bytes_of[numbers] = [len(x) for x in vocab]
+        self.ends_word: np.ndarray | None = None  # whether an id ends a word, for vocabularies that mark this
+        suffix = made["model"].get("end_of_word_suffix")
+        if suffix and any(p.get("pattern") == {"Regex": _WORDS} for p in made["pre_tokenizer"].get("pretokenizers", [])):
+            self.ends_word = np.zeros(max(numbers) + 1, dtype=bool)
+            self.ends_word[numbers] = [x.endswith(suffix) for x in vocab]
         self._forget()
 
     @classmethod
@@ -93,29 +104,60 @@ class Encoder:
         return cls._shared[path]
 
     def _forget(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())  # distinct stretches; the place of one is its code
         self.pool, self.first = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
 
-    def _learn(self, new: list[str]) -> None:
-        joined = [x[0] == " " and not (x[1:2].isspace() or x[-1].isspace()) for x in new] if self.bytes_of is not None else []
-        new = [x for x, j in zip(new, joined) if j] + [x for x, j in zip(new, joined) if not j] if joined else new
-        ids, counts = [self.pool], []
-        for first, past, one_by_one in ((0, sum(joined), False), (sum(joined), len(new), True)):
+    def _joined(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Which stretches can be encoded as parts of one text, whose ids tell where each of them ends.
+
+        Each begins with a single space, so nothing is joined across them. With a byte-level vocabulary the ids' bytes
+        tell them apart; with one that marks ends of words a stretch has to be one word of plain letters.
+        """
+        first, past = offsets[:-1], offsets[1:]
+        led = (data[first] == 32) & (past - first > 1)
+        if self.bytes_of is not None:
+            return led & _plain(data, np.minimum(first + 1, len(data) - 1)) & _plain_before(data, past)
+        if self.ends_word is None:
+            return np.zeros(len(first), dtype=bool)
+        low, before = data | 32, np.r_[np.uint8(0), data[:-1]]
+        accented = (before == 0xC3) & (data >= 0x80) & (data <= 0xBF) & (data != 0x97) & (data != 0xB7)
+        odd = ~(((low >= 97) & (low <= 122) & (data < 128)) | (data == 0xC3) | accented)
+        return led & (np.add.reduceat(odd, first, dtype=np.int64) == 1)  # the space
+
+    def _ids_joined(self, text: str, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of a text of joined stretches that end at such bytes, and their number in each; none if they can't be told apart."""
+        ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        if self.bytes_of is not None:
+            return ids, np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids]), ends, side="right"), prepend=0)
+        last = np.flatnonzero(self.ends_word[ids])
+        return (ids, np.diff(last, prepend=-1)) if len(last) == len(ends) and last[-1] + 1 == len(ids) else None
+
+    def _learn(self, new: pa.Array) -> None:
+        """Ids of new stretches, which follow the known ones."""
+        data, offsets = text_bytes(new)
+        joined = self._joined(data, offsets)
+        order = np.argsort(~joined, kind="stable")
+        data, offsets = text_bytes(new.take(pa.array(order)))
+        ids, counts = [], []
+        for first, past, together in ((0, int(joined.sum()), True), (int(joined.sum()), len(new), False)):
             for k in range(first, past, 2048):
-                part = new[k : min(past, k + 2048)]
-                if one_by_one:
+                ends = offsets[k : min(past, k + 2048) + 1]
+                raw = data[ends[0] : ends[-1]].tobytes()
+                made = self._ids_joined(raw.decode(), ends[1:] - ends[0]) if together else None
+                if made is None:
+                    part = [raw[a:b].decode() for a, b in zip(ends[:-1] - ends[0], ends[1:] - ends[0])]
                     found = self.tokenizer.encode_batch([part], is_pretokenized=True, add_special_tokens=False)[0]
                     of = np.array([-1 if w is None else w for w in found.word_ids], dtype=np.int64)
-                    counts.append(np.bincount(of[of >= 0], minlength=len(part)))
-                    ids.append(np.array(found.ids, dtype=np.uint32))
-                else:  # each begins with a space, so nothing is joined across them; the ids' bytes tell them apart
-                    got = self.tokenizer.encode_batch_fast(["".join(part)], add_special_tokens=False)[0].ids
-                    ids.append(np.array(got, dtype=np.uint32))
-                    ends = np.cumsum([len(x.encode()) for x in part])
-                    counts.append(np.diff(np.searchsorted(np.cumsum(self.bytes_of[ids[-1]]), ends, side="right"), prepend=0))
-        self.codes.update(zip(new, range(len(self.codes), len(self.codes) + len(new))))
-        self.pool = np.concatenate(ids)
-        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(np.concatenate(counts))])
+                    made = np.array(found.ids, dtype=np.uint32), np.bincount(of[of >= 0], minlength=len(part))
+                ids.append(made[0])
+                counts.append(made[1])
+        ids, counts = np.concatenate(ids), np.concatenate(counts)
+        own = np.empty_like(counts)
+        own[order] = counts
+        begin = np.empty_like(counts)
+        begin[order] = np.cumsum(counts) - counts
+        self.pool = np.concatenate([self.pool, ids[ragged(begin, own)]])
+        self.first = np.concatenate([self.first, self.first[-1] + np.cumsum(own)])
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts (no nulls), and the n + 1 places where each text's ids begin."""
@@ -125,17 +167,14 @@ class Encoder:
         starts = stretches(data, offsets)
         bounds = np.append(starts, len(data))
         parts = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data))
-        coded = parts.dictionary_encode()
-        names = coded.dictionary.to_pylist()
-        if len(self.codes) > self.most:
+        if len(self.known) > self.most:
             self._forget()
-        found = list(map(self.codes.get, names))
-        fresh = [k for k, c in enumerate(found) if c is None]
-        if fresh:
-            self._learn([names[k] for k in fresh])
-            for k in fresh:
-                found[k] = self.codes[names[k]]
-        code = np.array(found, dtype=np.int64)[np.asarray(coded.indices)]
+        have = len(self.known)
+        coded = pa.chunked_array([self.known, parts] if have else [parts]).dictionary_encode().chunk(int(have > 0))  # known ones keep their codes
+        if len(coded.dictionary) > have:
+            self._learn(coded.dictionary.slice(have))
+            self.known = coded.dictionary
+        code = np.asarray(coded.indices).astype(np.int64)
         lengths = self.first[code + 1] - self.first[code]
         before = np.concatenate([[0], np.cumsum(lengths)])
         return self.pool[ragged(self.first[code], lengths)], before[np.searchsorted(starts, offsets)]
