@@ -74,6 +74,23 @@ def test_plain_words_are_encoded_together(file):
     assert encoder.tokenizer.alone <= 10
 
 
+@pytest.mark.parametrize("file", FILES)
+def test_known_stretches_keep_their_codes(file):
+    encoder = Encoder(public_tokenizers.path(file))
+    first, _ = encoder.encode(pa.array(["red fox, blue fox", "x 12 é\u0301"]))
+    known = encoder.known.to_pylist()
+    assert len(set(known)) == len(known) == len(encoder.first) - 1
+    again, _ = encoder.encode(pa.array(["red owl", "red fox, blue fox", "x 12 é\u0301"]))
+    assert encoder.known.to_pylist() == [*known, " owl"] and again.tolist() == ids_of(file, "red owl") + first.tolist()
+
+
+def test_a_pair_counts_at_the_place_that_stands_for_it():
+    left, right = np.array([1, 2, 1, 2, 1, 3], np.uint32), np.array([2, 1, 2, 1, 2, 9], np.uint32)
+    best, own, same = repair._frequent(left, right, 2, 10)
+    assert own.dtype == np.intp and same.all()
+    assert [(left[k], right[k]) for k in best] == [(1, 2), (2, 1)] and (own[best] == best).all()
+
+
 @pytest.mark.parametrize("ids", [[0], [0, 0, 0, 0], [5] * 5000 + [0], [1, 2, 1, 2, 1, 2] * 900 + [0], list(range(1, 3000)) + [0], [70000, 1] * 500 + [0]])
 def test_grammar_round_trip(ids):
     ids = np.array(ids, dtype=np.uint32)

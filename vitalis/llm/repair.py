@@ -18,8 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitalis.llm.common import fresh_columns, ragged, width, write
-from vitalis.llm.tokens import Encoder, with_end
+from vitalis.llm.common import fresh_columns, ragged, slices, width, write
+from vitalis.llm.tokens import SLICE, Encoder, with_end
 
 _HEAD = struct.Struct("<4sIIIIQII")
 _MAGIC = b"RPR1"
@@ -42,14 +42,14 @@ def _frequent(left: np.ndarray, right: np.ndarray, least: int, most: int) -> tup
     the same slot has its turn in a later round.
     """
     bits = max(10, int(len(left)).bit_length())
-    slot = (left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)
+    slot = ((left * np.uint32(0x9E3779B1) + right * np.uint32(0x85EBCA77)) >> np.uint32(32 - bits)).astype(np.intp)
     one = np.zeros(1 << bits, dtype=np.int32)
     one[slot] = np.arange(len(slot), dtype=np.int32)
-    own = one[slot]
-    same = (left[own] == left) & (right[own] == right)
-    count = np.bincount(slot[same], minlength=1 << bits)
+    own = one.take(slot).astype(np.intp)  # the kind of number that indexes without a copy
+    same = (left.take(own) == left) & (right.take(own) == right)
+    count = np.bincount(own[same], minlength=len(left))  # a pair counts at the place that stands for it
     best = np.flatnonzero(count >= least)
-    best = one[best[np.argsort(-count[best], kind="stable")][:most]]
+    best = best[np.argsort(-count[best], kind="stable")][:most]
     return best, own, same
 
 
@@ -76,9 +76,8 @@ def compress(ids: np.ndarray, ends: np.ndarray, least: int = 8, worth: float = 0
             break
         rule_of = np.full(len(left), -1, dtype=np.int32)
         rule_of[best] = np.arange(len(best), dtype=np.int32)
-        rule = rule_of[own]
-        rule[~same] = -1
-        at = _take(rule >= 0)
+        rule = rule_of.take(own)
+        at = _take((rule >= 0) & same)
         rules.append(np.stack([left[best], right[best]], axis=1))
         symbols[at] = (base + made + rule[at]).astype(np.uint32)
         keep = np.ones(len(symbols), dtype=bool)
@@ -205,8 +204,7 @@ def write_grammar(
             return pa.RecordBatch.from_pydict(row, schema=_BLOCKS)
 
         for batch in batches:
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
+            for part in slices(batch, "text", SLICE):
                 ids, offsets = with_end(*encoder.encode(part.column(1)), end_id)
                 named = part.column(0)
                 names, known = np.asarray(named.fill_null(0)), np.asarray(named.is_valid())
