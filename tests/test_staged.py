@@ -1,5 +1,7 @@
 """Forests of every size and depth from one fit, against trees that vote one by one."""
 
+from unittest.mock import patch
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -70,3 +72,32 @@ def test_leave_one_group_out(spark):
     assert table[8, 3] == pytest.approx(right / 240)
     (none,) = staged.loso_tune(df.filter("false"), "subject", [2], [1]).collect()
     assert none.accuracy is None
+
+
+def test_many_rows_keep_their_nodes(spark):
+    """Beyond few rows x trees a fit remembers where rows are, beyond many fits no longer run side by side; the table is the same."""
+    df = labelled(spark)
+    tune = lambda: sorted(tuple(r) for r in staged.loso_tune(df, "subject", [3, 8], [1, 3]).collect())
+    want, kept, threads = tune(), [], []
+
+    def fit(*args):
+        kept.append(args[-1])
+        return plain(*args)
+
+    def pool(n):
+        threads.append(n)
+        return workers(n)
+
+    plain, workers = models.fit_forest, staged.ThreadPoolExecutor
+    for few, most, keeps, side in ((10**7, 10**9, False, 4), (1000, 4000, True, 2), (0, 1000, False, 1)):
+        kept.clear()
+        with patch.multiple(staged, FEW_PLACES=few, MOST_PLACES=most, ThreadPoolExecutor=pool), patch.object(models, "fit_forest", fit):
+            assert tune() == want
+        assert set(kept) == {keeps} and threads.pop() == side
+
+
+def test_kept_nodes_give_the_same_trees(spark):
+    df = labelled(spark)
+    plain, kept = (models.fit_forest(df, 9, 4, True, 42, keep) for keep in (False, True))
+    assert kept.getCacheNodeIds() and not plain.getCacheNodeIds()
+    assert [t.toDebugString.split("\n", 1)[1] for t in kept.trees] == [t.toDebugString.split("\n", 1)[1] for t in plain.trees]

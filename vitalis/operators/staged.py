@@ -79,6 +79,9 @@ class ForestNodes:
         return out
 
 
+FEW_PLACES = 10_000_000  # rows x trees up to which walking the trees costs less than remembering where rows are
+MOST_PLACES = 1_200_000_000  # rows x trees of all fits that run at once, whose counts and nodes are to stay in memory
+
 _CELLS = pa.schema([(c, pa.int64()) for c in ("trees", "depth", "truth", "pred", "n")])
 
 
@@ -117,19 +120,22 @@ def loso_tune(
 ) -> DataFrame:
     """Accuracy of balanced forests for each (trees, depth) under leave-one-group-out.
 
-    One forest is fitted for each group left out, several side by side; rows without label or group take no part.
+    One forest is fitted for each group left out, several side by side, fewer if rows x trees are many; rows without
+    label or group take no part.
     """
     from vitalis.operators.models import fit_forest
 
     trees, depths = list(trees), list(depths)
+    places = df.filter("label IS NOT NULL").count() * max(trees)
+    keep = FEW_PLACES < places <= MOST_PLACES
 
     def fold(parts: tuple) -> list:
         _, train, test = parts
-        nodes = ForestNodes.of(fit_forest(train, max(trees), max(depths), True, seed), df.sparkSession)
+        nodes = ForestNodes.of(fit_forest(train, max(trees), max(depths), True, seed, keep), df.sparkSession)
         return staged_cells(test, nodes, trees, depths).collect()  # at most grid x labels x labels rows
 
     right, total = Counter(), Counter()
-    with ThreadPoolExecutor(parallelism) as pool:
+    with ThreadPoolExecutor(max(1, min(parallelism, MOST_PLACES // max(places, 1)))) as pool:
         for cells in pool.map(fold, logo_frames(df, group)):
             for c in cells:
                 total[c.trees, c.depth] += c.n
