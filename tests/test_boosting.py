@@ -136,3 +136,46 @@ def test_row_shares_follow_the_key():
     u = boosting.uniform(np.arange(20_000), 7)
     assert 0 <= u.min() and u.max() < 1 and abs((u < 0.6).mean() - 0.6) < 0.02
     assert (u == boosting.uniform(np.arange(20_000), 7)).all() and abs(np.corrcoef(u, boosting.uniform(np.arange(20_000), 8))[0, 1]) < 0.05
+
+
+def test_models_grown_alone_are_those_of_passes_over_the_rows(spark, monkeypatch):
+    x, y = points(300, 4)
+    df = frame_of(spark, x, y)
+    cuts = boosting.cut_points(df, "features", 12)
+    rows = boosting.binned(df, "features", "label", ["id"], cuts, "fold")
+    shares = [dict(gamma=g, row_share=r, column_share=c) for g in (0.0, 1.5) for r in (0.6, 1.0) for c in (0.4, 0.7, 1.0)]
+    settings = [boosting.Setting(0.3, 1 + k % 4, held_out=h, **s) for k, s in enumerate(shares) for h in (0, 2, -1)]
+    alone = boosting.fit_boosted(rows, settings, 6, cuts, stages=[2, 4])
+    with monkeypatch.context() as m:
+        m.setattr(boosting, "TRAVELLING", -1)
+        passes = boosting.fit_boosted(rows, settings, 6, cuts, stages=[2, 4])
+    for a, b in zip(alone.rounds, passes.rounds, strict=True):
+        assert (a.feature == b.feature).all() and (a.cut == b.cut)[a.feature >= 0].all()
+    assert alone.margins(bins_of(x, cuts)) == pytest.approx(passes.margins(bins_of(x, cuts)), abs=1e-4)
+    assert {r: v.tolist() for r, v in alone.staged.items()} == {r: v.tolist() for r, v in passes.staged.items()}
+    own, data = settings[3], _columns(rows)
+    want, counted = boosting._Grower(*data, own.held_out, own.row_share, 12).fit([own], np.ones((6, 1, 3), bool), 42, [6])
+    for name, value in (("_BLOCK", 64), ("_CELLS", 16)):  # rows in parts, features one by one
+        monkeypatch.setattr(boosting, name, value)
+        got, again = boosting._Grower(*data, own.held_out, own.row_share, 12).fit([own], np.ones((6, 1, 3), bool), 42, [6])
+        assert all((g.feature == w.feature).all() and g.value == pytest.approx(w.value, abs=1e-5) for g, w in zip(got, want, strict=True))
+        assert counted[6].tolist() == again[6].tolist() and counted[6].sum() > 0
+
+
+def _columns(rows):
+    table = rows.toArrow().combine_chunks()
+    return *(table[c].to_numpy() for c in ("key", "fold", "label")), boosting._matrix(table["bins"].chunk(0), "u1")
+
+
+def test_a_grid_takes_no_pass_for_each_level(spark):
+    x, y = points(200, 6)
+    df = frame_of(spark, x, y)
+    tracker, group = spark.sparkContext.statusTracker(), "boosted-alone"
+    cuts = boosting.cut_points(df, "features", 12)
+    rows = boosting.binned(df, "features", "label", ["id"], cuts, "fold")
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        boosting.fit_boosted(rows, [boosting.Setting(0.1, 4)] * 3, 30, cuts)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 0 < len(tracker.getJobIdsForGroup(group)) <= 6  # 120 levels

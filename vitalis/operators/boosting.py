@@ -5,6 +5,9 @@ up gradients by (model, node, feature, bin), one group per model sums what the t
 split of each node. Leaf values follow from the same sums, so a round takes as many passes as trees are deep,
 however many models there are. Margins are written again every few rounds; between, the newest trees are
 added on the fly. Margins after any number of rounds score the model of that many rounds, without a fit of its own.
+
+Bins that take little room, which is measured, travel to all tasks instead, and each task grows some models alone,
+round by round: the same trees from the same sums, without a pass over a table for each level.
 """
 
 from __future__ import annotations
@@ -25,6 +28,10 @@ WRITE_EVERY = 5  # rounds between two writes of the margins
 _BRANCHES = 40  # splits up to which a tree is worked out as a whole, beyond it row by row
 _MARGINS = 4 << 20  # of the rows that are worked on at once
 DEEPEST = 10
+TRAVELLING = 128 << 20  # bytes of keys, folds, labels and bins up to which they go to every task
+_BLOCK = 1 << 16  # rows whose sums are taken at once
+_CELLS = 1 << 16  # of the sums by node and pair of bins; features are paired as long as no more are needed
+_HELD = 64 << 20  # bytes of margins of the models that one task grows
 _HISTOGRAMS = "model int, hist binary"
 _SPLITS = "model int, node int, feature int, cut int, gain double, left double, right double, own double"
 
@@ -229,34 +236,43 @@ def _best_splits(settings: list[Setting], allowed: np.ndarray, level: int, width
     def run(table: pa.Table) -> pa.Table:
         m = table["model"][0].as_py()
         total = sum(np.frombuffer(h, "<f4").astype(np.float64) for h in table["hist"].to_pylist()).reshape(nodes, -1, width, 2)
-        s, rows = settings[m], []
-        whole = total[:, 0].sum(axis=1)  # (node, 2)
-        left = np.cumsum(total, axis=2)[:, :, :-1]
-        right = whole[:, None, None] - left
-        worth = lambda x: x[..., 0] ** 2 / (x[..., 1] + s.shrink)
-        gain = 0.5 * (worth(left) + worth(right) - worth(whole)[:, None, None])
-        fits = (left[..., 1] >= s.least_weight) & (right[..., 1] >= s.least_weight) & allowed[m][None, :, None]
-        gain = np.where(fits, gain, -np.inf).reshape(nodes, -1)
-        leaf = lambda x: float(-x[0] / (x[1] + s.shrink) * s.learning_rate)
-        for k in np.flatnonzero(whole[:, 1] > 0).tolist():
-            best = int(gain[k].argmax())
-            f, cut = divmod(best, width - 1)
-            if gain[k, best] > 1e-6:
-                rows.append((m, nodes + k, f, cut, float(gain[k, best]), leaf(left[k, f, cut]), leaf(right[k, f, cut]), leaf(whole[k])))
-            else:
-                rows.append((m, nodes + k, -1, 0, 0.0, 0.0, 0.0, leaf(whole[k])))
-        kinds = [pa.int32()] * 4 + [pa.float64()] * 4
-        names = [c.split()[0] for c in _SPLITS.split(", ")]
-        return pa.table([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=names)
+        k, f, cut, gain, left, right, own = _best(total, settings[m], allowed[m])
+        columns = [np.full(len(k), m), nodes + k, f, cut, gain, left, right, own]
+        names, kinds = [c.split()[0] for c in _SPLITS.split(", ")], [pa.int32()] * 4 + [pa.float64()] * 4
+        return pa.table([pa.array(c, kind) for c, kind in zip(columns, kinds)], names=names)
 
     return run
 
 
+def _best(total: np.ndarray, s: Setting, allowed: np.ndarray) -> tuple[np.ndarray, ...]:
+    """From sums by (node, feature, bin) each node's best split: node, feature or -1, cut, gain and the leaf values left, right and here.
+
+    A node without rows is left out.
+    """
+    cuts = total.shape[2] - 1
+    whole = total[:, np.argmax(allowed)].sum(axis=1)  # (node, 2)
+    left = np.cumsum(total, axis=2)[:, :, :-1]
+    right = whole[:, None, None] - left
+    worth = lambda x: x[..., 0] ** 2 / (x[..., 1] + s.shrink)
+    gain = 0.5 * (worth(left) + worth(right) - worth(whole)[:, None, None])
+    fits = (left[..., 1] >= s.least_weight) & (right[..., 1] >= s.least_weight) & allowed[None, :, None]
+    gain = np.where(fits, gain, -np.inf).reshape(len(total), -1)
+    k = np.flatnonzero(whole[:, 1] > 0)
+    best = gain[k].argmax(axis=1)
+    f, cut = np.divmod(best, cuts)
+    leaf = lambda x: -x[..., 0] / (x[..., 1] + s.shrink) * s.learning_rate
+    out = f, cut, gain[k, best], leaf(left[k, f, cut]), leaf(right[k, f, cut])
+    grows = out[2] > 1e-6
+    return k, np.where(grows, f, -1), *(np.where(grows, x, 0) for x in out[1:]), leaf(whole[k])
+
+
 def _prune(trees: Trees, gain: np.ndarray, gamma: np.ndarray) -> None:
     """Bottom-up: a split whose children are leaves and that gains less than ``gamma`` goes."""
-    for node in range(trees.feature.shape[1] // 2 - 1, 0, -1):
-        leaves = (trees.feature[:, 2 * node] < 0) & (trees.feature[:, 2 * node + 1] < 0)
-        trees.feature[(trees.feature[:, node] >= 0) & leaves & (gain[:, node] < gamma), node] = -1
+    depth = trees.feature.shape[1].bit_length() - 2
+    for nodes in (slice(1 << k, 2 << k) for k in range(depth - 1, -1, -1)):
+        below = trees.feature[:, 2 * nodes.start : 2 * nodes.stop]
+        own = trees.feature[:, nodes]
+        own[(own >= 0) & (below[:, ::2] < 0) & (below[:, 1::2] < 0) & (gain[:, nodes] < gamma[:, None])] = -1
 
 
 def fit_boosted(
@@ -276,13 +292,14 @@ def fit_boosted(
     fitted, state, newest = Boosted(settings, list(cuts)), rows, []
     stages = sorted(set(stages) | {rounds})
     rng = np.random.default_rng(seed)
+    if rows.count() * (16 + d) <= TRAVELLING:
+        return _fit_alone(rows, fitted, rounds, width, rng, seed, stages)
     # hundreds of small shuffles of a row per model and task: what adaptive execution would look at is known
     spark, groups = rows.sparkSession, min(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), max(4, models // 64))
     with configured(spark, spark__sql__adaptive__enabled="false", spark__sql__shuffle__partitions=str(groups)):
         for r in range(1, rounds + 1):
             now, gains = Trees.empty(models, deepest), np.zeros((models, 2 << deepest))
-            order = rng.random((models, d)).argsort(axis=1).argsort(axis=1)
-            allowed = order < np.maximum(1, np.floor(arrays["column_share"] * d + 1e-9))[:, None]  # columns this round's trees see
+            allowed = _columns_seen(rng, arrays["column_share"], d)
             for level in range(deepest):
                 made = state.mapInArrow(_histograms(arrays["held_out"], arrays["row_share"], arrays["depth"], newest, now, level, width, seed * 1000 + r), _HISTOGRAMS)
                 found = made.groupBy("model").applyInArrow(_best_splits(settings, allowed, level, width), _SPLITS).toArrow()  # a row per model and node
@@ -306,6 +323,192 @@ def fit_boosted(
     return fitted
 
 
+def _columns_seen(rng: np.random.Generator, share: np.ndarray, d: int) -> np.ndarray:
+    """(model, feature): the columns that a round's trees see."""
+    order = rng.random((len(share), d)).argsort(axis=1).argsort(axis=1)
+    return order < np.maximum(1, np.floor(share * d + 1e-9))[:, None]
+
+
+def _fit_alone(rows: DataFrame, fitted: Boosted, rounds: int, width: int, rng: np.random.Generator, seed: int, stages: Sequence[int]) -> Boosted:
+    """The models dealt to tasks, each of which holds all rows; models that see the same rows go together."""
+    settings, d, session = fitted.settings, len(fitted.cuts), rows.sparkSession
+    share = np.array([s.column_share for s in settings])
+    allowed = np.array([_columns_seen(rng, share, d) for _ in range(rounds)]).reshape(rounds, len(settings), d)
+    table = rows.select("key", "fold", "label", "bins").toArrow().combine_chunks()
+    n = len(table)
+    key, fold, label = (table[c].to_numpy() for c in ("key", "fold", "label"))
+    bins = _matrix(table["bins"].chunk(0), "u1") if n else np.zeros((0, d), np.uint8)
+    most = max(1, min(-(-len(settings) // (4 * session.sparkContext.defaultParallelism)), _HELD // (4 * max(n, 1))))
+    alike: dict[tuple, list[int]] = {}
+    for m, s in enumerate(settings):
+        alike.setdefault((s.held_out, s.row_share), []).append(m)
+    tasks = [own[k : k + most] for own in alike.values() for k in range(0, len(own), most)]
+    held = session.sparkContext.broadcast((key, fold, label, bins))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column(0).to_pylist():
+                own = tasks[t]
+                grower = _Grower(*held.value, settings[own[0]].held_out, settings[own[0]].row_share, width)
+                trees, staged = grower.fit([settings[m] for m in own], allowed[:, own], seed, stages)
+                parts = [[getattr(x, c)[k].tobytes() for x in trees] for k in range(len(own)) for c in ("feature", "cut", "value")]
+                columns = [pa.array(own, pa.int32()), *(pa.array([b"".join(p) for p in parts[c::3]], pa.binary()) for c in range(3))]
+                staged = [np.array([staged[r][k] for r in stages], np.int64).tobytes() for k in range(len(own))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(staged, pa.binary())], names=["model", "feature", "cut", "value", "staged"])
+
+    made = session.range(0, len(tasks), numPartitions=len(tasks)).mapInArrow(run, "model int, feature binary, cut binary, value binary, staged binary").toArrow()  # a row per model
+    held.destroy()
+    deepest = max(s.depth for s in settings)
+    fitted.rounds.extend(Trees.empty(len(settings), deepest) for _ in range(rounds))
+    fitted.staged.update((r, np.zeros((len(settings), 2), np.int64)) for r in stages)
+    for r in made.to_pylist():
+        m = r["model"]
+        size = 2 << settings[m].depth
+        for name, kind in (("feature", "<i2"), ("cut", "<i2"), ("value", "<f4")):
+            for trees, own in zip(fitted.rounds, np.frombuffer(r[name], kind).reshape(rounds, -1)):
+                getattr(trees, name)[m, :size] = own[:size]
+        for stage, counts in zip(stages, np.frombuffer(r["staged"], np.int64).reshape(-1, 2)):
+            fitted.staged[stage][m] = counts
+    return fitted
+
+
+class _Grower:
+    """Grows models that see the same rows, those of a held-out fold last; nothing leaves the task.
+
+    Sums are taken by node and the bins of two features at once, and the place of a row among them says where it goes.
+    """
+
+    def __init__(self, key: np.ndarray, fold: np.ndarray, label: np.ndarray, bins: np.ndarray, held_out: int, share: float, width: int):
+        order = np.argsort(fold == held_out, kind="stable")
+        self.seen, self.share, self.width = int((fold != held_out).sum()), share, width
+        self.key, self.label, self.bins = key[order][: self.seen], label[order], np.ascontiguousarray(bins[order].T)
+
+    def fit(self, settings: list[Setting], allowed: np.ndarray, seed: int, stages: Sequence[int]) -> tuple[list[Trees], dict[int, np.ndarray]]:
+        """A round's trees of all models, and right predictions and rows of the held-out fold after some rounds."""
+        n, deepest = len(self.label), max(s.depth for s in settings)
+        margins, order, rounds, staged = np.zeros((len(settings), n), np.float32), np.arange(n), [], {}
+        label, paired = self.label, self.width**2 << (deepest - 1) <= _CELLS
+        for r in range(1, len(allowed) + 1):
+            used, place = self.seen, order
+            if self.share < 1:  # the rows of this round first, then the others
+                drawn = uniform(self.key, seed * 1000 + r) < self.share
+                place = np.concatenate([np.flatnonzero(drawn), np.flatnonzero(~drawn), np.arange(self.seen, n)])
+                used, label = int(drawn.sum()), self.label[place]
+                back = np.empty(n, np.int64)
+                back[order] = np.arange(n)
+                moved = back[place]
+            codes: dict[tuple[int, int], np.ndarray] = {}
+            now, gains = Trees.empty(len(settings), deepest), np.zeros((len(settings), 2 << deepest))
+            for m, s in enumerate(settings):
+                if self.share < 1:
+                    margins[m] = margins[m].take(moved)
+                pairs = self._pairs(allowed[r - 1, m], paired)
+                for p in pairs:
+                    if p not in codes:
+                        codes[p] = self._codes(p, place if self.share < 1 else None)
+                self._tree(m, s, allowed[r - 1, m], pairs, [codes[p] for p in pairs], margins[m], label, used, now, gains)
+            order = place
+            rounds.append(now)
+            if r in stages:
+                right = ((margins[:, self.seen :] > 0) == (self.label[self.seen :] == 1)).sum(axis=1)
+                staged[r] = np.stack([right, np.full(len(settings), n - self.seen)], axis=1)
+        return rounds, staged
+
+    def _pairs(self, allowed: np.ndarray, paired: bool) -> list[tuple[int, int]]:
+        """Two features each, or one and -1, that have all columns a tree sees."""
+        own = np.flatnonzero(allowed).tolist()
+        if not paired or len(own) < 2:
+            return [(f, -1) for f in own]
+        own += own[-2:-1] if len(own) % 2 else []  # the last of an odd number has company that counts elsewhere
+        return list(zip(own[::2], own[1::2]))
+
+    def _codes(self, pair: tuple[int, int], place: np.ndarray | None) -> np.ndarray:
+        first, second = pair
+        code = self.bins[first] if second < 0 else self.bins[first].astype(np.uint16) * np.uint16(self.width) + self.bins[second]
+        return code if place is None else code.take(place)
+
+    def _tree(
+        self, m: int, s: Setting, allowed: np.ndarray, pairs: list[tuple[int, int]], codes: list[np.ndarray], margin: np.ndarray,
+        label: np.ndarray, used: int, now: Trees, gains: np.ndarray,
+    ) -> None:
+        """Grow one model's tree on the first ``used`` rows and add what it says to all margins."""
+        if not s.depth:
+            return
+        width, d = self.width, len(self.bins)
+        shape = (width, width) if pairs[0][1] >= 0 else (width,)
+        cells, blocks = int(np.prod(shape)), [slice(a, min(a + _BLOCK, used)) for a in range(0, used, _BLOCK)]
+        owner = {f: (j, axis) for j, p in reversed([*enumerate(pairs)]) for axis, f in enumerate(p) if f >= 0}
+        feature, cut, value = now.feature[m], now.cut[m], now.value[m]
+        weight, spots = np.empty(used, np.complex128), [c[:used].astype(np.int64) for c in codes]
+        for b in blocks:
+            p = 1 / (1 + np.exp(-margin[b]))
+            weight.real[b], weight.imag[b] = p - label[b], p * (1 - p)
+        steps, level = [], 0
+        while level < s.depth:
+            nodes = 1 << level
+            sums = [np.zeros(nodes * cells, np.complex128) for _ in pairs]
+            for b in blocks:
+                if steps:
+                    self._step(steps[-1], [x[b] for x in spots], [c[b] for c in codes])
+                for total, spot in zip(sums, spots):
+                    np.add.at(total, spot[b], weight[b])
+            total = np.zeros((nodes, d, width), np.complex128)
+            for f, (j, axis) in owner.items():
+                own = sums[j].reshape(nodes, *shape)
+                total[:, f] = own if len(shape) == 1 else own.sum(axis=2 - axis)
+            k, f, c, gain, left, right, here = _best(total.view(np.float64).reshape(nodes, d, width, 2), s, allowed)
+            if level == 0:
+                value[nodes + k] = here
+            elif len(k):
+                alive = feature[(nodes + k) >> 1] >= 0  # rows that stopped above go along to the left
+                k, f, c, gain, left, right = (x[alive] for x in (k, f, c, gain, left, right))
+            grows = f >= 0
+            node, f, c, gain, left, right = (x[grows] for x in (nodes + k, f, c, gain, left, right))
+            feature[node], cut[node], gains[m, node] = f, c, gain
+            value[2 * node], value[2 * node + 1] = left, right
+            level += 1
+            if level == s.depth or not len(node):
+                break
+            steps.append(self._table(feature, cut, level - 1, owner, shape, len(pairs), lambda at: at * cells, np.int64))
+        one = Trees(now.feature[m : m + 1], now.cut[m : m + 1], now.value[m : m + 1])
+        _prune(one, gains[m : m + 1], np.array([s.gamma]))
+        reached = np.array(value)  # by node the value of the place where a row stops
+        for nodes in (np.arange(1 << k, 2 << k) for k in range(1, level + 1)):
+            reached[nodes] = np.where(feature[nodes >> 1] < 0, reached[nodes >> 1], reached[nodes])
+        last = self._table(feature, cut, level - 1, owner, shape, len(pairs), lambda at: reached[at + (1 << level)], np.float32)
+        for a in range(0, len(margin), _BLOCK):
+            for b in (slice(a, min(a + _BLOCK, used)), slice(max(a, used), min(a + _BLOCK, len(margin)))):
+                if b.start >= b.stop:
+                    continue
+                at = [x[b] for x in spots] if b.stop <= used else [c[b].astype(np.int64) for c in codes]
+                for step in steps if b.start >= used else ():
+                    self._step(step, at, [c[b] for c in codes])
+                for x, spot in zip(last, at):
+                    margin[b] += x.take(spot)
+
+    @staticmethod
+    def _step(step: list[np.ndarray], spots: list[np.ndarray], codes: list[np.ndarray]) -> None:
+        """Rows go one level down, in place."""
+        base = step[0].take(spots[0])
+        for table, spot in zip(step[1:], spots[1:]):
+            base += table.take(spot)
+        for spot, code in zip(spots, codes):
+            np.add(base, code, out=spot)
+
+    @staticmethod
+    def _table(feature, cut, level: int, owner: dict, shape: tuple, pairs: int, answer, kind) -> list[np.ndarray]:
+        """By pair and place of a row, what is said of the node below that the row goes to; 0 by all pairs but the one that decides."""
+        nodes, bins = 1 << level, np.arange(shape[0])
+        tables = [np.zeros((nodes, *shape), kind) for _ in range(pairs)]
+        f, c = feature[nodes : 2 * nodes], cut[nodes : 2 * nodes]
+        for own in np.unique(f).tolist():
+            k = np.flatnonzero(f == own)
+            j, axis = owner[own] if own >= 0 else (0, 0)
+            said = answer(2 * k[:, None] + ((bins > c[k, None]) if own >= 0 else np.zeros(len(bins), bool)))
+            tables[j][k] = said if len(shape) == 1 else said[:, :, None] if axis == 0 else said[:, None, :]
+        return [t.reshape(-1) for t in tables]
+
+
 def _advanced(models: int, newest: list[Trees]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, models):
